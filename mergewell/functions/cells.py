@@ -22,7 +22,9 @@ def null_tokens(cell: Column, tokens=NA_TOKENS) -> Column:
 
 
 def is_numeric_text(cell: Column) -> Column:
-    return cell.rlike(NUMERIC_PATTERN) & cell.try_cast("double").isNotNull()
+    """Whether the cell is a plain number; NULL for a missing cell."""
+    return F.when(
+        cell.isNotNull(), cell.rlike(NUMERIC_PATTERN) & cell.try_cast("double").isNotNull())
 
 
 def as_number(cell: Column) -> Column:

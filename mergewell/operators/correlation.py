@@ -10,7 +10,8 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from mergewell.operators.ranking import average_ranks, lookup_by_key
+from mergewell.lineage import cut_lineage
+from mergewell.operators.ranking import average_ranks, count_points, lookup_by_key
 
 PAIRS = "a string, b string, corr double"
 # Up to this many columns one plain aggregate computes all pairs.
@@ -105,26 +106,34 @@ def pearson_matrix(df: DataFrame, columns: list[str]) -> np.ndarray:
     return result
 
 
-def rank_columns(df: DataFrame, columns: list[str], key: str) -> DataFrame:
-    """The columns replaced by their average ranks over the complete rows.
+def spearman_pairs(
+    df: DataFrame, columns: list[str], key: str, threshold: float | None = None,
+) -> DataFrame:
+    """Spearman correlation of every pair: Pearson over average ranks of the complete rows.
 
     `key` must be unique.  Ranks come from counts of distinct values, so a value shared
     by most rows (a zero-inflated column) is one line of the rank table, and it is
     matched to its rows by broadcast.
     """
+    spark = df.sparkSession
+    if len(columns) < 2:
+        return spark.createDataFrame([], PAIRS)
     long = complete_numbers(df, columns, key).unpivot([key], columns, "feature", "value")
-    ranks = average_ranks(long, ["feature"], "value")
+    points = cut_lineage(count_points(long, ["feature"], "value"))
+    ranks = cut_lineage(average_ranks(points, ["feature"], "value"))
     ranked = lookup_by_key(long, ranks, ["feature", "value"], "n")
-    return ranked.groupBy(key).pivot("feature", columns).agg(F.first("rank"))
+    return pearson_pairs(_ranks_per_row(ranked, columns, key), columns, threshold)
 
 
-def spearman_pairs(
-    df: DataFrame, columns: list[str], key: str, threshold: float | None = None,
-) -> DataFrame:
-    """Spearman correlation of every pair: Pearson over average ranks."""
-    if len(columns) < 2:
-        return df.sparkSession.createDataFrame([], PAIRS)
-    return pearson_pairs(rank_columns(df, columns, key), columns, threshold)
+def _ranks_per_row(ranked: DataFrame, columns: list[str], key: str) -> DataFrame:
+    """One column of ranks per feature; one shuffle, a row's group has one line per column."""
+    if len(columns) <= FEW_COLUMNS:
+        return ranked.groupBy(key).agg(*[
+            F.max(F.when(F.col("feature") == c, F.col("rank"))).alias(c) for c in columns])
+    ordered = sorted(columns)
+    cells = F.array_sort(F.collect_list(F.struct("feature", "rank")))
+    return ranked.groupBy(key).agg(cells.alias("cells")).select(
+        *[F.col("cells")[i]["rank"].alias(c) for i, c in enumerate(ordered)]).select(*columns)
 
 
 def pairs_with_gaps(pairs: DataFrame, gaps: DataFrame) -> DataFrame:

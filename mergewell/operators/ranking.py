@@ -111,9 +111,13 @@ def sums_below(
     }).drop("__bucket", *[f"__{w}" for w in weights])
 
 
-def average_ranks(long: DataFrame, group: list[str], value: str) -> DataFrame:
-    """One row per (group, value): its number of rows `n` and their average `rank`."""
-    points = long.groupBy(*group, value).agg(F.count(F.lit(1)).alias("n"))
+def count_points(long: DataFrame, group: list[str], value: str) -> DataFrame:
+    """One row per (group, value) with its number of rows `n`."""
+    return long.groupBy(*group, value).agg(F.count(F.lit(1)).alias("n"))
+
+
+def average_ranks(points: DataFrame, group: list[str], value: str) -> DataFrame:
+    """Adds the average `rank` of the `n` rows that share a value."""
     return sums_below(points, group, value, ["n"]).withColumn(
         "rank", F.col("n_below") + (F.col("n") + 1) / 2).drop("n_below")
 

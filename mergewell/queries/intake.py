@@ -41,9 +41,10 @@ def q_null_tokens(spark, sf_dir):
 WITH cells AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, CAST(value AS VARCHAR) AS value,
          props, regexp_extract(props, '[0-9]+') AS k,
-         CASE WHEN event_type = 'click' THEN '1d' ELSE CAST(user_id AS VARCHAR) END AS mixed
+         CASE WHEN event_type = 'click' THEN '1d' ELSE CAST(user_id AS VARCHAR) END AS mixed,
+         CASE WHEN event_type = 'view' THEN CAST(value AS VARCHAR) END AS gappy
   FROM events), checked AS (
-  SELECT {", ".join(f"coalesce(bool_and(regexp_matches({c}, {NUMBER_SQL}) AND try_cast({c} AS DOUBLE) IS NOT NULL), false) AS {c}" for c in ("event_id", "event_type", "value", "props", "k", "mixed"))}
+  SELECT {", ".join(f"coalesce(bool_and(CASE WHEN {c} IS NOT NULL THEN regexp_matches({c}, {NUMBER_SQL}) AND try_cast({c} AS DOUBLE) IS NOT NULL END), false) AS {c}" for c in ("event_id", "event_type", "value", "props", "k", "mixed", "gappy"))}
   FROM cells)
 SELECT feature, is_numeric FROM (UNPIVOT checked ON COLUMNS(*) INTO NAME feature VALUE is_numeric)""")
 def q_infer_types(spark, sf_dir):
@@ -52,7 +53,8 @@ def q_infer_types(spark, sf_dir):
         F.col("event_id").cast("string"), "event_type", F.col("value").cast("string"), "props",
         F.regexp_extract("props", "[0-9]+", 0).alias("k"),
         F.when(F.col("event_type") == "click", "1d").otherwise(
-            F.col("user_id").cast("string")).alias("mixed"))
+            F.col("user_id").cast("string")).alias("mixed"),
+        F.when(F.col("event_type") == "view", F.col("value").cast("string")).alias("gappy"))
     return numeric_flags(cells, cells.columns).unpivot([], cells.columns, "feature", "is_numeric")
 
 
