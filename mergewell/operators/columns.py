@@ -52,7 +52,7 @@ def scan(df: DataFrame, measures: dict[str, Column]) -> dict[str, object]:
 def count_values(df: DataFrame, columns: Iterable[str] | None = None) -> tuple[int, dict[str, int]]:
     """Number of rows and, per column, of non-null cells, in one pass."""
     columns = list(df.columns if columns is None else columns)
-    measures = {"": F.count(F.lit(1)), **{c: F.count(F.col(f"`{c}`")) for c in columns}}
+    measures = {"": F.count(F.lit(1)), **{c: F.expr(f"count(`{c}`)") for c in columns}}
     values = scan(df, measures)
     return values.pop(""), values
 

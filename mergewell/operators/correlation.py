@@ -14,10 +14,10 @@ from mergewell.lineage import cut_lineage
 from mergewell.operators.ranking import average_ranks, count_points, lookup_by_key
 
 PAIRS = "a string, b string, corr double"
-# Up to this many columns one plain aggregate computes all pairs.
+# Up to this many columns ranks go back to their rows by plain conditional maxima.
 FEW_COLUMNS = 12
-# Wider tables go through the distributed Gram matrix, two column blocks at a time, so
-# that the driver never holds more than (2 * BLOCK) squared numbers.
+# The Gram matrix is computed for two column blocks at a time, so that one job never
+# aggregates more than (2 * BLOCK) squared numbers.
 BLOCK = 1000
 
 
@@ -34,53 +34,32 @@ def pearson_pairs(df: DataFrame, columns: list[str], threshold: float | None = N
     One row per pair, `a` before `b` in column order.  Constant columns have no pairs.
     With a threshold only pairs with |corr| above it are returned.
     """
-    spark = df.sparkSession
-    if len(columns) < 2:
-        return spark.createDataFrame([], PAIRS)
-    numbers = complete_numbers(df, columns)
-    if len(columns) <= FEW_COLUMNS:
-        pairs = _pairs_by_aggregate(numbers, columns)
-        return pairs if threshold is None else pairs.filter(F.abs("corr") > threshold)
-    numbers.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return spark.createDataFrame(_pairs_by_blocks(numbers, columns, threshold), PAIRS)
-    finally:
-        numbers.unpersist()
-
-
-def _pairs_by_aggregate(numbers: DataFrame, columns: list[str]) -> DataFrame:
-    deviations = {c: F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)}
-    places = list(combinations(range(len(columns)), 2))
-    moments = numbers.agg(*deviations.values(), *[
-        F.covar_pop(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in places])
-    rows = [
-        F.struct(F.lit(columns[i]).alias("a"), F.lit(columns[j]).alias("b"), F.try_divide(
-            F.col(f"c{i}_{j}"), F.col(f"s{i}") * F.col(f"s{j}")).alias("corr"))
-        for i, j in places]
-    return moments.select(F.inline(F.array(*rows))).filter(F.col("corr").isNotNull())
-
-
-def _block_matrices(numbers: DataFrame, columns: list[str]):
-    """(names, correlation matrix) of every couple of column blocks."""
-    blocks = [columns[i:i + BLOCK] for i in range(0, len(columns), BLOCK)]
-    for left, right in list(combinations(blocks, 2)) or [(blocks[0], [])]:
-        names = left + right
-        assembler = VectorAssembler(inputCols=names, outputCol="v")
-        vectors = assembler.transform(numbers).select("v")
-        yield names, Correlation.corr(vectors, "v").first()[0].toArray()
-
-
-def _pairs_by_blocks(numbers: DataFrame, columns: list[str], threshold: float | None) -> list:
-    if numbers.isEmpty():
-        return []
     place = {c: i for i, c in enumerate(columns)}
     found = {}
-    for names, matrix in _block_matrices(numbers, columns):
+    for names, matrix in _block_matrices(complete_numbers(df, columns), columns):
         strong = ~np.isnan(matrix) & (np.abs(matrix) > (-1.0 if threshold is None else threshold))
         for i, j in np.argwhere(np.triu(strong, 1)):
             a, b = sorted((names[i], names[j]), key=place.get)
             found[a, b] = float(matrix[i, j])
-    return [(a, b, r) for (a, b), r in found.items()]
+    return df.sparkSession.createDataFrame([(a, b, r) for (a, b), r in found.items()], PAIRS)
+
+
+def _block_matrices(numbers: DataFrame, columns: list[str]):
+    """(names, correlation matrix) of every couple of column blocks."""
+    if len(columns) < 2:
+        return
+    numbers.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if numbers.isEmpty():
+            return
+        blocks = [columns[i:i + BLOCK] for i in range(0, len(columns), BLOCK)]
+        for left, right in list(combinations(blocks, 2)) or [(blocks[0], [])]:
+            names = left + right
+            assembler = VectorAssembler(inputCols=names, outputCol="v")
+            vectors = assembler.transform(numbers).select("v")
+            yield names, Correlation.corr(vectors, "v").first()[0].toArray()
+    finally:
+        numbers.unpersist()
 
 
 def pearson_matrix(df: DataFrame, columns: list[str]) -> np.ndarray:
@@ -90,19 +69,9 @@ def pearson_matrix(df: DataFrame, columns: list[str]) -> np.ndarray:
     """
     place = {c: i for i, c in enumerate(columns)}
     result = np.full((len(columns), len(columns)), np.nan)
-    numbers = complete_numbers(df, columns)
-    if len(columns) <= FEW_COLUMNS:
-        for a, b, r in _pairs_by_aggregate(numbers, columns).collect():
-            result[place[a], place[b]] = result[place[b], place[a]] = r
-        return result
-    numbers.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if not numbers.isEmpty():
-            for names, matrix in _block_matrices(numbers, columns):
-                at = [place[n] for n in names]
-                result[np.ix_(at, at)] = matrix
-    finally:
-        numbers.unpersist()
+    for names, matrix in _block_matrices(complete_numbers(df, columns), columns):
+        at = [place[n] for n in names]
+        result[np.ix_(at, at)] = matrix
     return result
 
 
@@ -115,9 +84,8 @@ def spearman_pairs(
     by most rows (a zero-inflated column) is one line of the rank table, and it is
     matched to its rows by broadcast.
     """
-    spark = df.sparkSession
     if len(columns) < 2:
-        return spark.createDataFrame([], PAIRS)
+        return df.sparkSession.createDataFrame([], PAIRS)
     long = complete_numbers(df, columns, key).unpivot([key], columns, "feature", "value")
     points = cut_lineage(count_points(long, ["feature"], "value"))
     ranks = cut_lineage(average_ranks(points, ["feature"], "value"))

@@ -52,7 +52,6 @@ def drop_redundant_numeric(
         pairs = pearson_pairs(df, usable, level)
         gaps = df.sparkSession.createDataFrame(
             [(c, rows - filled[c]) for c in usable], "feature string, na_count bigint")
-        pairs = cut_lineage(pairs)
         if not pairs.isEmpty():
             redundant = redundant_features(pairs, gaps, reduce_pairs)
             dropped = sorted(r["feature"] for r in redundant.collect())

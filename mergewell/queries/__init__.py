@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from mergewell.queries import combining, intake  # noqa: F401
+from mergewell.queries import combining, evaluation, intake  # noqa: F401
 from mergewell.queries.registry import ORACLES, QUERIES
 
 
