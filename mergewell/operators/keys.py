@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
+from mergewell.lineage import cut_lineage
 from mergewell.operators.ranking import lookup_by_key, rank_in_group
 
 
@@ -33,3 +34,22 @@ def number_repeats(df: DataFrame, key: str, content: list[str] | None = None) ->
         F.coalesce(F.col(c).cast("string"), F.lit("\u0002")) for c in content]))
     hashed = df.withColumn("__digest", digest)
     return rank_in_group(hashed, [key], "__digest", "occurrence").drop("__digest")
+
+
+def subject_index(df: DataFrame, key: str) -> DataFrame:
+    """(key, subject_index): place of each distinct key in sort order, from 1.
+
+    Keys are range-partitioned and sorted; a key's place is its place in its partition
+    plus the sizes of the partitions before, a table with one line per partition.
+    """
+    ordered = df.select(key).filter(F.col(key).isNotNull()).distinct().repartitionByRange(
+        key).sortWithinPartitions(key)
+    # monotonically_increasing_id holds the partition above bit 33, the row below.
+    placed = cut_lineage(ordered.withColumn("__id", F.monotonically_increasing_id()))
+    placed = placed.withColumn("__part", F.shiftright("__id", 33))
+    sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    place = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(F.broadcast(offsets), "__part").select(
+        key, (place + F.col("__offset") + 1).alias("subject_index"))

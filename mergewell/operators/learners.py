@@ -71,43 +71,64 @@ def search_space(model: str, groups: int = 2, test_rows: int = 2) -> list[Dimens
     }[model]
 
 
-def estimator(model: str, kind: str, params: dict, trees: int = 500, depth: int = 20, seed: int = 42):
-    """A Spark ML estimator over (features, target).
+@dataclass(frozen=True)
+class Problem:
+    """What is predicted: by which key, from which label, as classes or as a number."""
 
-    min_n is the size below which a node is not split; Spark asks for the smallest
-    child instead, so half of it is passed on.
-    """
-    columns = {"featuresCol": "features", "labelCol": "target"}
-    if model == "rf":
-        make = RandomForestClassifier if kind == "classification" else RandomForestRegressor
-        return make(
-            numTrees=trees, maxDepth=min(depth, 30), seed=seed,
-            featureSubsetStrategy=str(int(params["mtry"])),
-            minInstancesPerNode=max(1, math.ceil(params["min_n"] / 2)), **columns)
-    mixture = {"lasso": 1.0, "ridge": 0.0}.get(model, params.get("mixture", 0.5))
-    make = LogisticRegression if kind == "classification" else LinearRegression
-    return make(
-        regParam=params["penalty"], elasticNetParam=mixture, standardization=True,
-        maxIter=100, **columns)
+    key: str
+    label: str
+    kind: str
+    levels: tuple[str, ...] = ()
 
+    def target(self) -> Column:
+        """Numeric target: the value itself, or the place of the class in sort order."""
+        if self.kind == "regression":
+            return F.col(self.label).cast("double")
+        levels = F.array(*[F.lit(v) for v in self.levels])
+        return (F.array_position(levels, F.col(self.label).cast("string")) - 1).cast("double")
 
-def target(label: str, kind: str, levels: list[str]) -> Column:
-    """Numeric target: the value itself, or the place of the class in sort order."""
-    if kind == "regression":
-        return F.col(label).cast("double")
-    return (F.array_position(
-        F.array(*[F.lit(v) for v in levels]), F.col(label).cast("string")) - 1).cast("double")
+
+@dataclass(frozen=True)
+class Learner:
+    """A kind of model with the settings that are not searched."""
+
+    model: str
+    kind: str
+    trees: int = 500
+    depth: int = 20
+    max_iter: int = 100
+    seed: int = 42
+
+    def estimator(self, params: dict):
+        """A Spark ML estimator over (features, target).
+
+        min_n is the size below which a node is not split; Spark asks for the smallest
+        child instead, so half of it is passed on.
+        """
+        classes = self.kind == "classification"
+        columns = {"featuresCol": "features", "labelCol": "target"}
+        if self.model == "rf":
+            make = RandomForestClassifier if classes else RandomForestRegressor
+            return make(
+                numTrees=self.trees, maxDepth=min(self.depth, 30), seed=self.seed,
+                featureSubsetStrategy=str(int(params["mtry"])),
+                minInstancesPerNode=max(1, math.ceil(params["min_n"] / 2)), **columns)
+        mixture = {"lasso": 1.0, "ridge": 0.0}.get(self.model, params.get("mixture", 0.5))
+        make = LogisticRegression if classes else LinearRegression
+        return make(
+            regParam=params["penalty"], elasticNetParam=mixture, standardization=True,
+            maxIter=self.max_iter, **columns)
 
 
-def predictions(model, df: DataFrame, label: str, kind: str, levels: list[str], keep: list[str]) -> DataFrame:
+def predictions(model, df: DataFrame, problem: Problem, keep: list[str]) -> DataFrame:
     """(keep..., truth, estimate[, scores]) of a fitted model."""
     scored = model.transform(df)
-    if kind == "regression":
-        return scored.select(*keep, F.col(label).cast("double").alias("truth"),
+    if problem.kind == "regression":
+        return scored.select(*keep, F.col(problem.label).cast("double").alias("truth"),
                              F.col("prediction").alias("estimate"))
-    names = F.array(*[F.lit(v) for v in levels])
+    names = F.array(*[F.lit(v) for v in problem.levels])
     return scored.select(
-        *keep, F.col(label).cast("string").alias("truth"),
+        *keep, F.col(problem.label).cast("string").alias("truth"),
         F.element_at(names, F.col("prediction").cast("int") + 1).alias("estimate"),
         vector_to_array("probability").alias("scores"))
 

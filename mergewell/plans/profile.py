@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from mergewell.functions.cells import as_number, is_numeric_text, is_symbol_only, is_us_date
 from mergewell.functions.hashing import feature_hash
 from mergewell.functions.naming import clean_name, make_unique
+from mergewell.jobs import in_threads
 from mergewell.operators.columns import RETYPE_NULLS, scan
 from mergewell.operators.counting import mark_duplicated, rename_across_datasets
 from mergewell.operators.duplicates import (
@@ -56,20 +57,28 @@ def summarise_problems(marks: DataFrame) -> DataFrame:
 
 def profile(
     spark: SparkSession, datasets: Iterable[RawDataset], subject_identifier: str = KEY,
+    parallelism: int = 4,
 ) -> ProfileReport:
-    """Check and clean datasets one by one, then make feature names distinct over all.
+    """Check and clean datasets, several at a time, then make feature names distinct.
 
     Per dataset one aggregate pass finds gaps, numbers, dates and symbols for all columns;
     repeated keys and repeated column names are looked at only in what they concern.
     """
+    key = clean_name(subject_identifier)
+    checked = in_threads(spark, lambda raw: _profile_one(raw, key), list(datasets), parallelism)
     report = ProfileReport(None, None, {})
-    marks: list[tuple[str, str]] = []
-    counts: list[tuple] = []
-    names: dict[str, dict[str, str]] = {}
-    for raw in datasets:
-        _profile_one(raw, clean_name(subject_identifier), report, marks, counts, names)
+    marks = [(c.name, problem) for c in checked for problem in c.problems]
+    counts = [(c.name, *line) for c in checked for line in c.counts]
+    names = {c.name: c.names for c in checked if c.clean is not None}
+    for c in checked:
+        report.evidence.update(c.evidence)
+        if c.clean is not None:
+            report.clean[c.name] = c.clean
+            report.date_features[c.name] = c.dates
+        if c.duplicate_rows is not None:
+            report.duplicate_rows[c.name] = c.duplicate_rows
     hashed = spark.createDataFrame(
-        [(d, f, u, n, h) for d, f, u, n, h in counts],
+        counts,
         "dataset string, feature string, unique_name string, na_count bigint, have_data bigint")
     report.na_counts = mark_duplicated(hashed.select(
         "dataset", "feature", feature_hash(F.col("dataset"), F.col("unique_name")).alias(
@@ -79,11 +88,26 @@ def profile(
     return report
 
 
-def _profile_one(raw, key, report, marks, counts, names) -> None:
+@dataclass
+class _Checked:
+    """What was found in one dataset."""
+
+    name: str
+    problems: list[str] = field(default_factory=list)
+    counts: list[tuple] = field(default_factory=list)
+    names: dict[str, str] = field(default_factory=dict)
+    clean: DataFrame | None = None
+    dates: list[str] = field(default_factory=list)
+    duplicate_rows: DataFrame | None = None
+    evidence: dict = field(default_factory=dict)
+
+
+def _profile_one(raw: RawDataset, key: str) -> _Checked:
+    result = _Checked(raw.name)
     bases = [clean_name(h) for h in raw.header]
     if key not in bases:
-        marks.append((raw.name, "subject_id_not_found"))
-        return
+        result.problems.append("subject_id_not_found")
+        return result
     at = bases.index(key)
     rest = [i for i in range(len(bases)) if i != at]
     unique = dict(zip(rest, make_unique(bases[i] for i in rest)))
@@ -92,31 +116,29 @@ def _profile_one(raw, key, report, marks, counts, names) -> None:
     ).filter(F.col(KEY).isNotNull())
     features = list(unique.values())
     found = _scan_cells(frame, features)
-    rows = found["rows"]
-
-    dates = [c for c in features if found["date", c]]
-    report.date_features[raw.name] = dates
-    if dates:
-        marks.append((raw.name, "date_not_unix"))
-    if any(found["symbols", c] for c in features if c not in dates):
-        marks.append((raw.name, "data_are_symbols"))
-    if has_repeats(frame, KEY):
-        marks.append((raw.name, "subject_id_duplicated"))
-        report.duplicate_rows[raw.name] = number_repeats(get_dupes(frame, [KEY]), KEY, features)
 
-    for i in rest:
-        filled = found["filled", unique[i]]
-        counts.append((raw.name, bases[i], unique[i], rows - filled, filled))
+    result.dates = [c for c in features if found["date", c]]
+    if result.dates:
+        result.problems.append("date_not_unix")
+    if any(found["symbols", c] for c in features if c not in result.dates):
+        result.problems.append("data_are_symbols")
+    if has_repeats(frame, KEY):
+        result.problems.append("subject_id_duplicated")
+        result.duplicate_rows = number_repeats(get_dupes(frame, [KEY]), KEY, features)
+    for i, c in unique.items():
+        filled = found["filled", c]
+        result.counts.append((bases[i], c, found["rows"] - filled, filled))
 
     renamed = {u: u for u in features}
-    numeric = {c for c in features if found["numeric", c] and c not in dates}
+    numeric = {c for c in features if found["numeric", c] and c not in result.dates}
     dropped = _resolve_copies(
-        frame, raw.name, {u: bases[i] for i, u in unique.items() if u not in dates},
-        numeric, renamed, report, marks)
+        frame, {u: bases[i] for i, u in unique.items() if u not in result.dates},
+        numeric, renamed, result)
     kept = [c for c in features if c not in dropped]
-    report.clean[raw.name] = frame.select(KEY, *[
-        _typed(c, c in numeric, c in dates).alias(renamed[c]) for c in kept])
-    names[raw.name] = {u: renamed[u] for u in kept}
+    result.names = {u: renamed[u] for u in kept}
+    result.clean = frame.select(KEY, *[
+        _typed(c, c in numeric, c in result.dates).alias(renamed[c]) for c in kept])
+    return result
 
 
 def _typed(column: str, numeric: bool, date: bool):
@@ -139,7 +161,7 @@ def _scan_cells(frame: DataFrame, features: list[str]) -> dict:
     return scan(frame, measures)
 
 
-def _resolve_copies(frame, dataset, bases, numeric, renamed, report, marks) -> set[str]:
+def _resolve_copies(frame, bases, numeric, renamed, result) -> set[str]:
     """Columns of one name: drop copies of the same data, rename different data."""
     copies: dict[str, list[str]] = {}
     for unique_name, base in bases.items():
@@ -156,15 +178,15 @@ def _resolve_copies(frame, dataset, bases, numeric, renamed, report, marks) -> s
     for base, columns in copies.items():
         kind = verdicts.get(base, "duplicated_column_names")
         folder = "duplicated_data" if kind == "duplicated_data" else "duplicated_colnames"
-        report.evidence[folder, dataset, base] = duplicate_evidence(frame, KEY, columns)
-        marks.append((dataset, kind))
+        result.evidence[folder, result.name, base] = duplicate_evidence(frame, KEY, columns)
+        result.problems.append(kind)
         if kind == "duplicated_data":
             dropped.update(c for c in columns if c not in survivors)
             for place, column in enumerate(c for c in columns if c in survivors):
                 renamed[column] = base if place == 0 else f"{base}_{place + 1}"
         else:
             for column in columns:
-                renamed[column] = f"{base}_{_md5(f'{dataset}_{column}')}"
+                renamed[column] = f"{base}_{_md5(f'{result.name}_{column}')}"
     return dropped
 
 

@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
+import math
 import time
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from mergewell.functions.naming import clean_name
+from mergewell.jobs import in_threads
 from mergewell.operators.baseline import RUNS, null_baseline
-from mergewell.operators.explain import shap_importance, shap_values, signed_importance
+from mergewell.operators.explain import shap_values, signed_importance
 from mergewell.operators.learners import (
-    Proposer, correlation_group_count, estimator, label_levels, model_name, predictions,
-    search_space, target)
+    Dimension, Learner, Problem, Proposer, correlation_group_count, label_levels, model_name,
+    predictions, search_space)
 from mergewell.operators.recipe import build_recipe, predictor_names
 from mergewell.operators.resampling import assign_folds, stratified_split
 from mergewell.operators.scoring import (
@@ -25,13 +25,13 @@ from mergewell.operators.scoring import (
 from mergewell.sources.delimited import load_ml_table
 
 TARGET = "target"
+CELLS_PER_PARTITION = 4_000_000
 
 
 @dataclass
 class Resample:
     repeat: int
     fold: int
-    recipe: object
     train: DataFrame
     held_out: DataFrame
 
@@ -59,10 +59,9 @@ def metrics_of(kind: str) -> tuple[str, ...]:
     return NUMBER_METRICS if kind == "regression" else (*CLASS_METRICS, "roc_auc")
 
 
-def _in_threads(work, items, parallelism: int) -> list:
-    """Run Spark jobs for all items at the same time, `parallelism` at once."""
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        return list(pool.map(inheritable_thread_target(work), items))
+def fitting_partitions(rows: int, columns: int) -> int:
+    """Partitions for iterative fits: small tables need not pay for many tiny tasks."""
+    return max(1, math.ceil(rows * columns / CELLS_PER_PARTITION))
 
 
 def make_resamples(
@@ -79,17 +78,16 @@ def make_resamples(
         mark = F.col(f"fold_r{repeat}")
         part, held_out = train.filter(mark != fold), train.filter(mark == fold)
         recipe = build_recipe(roles, cor_level).fit(part)
-        return Resample(repeat, fold, recipe, recipe.transform(part), recipe.transform(held_out))
+        return Resample(repeat, fold, recipe.transform(part), recipe.transform(held_out))
 
-    return _in_threads(
-        one, [(r, f) for r in range(1, repeats + 1) for f in range(folds)], parallelism)
+    places = [(r, f) for r in range(1, repeats + 1) for f in range(folds)]
+    return in_threads(train.sparkSession, one, places, parallelism)
 
 
 def tune(
-    resamples: list[Resample], model: str, kind: str, levels: list[str], space, metric: str,
-    key: str, label: str, tune_length: int = 80, tune_stop: int = 10, tune_time: float = 10,
-    trees: int = 1500, depth: int = 20, seed: int = 42, parallelism: int = 2,
-    initial: int = 5, save_predictions: bool = False,
+    resamples: list[Resample], problem: Problem, learner: Learner, space: list[Dimension],
+    metric: str, tune_length: int = 80, tune_stop: int = 10, tune_time: float = 10,
+    initial: int = 5, parallelism: int = 2, save_predictions: bool = False,
 ) -> TuningResult:
     """Sequential search: `initial` spread points, then up to `tune_length` more.
 
@@ -97,26 +95,24 @@ def tune(
     score is the mean over all resamples; models are fitted in parallel, and all their
     held-out predictions are scored in one job.
     """
-    if metric not in metrics_of(kind):
-        raise ValueError(f"{metric} is no metric for {kind}")
+    if metric not in metrics_of(problem.kind):
+        raise ValueError(f"{metric} is no metric for {problem.kind}")
     sign = -1 if metric in LOWER_IS_BETTER else 1
-    spark = resamples[0].train.sparkSession
-    proposer = Proposer(len(space), seed, initial)
+    proposer = Proposer(len(space), learner.seed, initial)
     deadline = time.monotonic() + 60 * tune_time
     best, best_point, best_params, without_gain, rows, saved = None, None, {}, 0, [], []
     seen: dict[tuple, dict] = {}
     for iteration in range(initial + tune_length):
         point = proposer.next(best_point, without_gain)
         params = {d.name: d.value(u) for d, u in zip(space, point)}
-        known = seen.get(tuple(params.values()))
-        if known is None:
-            known, held = _score_candidate(
-                resamples, model, kind, levels, params, key, label, trees, depth, seed, parallelism)
-            seen[tuple(params.values())] = known
+        found = seen.get(tuple(params.values()))
+        if found is None:
+            found, held = score_candidate(resamples, problem, learner, params, parallelism)
+            seen[tuple(params.values())] = found
             if save_predictions:
                 saved.append(held.withColumn("iteration", F.lit(iteration)))
-        rows += [(iteration, m, v, *[float(params[d.name]) for d in space]) for m, v in known.items()]
-        value = known[metric]
+        rows += [(iteration, m, v, *[float(x) for x in params.values()]) for m, v in found.items()]
+        value = found[metric]
         if value is not None and (best is None or sign * value > sign * best):
             best, best_point, best_params, without_gain = value, point, params, 0
         elif iteration >= initial:
@@ -126,45 +122,78 @@ def tune(
     if not best_params:
         raise ValueError(f"{metric} was undefined for every candidate")
     columns = ", ".join(f"{d.name} double" for d in space)
-    trace = spark.createDataFrame(rows, f"iteration int, metric string, mean double, {columns}")
+    trace = resamples[0].train.sparkSession.createDataFrame(
+        rows, f"iteration int, metric string, mean double, {columns}")
     return TuningResult(trace, best_params, saved)
 
 
-def _score_candidate(
-    resamples, model, kind, levels, params, key, label, trees, depth, seed, parallelism,
-):
-    learner = estimator(model, kind, params, trees, depth, seed)
+def score_candidate(
+    resamples: list[Resample], problem: Problem, learner: Learner, params: dict, parallelism: int,
+) -> tuple[dict, DataFrame]:
+    """Mean of every metric over the resamples, and the held-out predictions."""
+    estimator = learner.estimator(params)
 
     def held_out_predictions(r: Resample) -> DataFrame:
-        fitted = learner.fit(r.train)
-        return predictions(fitted, r.held_out, label, kind, levels, [key]).withColumns(
+        fitted = estimator.fit(r.train)
+        return predictions(fitted, r.held_out, problem, [problem.key]).withColumns(
             {"repeat": F.lit(r.repeat), "fold": F.lit(r.fold)})
 
-    parts = _in_threads(held_out_predictions, resamples, parallelism)
+    spark = resamples[0].train.sparkSession
+    parts = in_threads(spark, held_out_predictions, resamples, parallelism)
     held = reduce(DataFrame.unionByName, parts)
     held.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        per_resample = score(held, kind, levels, ("repeat", "fold"))
-        means = per_resample.agg(*[F.avg(m).alias(m) for m in metrics_of(kind)]).first()
+        per_resample = score(held, problem.kind, list(problem.levels), ("repeat", "fold"))
+        means = per_resample.agg(*[F.avg(m).alias(m) for m in metrics_of(problem.kind)]).first()
     finally:
         held.unpersist()
     return means.asDict(), held
 
 
+def fit_final(rows: DataFrame, roles: list[str], cor_level: float, learner: Learner, params: dict):
+    """Recipe and model learned on the given rows with the chosen parameters."""
+    recipe = build_recipe(roles, cor_level).fit(rows)
+    return recipe, learner.estimator(params).fit(recipe.transform(rows))
+
+
+def result_table(
+    metrics: DataFrame, averages: DataFrame, problem: Problem, learner: Learner) -> DataFrame:
+    """(metric, estimator, estimate, null_model_avg, model, seed)."""
+    how = ("standard" if problem.kind == "regression"
+           else "binary" if len(problem.levels) == 2 else "macro")
+    return compare_to_null(metrics, averages).select(
+        "metric", F.lit(how).alias("estimator"), "estimate", "null_model_avg",
+        F.lit(learner.model).alias("model"), F.lit(learner.seed).alias("seed"))
+
+
+def importance_of(
+    rows: DataFrame, name: str, problem: Problem, learner: Learner, params: dict,
+    roles: list[str], cor_level: float = 0.95, nsim: int = 100,
+) -> DataFrame:
+    """Shapley values of a forest or signed coefficients, model refitted on the slice."""
+    recipe, fitted = fit_final(rows, roles, cor_level, learner, params)
+    names = predictor_names(recipe)
+    if learner.model == "rf":
+        features = recipe.transform(rows).select(
+            F.col(problem.key).cast("string").alias("row_id"), "features")
+        return shap_values(fitted, features, names, problem.kind, nsim, learner.seed, name)
+    return signed_importance(fitted, names, rows.sparkSession).withColumn("slice", F.lit(name))
+
+
 def train(
     source: DataFrame | str, subject_identifier: str = "subject_id", label: str = "label",
     cor_level: float = 0.95, train_split: float = 0.7, model: str = "rf", folds: int = 10,
     repeats: int = 3, metric: str | None = None, kind: str = "classification", seed: int = 42,
     tune_length: int = 80, tune_time: float = 10, tune_stop: int = 10, explain: bool = False,
     parallelism: int = 2, trees_tune: int = 1500, trees_final: int = 500, depth: int = 20,
-    initial: int = 5, null_runs: int = RUNS, nsim: int = 100, save_predictions: bool = False,
-    spark=None,
+    max_iter: int = 100, initial: int = 5, null_runs: int = RUNS, nsim: int = 100,
+    save_predictions: bool = False, spark: SparkSession | None = None,
 ) -> TrainReport:
     """Null model, split, tuning by repeated cross-validation, final fit, test scores.
 
     Rows with gaps are dropped.  All preprocessing is learned inside the resamples.
     """
-    model = model_name(model)
+    learner = Learner(model_name(model), kind, trees_tune, depth, max_iter, seed)
     metric = metric or ("rmse" if kind == "regression" else "bal_accuracy")
     key, label = clean_name(subject_identifier), clean_name(label)
     table = load_ml_table(source, spark)
@@ -172,67 +201,50 @@ def train(
         if needed not in table.columns:
             raise ValueError(f"{needed} not found in the input")
     levels = label_levels(table, label) if kind == "classification" else []
-    table = table.withColumn(TARGET, target(label, kind, levels))
+    problem = Problem(key, label, kind, tuple(levels))
+    table = table.withColumn(TARGET, problem.target())
     roles = [key, label, TARGET, *[f"fold_r{r}" for r in range(1, repeats + 1)]]
 
-    nulls = null_baseline(table, key, label, kind, train_split, null_runs, seed, levels)
-    split = stratified_split(table, key, label, train_split, seed, kind)
+    slices = fitting_partitions(table.count(), len(table.columns))
+    split = stratified_split(table, key, label, train_split, seed, kind).coalesce(slices)
     split.persist(StorageLevel.MEMORY_AND_DISK)
     part = split.filter("is_train").drop("is_train")
     test = split.filter(~F.col("is_train")).drop("is_train")
-    folded = assign_folds(part, key, label, folds, repeats, seed, kind)
+    folded = assign_folds(part, key, label, folds, repeats, seed, kind).coalesce(slices)
     folded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if model == "rf":
-            space = search_space(
-                model, correlation_group_count(part, key, [key, label, TARGET], cor_level), test.count())
+        if learner.model == "rf":
+            groups = correlation_group_count(part, key, roles, cor_level)
+            space = search_space(learner.model, groups, test.count())
         else:
-            space = search_space(model)
+            space = search_space(learner.model)
         resamples = make_resamples(folded, roles, folds, repeats, cor_level, parallelism)
         tuned = tune(
-            resamples, model, kind, levels, space, metric, key, label, tune_length, tune_stop,
-            tune_time, trees_tune, depth, seed, parallelism, initial, save_predictions)
+            resamples, problem, learner, space, metric, tune_length, tune_stop, tune_time,
+            initial, parallelism, save_predictions)
+        folded.unpersist()
 
-        recipe, fitted = fit_final(
-            part, roles, cor_level, model, kind, tuned.best, trees_final, depth, seed)
-        held = predictions(fitted, recipe.transform(test), label, kind, levels, [key])
+        learner = replace(learner, trees=trees_final)
+        recipe, fitted = fit_final(part, roles, cor_level, learner, tuned.best)
+        held = predictions(fitted, recipe.transform(test), problem, [key])
+        nulls = null_baseline(
+            split.drop("is_train"), key, label, kind, train_split, null_runs, seed, levels)
+        # A handful of lines: computed now, so that the cached rows can be released.
         results = result_table(
-            to_metric_rows(score(held, kind, levels)), metric_average(nulls), model, kind, levels, seed)
-        report = TrainReport(results, nulls, tuned.trace, tuned.best, recipe, fitted,
-                             oof_predictions=tuned.predictions)
+            to_metric_rows(score(held, kind, levels)), metric_average(nulls), problem, learner)
+        report = TrainReport(
+            _fixed(results), _fixed(nulls), tuned.trace, tuned.best, recipe, fitted,
+            oof_predictions=tuned.predictions)
         if explain and (kind == "regression" or len(levels) == 2):
-            whole = split.drop("is_train")
-            for name, rows in (("full", whole), ("train", part), ("test", test)):
+            for name, rows in (("full", split.drop("is_train")), ("train", part), ("test", test)):
                 report.importance[name] = importance_of(
-                    rows, name, key, roles, cor_level, model, kind, tuned.best, trees_final,
-                    depth, seed, nsim)
+                    rows, name, problem, learner, tuned.best, roles, cor_level, nsim)
         return report
     finally:
-        folded.unpersist()
+        if not explain:
+            split.unpersist()
 
 
-def fit_final(rows, roles, cor_level, model, kind, best, trees, depth, seed):
-    """Recipe and model learned on the given rows with the chosen parameters."""
-    recipe = build_recipe(roles, cor_level).fit(rows)
-    learner = estimator(model, kind, best, trees, depth, seed)
-    return recipe, learner.fit(recipe.transform(rows))
-
-
-def result_table(metrics, averages, model, kind, levels, seed) -> DataFrame:
-    """(metric, estimator, estimate, null_model_avg, model, seed)."""
-    how = "standard" if kind == "regression" else "binary" if len(levels) == 2 else "macro"
-    return compare_to_null(metrics, averages).select(
-        "metric", F.lit(how).alias("estimator"), "estimate", "null_model_avg",
-        F.lit(model).alias("model"), F.lit(seed).alias("seed"))
-
-
-def importance_of(
-    rows, name, key, roles, cor_level, model, kind, best, trees, depth, seed, nsim,
-) -> DataFrame:
-    """Shapley values of a forest or signed coefficients, model refitted on the slice."""
-    recipe, fitted = fit_final(rows, roles, cor_level, model, kind, best, trees, depth, seed)
-    names = predictor_names(recipe)
-    if model == "rf":
-        features = recipe.transform(rows).select(F.col(key).cast("string").alias("row_id"), "features")
-        return shap_values(fitted, features, names, kind, nsim, seed, name)
-    return signed_importance(fitted, names, rows.sparkSession).withColumn("slice", F.lit(name))
+def _fixed(small: DataFrame) -> DataFrame:
+    """A result of a few lines as a table of its own."""
+    return small.sparkSession.createDataFrame(small.collect(), small.schema)

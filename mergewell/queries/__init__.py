@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from mergewell.queries import combining, evaluation, intake, learning  # noqa: F401
+from mergewell.queries import combining, evaluation, intake, learning, whole  # noqa: F401
 from mergewell.queries.registry import ORACLES, QUERIES
 
 

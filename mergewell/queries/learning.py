@@ -6,17 +6,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from mergewell.operators.correlation import pearson_matrix
 from mergewell.operators.explain import shap_importance
-from mergewell.operators.learners import search_space
+from mergewell.operators.learners import Learner, Problem, label_levels, search_space
 from mergewell.operators.redundancy import greedy_correlation_filter
 from mergewell.plans.train import importance_of, make_resamples, train, tune
-from mergewell.operators.learners import label_levels, target
 from mergewell.operators.resampling import assign_folds
 from mergewell.queries.combining import LINE_COLUMNS, _line_numbers
 from mergewell.queries.registry import query, table
 
 # Small search so that a query ends soon; the data is always the whole table.
 QUICK = dict(folds=3, repeats=1, tune_length=1, initial=2, trees_tune=10, trees_final=20,
-             depth=5, parallelism=4)
+             depth=5, max_iter=20, parallelism=3)
 
 
 def document_features(spark, sf_dir) -> DataFrame:
@@ -76,22 +75,24 @@ def q_tune_trace(spark, sf_dir):
     return train(document_features(spark, sf_dir), model="lasso", metric="roc_auc", **QUICK).trace
 
 
+ROLES = ["subject_id", "label", "target"]
+
+
 def _labelled_documents(spark, sf_dir):
     rows = document_features(spark, sf_dir)
-    levels = label_levels(rows, "label")
-    return rows.withColumn("target", target("label", "classification", levels)), levels
+    problem = Problem("subject_id", "label", "classification", tuple(label_levels(rows, "label")))
+    return rows.withColumn("target", problem.target()), problem
 
 
 @query("q_oof_predictions")
 def q_oof_predictions(spark, sf_dir):
-    rows, levels = _labelled_documents(spark, sf_dir)
+    rows, problem = _labelled_documents(spark, sf_dir)
     folded = assign_folds(rows, "subject_id", "label", 3, 1)
-    resamples = make_resamples(
-        folded, ["subject_id", "label", "target", "fold_r1"], 3, 1, 0.95, 3)
+    resamples = make_resamples(folded, [*ROLES, "fold_r1"], 3, 1, 0.95, 3)
+    learner = Learner("rf", "classification", trees=10, depth=5)
     tuned = tune(
-        resamples, "rf", "classification", levels, search_space("rf", 5, 50), "accuracy",
-        "subject_id", "label", tune_length=0, initial=1, trees=10, depth=5, parallelism=3,
-        save_predictions=True)
+        resamples, problem, learner, search_space("rf", 5, 50), "accuracy", tune_length=0,
+        initial=1, parallelism=3, save_predictions=True)
     return tuned.predictions[0].select("subject_id", "repeat", "fold", "truth", "estimate")
 
 
@@ -99,16 +100,16 @@ def q_oof_predictions(spark, sf_dir):
 def q_vip(spark, sf_dir):
     rows = customer_features(spark, sf_dir).withColumn("target", F.col("label"))
     return importance_of(
-        rows, "full", "subject_id", ["subject_id", "label", "target"], 0.95, "lasso",
-        "regression", {"penalty": 0.1}, 0, 0, 42, 0)
+        rows, "full", Problem("subject_id", "label", "regression"),
+        Learner("lasso", "regression"), {"penalty": 0.1}, ROLES)
 
 
 @query("q_shap")
 def q_shap(spark, sf_dir):
-    rows, _ = _labelled_documents(spark, sf_dir)
+    rows, problem = _labelled_documents(spark, sf_dir)
+    learner = Learner("rf", "classification", trees=10, depth=5)
     return importance_of(
-        rows, "full", "subject_id", ["subject_id", "label", "target"], 0.95, "rf",
-        "classification", {"mtry": 2, "min_n": 5}, 10, 5, 42, 5)
+        rows, "full", problem, learner, {"mtry": 2, "min_n": 5}, ROLES, nsim=5)
 
 
 @query("q_shap_importance")
