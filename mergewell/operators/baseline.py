@@ -34,12 +34,11 @@ def null_baseline(
     rows = df.select(
         F.col(key).cast("string").alias("key"), truth.alias("truth"),
         stratum(df, label, kind).alias("stratum"))
-    sizes = rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("size"))
     repeated = rows.withColumn(
         "seed", F.explode(F.sequence(F.lit(seed + 1), F.lit(seed + runs)))
     ).withColumn("order", seeded_hash(F.col("seed"), F.col("key")))
-    ranked = rank_in_group(repeated, ["seed", "stratum"], "order", "rn", ("key",), BUCKETS)
-    split = ranked.join(F.broadcast(sizes), "stratum").withColumn(
+    split = rank_in_group(
+        repeated, ["seed", "stratum"], "order", "rn", ("key",), BUCKETS, size="size").withColumn(
         "is_train", F.col("rn") <= F.floor(F.lit(prop) * F.col("size")))
     test = split.filter(~F.col("is_train")).select("seed", "truth")
     fitted = test if fit_on == "test" else split.filter("is_train").select("seed", "truth")

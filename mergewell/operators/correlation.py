@@ -5,20 +5,20 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from mergewell.lineage import cut_lineage
-from mergewell.operators.ranking import average_ranks, count_points, lookup_by_key
-
 PAIRS = "a string, b string, corr double"
 # Up to this many columns ranks go back to their rows by plain conditional maxima.
 FEW_COLUMNS = 12
 # The Gram matrix is computed for two column blocks at a time, so that one job never
 # aggregates more than (2 * BLOCK) squared numbers.
 BLOCK = 1000
+# Cells of one column that one task may sort, and the number of buckets over all columns.
+ROWS_PER_BUCKET = 100_000
+MAX_BUCKETS = 1_000_000
 
 
 def complete_numbers(df: DataFrame, columns: list[str], key: str | None = None) -> DataFrame:
@@ -80,28 +80,84 @@ def spearman_pairs(
 ) -> DataFrame:
     """Spearman correlation of every pair: Pearson over average ranks of the complete rows.
 
-    `key` must be unique.  Ranks come from counts of distinct values, so a value shared
-    by most rows (a zero-inflated column) is one line of the rank table, and it is
-    matched to its rows by broadcast.
+    `key` must be unique.
     """
     if len(columns) < 2:
         return df.sparkSession.createDataFrame([], PAIRS)
-    long = complete_numbers(df, columns, key).unpivot([key], columns, "feature", "value")
-    points = cut_lineage(count_points(long, ["feature"], "value"))
-    ranks = cut_lineage(average_ranks(points, ["feature"], "value"))
-    ranked = lookup_by_key(long, ranks, ["feature", "value"], "n")
-    return pearson_pairs(_ranks_per_row(ranked, columns, key), columns, threshold)
+    numbers = complete_numbers(df, columns, key).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pearson_pairs(rank_columns(numbers, columns, key), columns, threshold)
+    finally:
+        numbers.unpersist()
+
+
+def rank_columns(numbers: DataFrame, columns: list[str], key: str) -> DataFrame:
+    """Every column replaced by its average ranks, key kept.
+
+    Cells are cut at approximate quantiles into ordered buckets, which may be ranked in
+    separate tasks; exact bucket counts give each bucket's offset.  A value that fills
+    several quantiles (the zeros of a zero-inflated column) is a bucket of its own,
+    whose rows all have the same rank and need no sort.
+    """
+    rows = numbers.count()
+    wanted = max(1, min(rows // ROWS_PER_BUCKET, MAX_BUCKETS // len(columns)))
+    splits, single = _bucket_splits(numbers, columns, wanted)
+    marks = [f"{c}__bucket" for c in columns]
+    bucketed = Bucketizer(
+        splitsArray=splits, inputCols=columns, outputCols=marks).transform(numbers)
+    cells = ", ".join(f"named_struct('feature', {i}, 'bucket', int(`{m}`), 'value', `{c}`)"
+                      for i, (c, m) in enumerate(zip(columns, marks)))
+    long = bucketed.select(key, F.expr(f"inline(array({cells}))"))
+
+    # At most MAX_BUCKETS lines (twice that with the single-value ones).
+    sizes = long.groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    before = W.partitionBy("feature").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    known = numbers.sparkSession.createDataFrame(single, "feature int, bucket int").withColumn(
+        "single", F.lit(True))
+    offsets = sizes.withColumn(
+        "offset", F.coalesce(F.sum("n").over(before), F.lit(0))
+    ).join(F.broadcast(known), ["feature", "bucket"], "left")
+    placed = long.join(F.broadcast(offsets), ["feature", "bucket"])
+
+    alike = placed.filter("single").select(
+        key, "feature", (F.col("offset") + (F.col("n") + 1) / 2).alias("rank"))
+    order = W.partitionBy("feature", "bucket").orderBy("value")
+    up_to = order.rangeBetween(W.unboundedPreceding, W.currentRow)
+    ranked = placed.filter("single IS NULL").select(
+        key, "feature", (F.col("offset") + (
+            F.rank().over(order) + F.count(F.lit(1)).over(up_to)) / 2).alias("rank"))
+    return _ranks_per_row(alike.unionByName(ranked), columns, key)
+
+
+def _bucket_splits(numbers: DataFrame, columns: list[str], wanted: int):
+    """Increasing split points per column, and (column, bucket) of single values."""
+    inf = float("inf")
+    if wanted == 1:
+        return [[-inf, 0.0, inf] for _ in columns], []
+    steps = [i / wanted for i in range(1, wanted)]
+    # `wanted` numbers per column.
+    found = numbers.agg(*[
+        F.percentile_approx(c, steps, max(1000, 10 * wanted)).alias(c) for c in columns]).first()
+    splits, single = [], []
+    for i, c in enumerate(columns):
+        cuts = sorted(found[c])
+        repeated = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
+        # Buckets are closed on the left; one step above a value closes its own bucket.
+        points = sorted({-inf, inf, *cuts, *[float(np.nextafter(v, inf)) for v in repeated]})
+        splits.append(points)
+        single += [(i, points.index(v)) for v in repeated if v != inf]
+    return splits, single
 
 
 def _ranks_per_row(ranked: DataFrame, columns: list[str], key: str) -> DataFrame:
     """One column of ranks per feature; one shuffle, a row's group has one line per column."""
     if len(columns) <= FEW_COLUMNS:
         return ranked.groupBy(key).agg(*[
-            F.max(F.when(F.col("feature") == c, F.col("rank"))).alias(c) for c in columns])
-    ordered = sorted(columns)
+            F.max(F.when(F.col("feature") == i, F.col("rank"))).alias(c)
+            for i, c in enumerate(columns)])
     cells = F.array_sort(F.collect_list(F.struct("feature", "rank")))
     return ranked.groupBy(key).agg(cells.alias("cells")).select(
-        *[F.col("cells")[i]["rank"].alias(c) for i, c in enumerate(ordered)]).select(*columns)
+        key, *[F.expr(f"cells[{i}].rank AS `{c}`") for i, c in enumerate(columns)])
 
 
 def pairs_with_gaps(pairs: DataFrame, gaps: DataFrame) -> DataFrame:

@@ -50,31 +50,40 @@ def rank_in_group(
     out: str = "rn",
     tie: tuple[str, ...] = (),
     buckets: int | None = None,
+    size: str | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """row_number() within group by a hex hash column, for groups of any size.
 
     With `buckets` every group is cut into that many hash ranges: meant for a bounded
-    number of groups such as label strata.  Without it only hot groups are cut, each
-    into as many ranges as its share of all rows asks for.
+    number of groups such as label strata; `size` then also adds the group's row count.
+    Without it only hot groups are cut, each into as many ranges as its share of all
+    rows asks for.  `counted` is a cheaper frame with the same groups and hashes.
     """
+    source = df if counted is None else counted
     position = hash_fraction(F.col(order))
     if buckets is not None:
-        tagged = df.withColumn("__bucket", F.floor(position * buckets).cast("int"))
-        cut = tagged
+        place = F.floor(position * buckets).cast("int")
+        tagged = df.withColumn("__bucket", place)
+        cut = source.withColumn("__bucket", place)
     else:
-        sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
+        sizes = source.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
         total = sizes.agg(F.sum("__n")).scalar()
         hot = (
             sizes.withColumn("__cuts", F.ceil(F.col("__n") * SHARE / total))
             .filter((F.col("__n") * SHARE > total) & (F.col("__n") > SHARE))
             .drop("__n")
         )
-        tagged = _join_null_safe(df, F.broadcast(hot), group, "left").withColumn(
-            "__bucket", F.coalesce(F.floor(position * F.col("__cuts")), F.lit(0)).cast("int"))
-        cut = tagged.filter(F.col("__cuts").isNotNull())
+        place = F.coalesce(F.floor(position * F.col("__cuts")), F.lit(0)).cast("int")
+        tagged, cut = (
+            _join_null_safe(part, F.broadcast(hot), group, how).withColumn("__bucket", place)
+            for part, how in ((df, "left"), (source, "inner")))
     totals = cut.groupBy(*group, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
     before = W.partitionBy(*group).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(*group, "__bucket", F.sum("__n").over(before).alias("__offset"))
+    added = {"__offset": F.sum("__n").over(before)}
+    if size is not None:
+        added[size] = F.sum("__n").over(W.partitionBy(*group))
+    offsets = totals.withColumns(added).drop("__n")
     local = F.row_number().over(W.partitionBy(*group, "__bucket").orderBy(order, *tie))
     ranked = _join_null_safe(
         tagged.withColumn("__local", local), F.broadcast(offsets), [*group, "__bucket"], "left")
@@ -111,17 +120,6 @@ def sums_below(
     }).drop("__bucket", *[f"__{w}" for w in weights])
 
 
-def count_points(long: DataFrame, group: list[str], value: str) -> DataFrame:
-    """One row per (group, value) with its number of rows `n`."""
-    return long.groupBy(*group, value).agg(F.count(F.lit(1)).alias("n"))
-
-
-def average_ranks(points: DataFrame, group: list[str], value: str) -> DataFrame:
-    """Adds the average `rank` of the `n` rows that share a value."""
-    return sums_below(points, group, value, ["n"]).withColumn(
-        "rank", F.col("n_below") + (F.col("n") + 1) / 2).drop("n_below")
-
-
 def exact_quantiles(df: DataFrame, value: str, probs: list[float]) -> list[float]:
     """Type-7 quantiles of one numeric column, without gathering it anywhere."""
     points = (

@@ -131,12 +131,14 @@ def group_correlated(pairs: DataFrame, columns: Iterable[str], level: float) ->
     The first column of a group is kept, `members` are the others in column order;
     a feature without partner is a group of its own with no members.
     """
-    spark = pairs.sparkSession
-    order = spark.createDataFrame(
+    order = pairs.sparkSession.createDataFrame(
         [(c, i) for i, c in enumerate(columns)], "node string, place int")
-    placed = connected_components(pairs.filter(F.abs("corr") >= level))
-    grouped = order.join(placed, "node", "left").withColumn(
-        "component", F.coalesce("component", "node"))
+    edges = pairs.filter(F.abs("corr") >= level)
+    if edges.isEmpty():
+        grouped = order.withColumn("component", F.col("node"))
+    else:
+        grouped = order.join(connected_components(edges), "node", "left").withColumn(
+            "component", F.coalesce("component", "node"))
     # One group holds at most all columns of the schema.
     members = F.transform(F.sort_array(F.collect_list(F.struct("place", "node"))), lambda m: m["node"])
     return grouped.groupBy("component").agg(members.alias("all")).select(

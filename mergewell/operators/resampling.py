@@ -29,9 +29,9 @@ def stratified_split(
     """Adds `is_train`: the first floor(prop * n) rows of every stratum in hash order."""
     marked = df.withColumns({
         "__stratum": stratum(df, label, kind), "__order": seeded_hash(F.lit(seed), F.col(key))})
-    sizes = marked.groupBy("__stratum").agg(F.count(F.lit(1)).alias("__size"))
-    ranked = rank_in_group(marked, ["__stratum"], "__order", "__rn", (key,), BUCKETS)
-    return ranked.join(F.broadcast(sizes), "__stratum").withColumn(
+    ranked = rank_in_group(
+        marked, ["__stratum"], "__order", "__rn", (key,), BUCKETS, size="__size")
+    return ranked.withColumn(
         "is_train", F.col("__rn") <= F.floor(F.lit(prop) * F.col("__size"))
     ).drop("__stratum", "__order", "__rn", "__size")
 
@@ -41,10 +41,14 @@ def assign_folds(
     kind: str = "classification",
 ) -> DataFrame:
     """Adds `fold_r1` ... `fold_rN` with values 0 ... folds-1, balanced within strata."""
-    frame = df.withColumn("__stratum", stratum(df, label, kind))
+    hashed = df.withColumns({
+        "__stratum": stratum(df, label, kind),
+        **{f"__order{r}": seeded_hash(F.lit(seed), F.lit(r), F.col(key))
+           for r in range(1, repeats + 1)}})
+    frame = hashed
     for r in range(1, repeats + 1):
-        hashed = frame.withColumn("__order", seeded_hash(F.lit(seed), F.lit(r), F.col(key)))
-        ranked = rank_in_group(hashed, ["__stratum"], "__order", "__rn", (key,), BUCKETS)
+        ranked = rank_in_group(
+            frame, ["__stratum"], f"__order{r}", "__rn", (key,), BUCKETS, counted=hashed)
         frame = ranked.withColumn(
-            f"fold_r{r}", ((F.col("__rn") - 1) % folds).cast("int")).drop("__order", "__rn")
+            f"fold_r{r}", ((F.col("__rn") - 1) % folds).cast("int")).drop(f"__order{r}", "__rn")
     return frame.drop("__stratum")

@@ -200,18 +200,21 @@ def train(
     for needed in (key, label):
         if needed not in table.columns:
             raise ValueError(f"{needed} not found in the input")
+    table.persist(StorageLevel.MEMORY_AND_DISK)
     levels = label_levels(table, label) if kind == "classification" else []
     problem = Problem(key, label, kind, tuple(levels))
-    table = table.withColumn(TARGET, problem.target())
+    rows = table.withColumn(TARGET, problem.target())
     roles = [key, label, TARGET, *[f"fold_r{r}" for r in range(1, repeats + 1)]]
 
     slices = fitting_partitions(table.count(), len(table.columns))
-    split = stratified_split(table, key, label, train_split, seed, kind).coalesce(slices)
+    split = stratified_split(rows, key, label, train_split, seed, kind).coalesce(slices)
     split.persist(StorageLevel.MEMORY_AND_DISK)
     part = split.filter("is_train").drop("is_train")
     test = split.filter(~F.col("is_train")).drop("is_train")
     folded = assign_folds(part, key, label, folds, repeats, seed, kind).coalesce(slices)
     folded.persist(StorageLevel.MEMORY_AND_DISK)
+    folded.count()
+    table.unpersist()
     try:
         if learner.model == "rf":
             groups = correlation_group_count(part, key, roles, cor_level)
