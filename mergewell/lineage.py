@@ -19,3 +19,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="mergewell-"))
     return df.checkpoint()
+
+
+def spread(checkpointed: DataFrame) -> DataFrame:
+    """Give a checkpointed frame at least as many partitions as there are cores.
+
+    A single small file arrives as one partition; large inputs are left as they are.
+    """
+    cores = checkpointed.sparkSession.sparkContext.defaultParallelism
+    enough = checkpointed.rdd.getNumPartitions() >= cores
+    return checkpointed if enough else checkpointed.repartition(cores)

@@ -10,6 +10,8 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.storagelevel import StorageLevel
 
+from mergewell.lineage import cut_lineage, spread
+
 PAIRS = "a string, b string, corr double"
 # Up to this many columns ranks go back to their rows by plain conditional maxima.
 FEW_COLUMNS = 12
@@ -21,11 +23,9 @@ ROWS_PER_BUCKET = 100_000
 MAX_BUCKETS = 1_000_000
 
 
-def complete_numbers(df: DataFrame, columns: list[str], key: str | None = None) -> DataFrame:
+def complete_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
     """The columns as DOUBLE, rows with a gap removed."""
-    ids = [key] if key else []
-    return df.select(*ids, *[F.col(c).cast("double").alias(c) for c in columns]).na.drop(
-        subset=columns)
+    return df.select(*[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
 
 
 def pearson_pairs(df: DataFrame, columns: list[str], threshold: float | None = None) -> DataFrame:
@@ -75,30 +75,25 @@ def pearson_matrix(df: DataFrame, columns: list[str]) -> np.ndarray:
     return result
 
 
-def spearman_pairs(
-    df: DataFrame, columns: list[str], key: str, threshold: float | None = None,
-) -> DataFrame:
-    """Spearman correlation of every pair: Pearson over average ranks of the complete rows.
-
-    `key` must be unique.
-    """
+def spearman_pairs(df: DataFrame, columns: list[str], threshold: float | None = None) -> DataFrame:
+    """Spearman correlation of every pair: Pearson over average ranks of the complete rows."""
     if len(columns) < 2:
         return df.sparkSession.createDataFrame([], PAIRS)
-    numbers = complete_numbers(df, columns, key).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return pearson_pairs(rank_columns(numbers, columns, key), columns, threshold)
-    finally:
-        numbers.unpersist()
+    return pearson_pairs(rank_columns(df, columns), columns, threshold)
 
 
-def rank_columns(numbers: DataFrame, columns: list[str], key: str) -> DataFrame:
-    """Every column replaced by its average ranks, key kept.
+def rank_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The complete rows with every column replaced by its average ranks.
 
     Cells are cut at approximate quantiles into ordered buckets, which may be ranked in
     separate tasks; exact bucket counts give each bucket's offset.  A value that fills
     several quantiles (the zeros of a zero-inflated column) is a bucket of its own,
     whose rows all have the same rank and need no sort.
     """
+    # Row numbers tie a row's cells together again; the checkpoint keeps them fixed.
+    key = "__row"
+    numbers = spread(cut_lineage(complete_numbers(df, columns).withColumn(
+        key, F.monotonically_increasing_id())))
     rows = numbers.count()
     wanted = max(1, min(rows // ROWS_PER_BUCKET, MAX_BUCKETS // len(columns)))
     splits, single = _bucket_splits(numbers, columns, wanted)
@@ -126,7 +121,7 @@ def rank_columns(numbers: DataFrame, columns: list[str], key: str) -> DataFrame:
     ranked = placed.filter("single IS NULL").select(
         key, "feature", (F.col("offset") + (
             F.rank().over(order) + F.count(F.lit(1)).over(up_to)) / 2).alias("rank"))
-    return _ranks_per_row(alike.unionByName(ranked), columns, key)
+    return _ranks_per_row(alike.unionByName(ranked), columns, key).drop(key)
 
 
 def _bucket_splits(numbers: DataFrame, columns: list[str], wanted: int):

@@ -52,10 +52,10 @@ def label_levels(df: DataFrame, label: str) -> list[str]:
     return sorted(r["v"] for r in found)
 
 
-def correlation_group_count(df: DataFrame, key: str, roles: list[str], level: float) -> int:
+def correlation_group_count(df: DataFrame, roles: list[str], level: float) -> int:
     """Number of groups of correlated numeric predictors (singletons included)."""
     columns = numeric_columns(df, roles)
-    pairs = spearman_pairs(df, columns, key, level - 1e-12)
+    pairs = spearman_pairs(df, columns, level - 1e-12)
     return group_correlated(pairs, columns, level).count()
 
 

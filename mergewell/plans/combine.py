@@ -110,7 +110,7 @@ def _reduce(spark, merged, label, cor_level, choose, preserve_samples, excluded,
         encoded = encoded.drop(*near_empty_columns(encoded, predictors, near_empty_rows))
         predictors = [c for c in encoded.columns if c not in (KEY, label)]
 
-    pairs = spearman_pairs(encoded, predictors, KEY)
+    pairs = spearman_pairs(encoded, predictors)
     groups = choose_survivors(group_correlated(pairs, predictors, cor_level), choose)
     # One line per column of the table.
     decided = {r["survivor"]: list(r["members"]) + [r["keep"]] for r in groups.collect()}

@@ -217,7 +217,7 @@ def train(
     table.unpersist()
     try:
         if learner.model == "rf":
-            groups = correlation_group_count(part, key, roles, cor_level)
+            groups = correlation_group_count(part, roles, cor_level)
             space = search_space(learner.model, groups, test.count())
         else:
             space = search_space(learner.model)

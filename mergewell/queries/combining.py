@@ -196,7 +196,9 @@ everything AS (SELECT feature FROM counts), complete AS (SELECT feature FROM cou
 SELECT feature AS features, 'all_features' AS category FROM everything
 UNION ALL SELECT feature, 'dropped_to_retain_samples' FROM (
   SELECT feature FROM everything EXCEPT SELECT feature FROM complete)
-UNION ALL SELECT 'spent', 'dropped_in_correlation'
+UNION ALL SELECT feature, 'dropped_in_correlation' FROM (
+  SELECT feature FROM everything WHERE feature IN ('spent', 'n_orders')
+  EXCEPT SELECT feature FROM complete WHERE feature <> 'spent')
 UNION ALL SELECT feature, 'final_feature_list' FROM complete WHERE feature <> 'spent'""")
 def q_feature_summary(spark, sf_dir):
     counts = column_completeness(merged(spark, sf_dir), FEATURES).withColumnRenamed("feature", "features")
@@ -284,7 +286,7 @@ SPEARMAN_SQL = f"""lines AS ({COMPLETE_LINES_SQL}), ranks AS (SELECT {RANKED_SQL
 
 @query("q_spearman_pairs", f"WITH {SPEARMAN_SQL} SELECT a, b, round(corr, 6) AS corr FROM pairs")
 def q_spearman_pairs(spark, sf_dir):
-    pairs = spearman_pairs(_line_numbers(spark, sf_dir), LINE_COLUMNS, "line")
+    pairs = spearman_pairs(_line_numbers(spark, sf_dir), LINE_COLUMNS)
     return pairs.withColumn("corr", F.round("corr", 6))
 
 
@@ -341,7 +343,7 @@ grouped AS (SELECT k.node AS keep, list(p.node ORDER BY m.place) FILTER (WHERE p
 
 
 def _line_groups(spark, sf_dir) -> DataFrame:
-    pairs = spearman_pairs(_line_numbers(spark, sf_dir), LINE_COLUMNS, "line", 0.9)
+    pairs = spearman_pairs(_line_numbers(spark, sf_dir), LINE_COLUMNS, 0.9)
     return group_correlated(pairs, LINE_COLUMNS, 0.95)
 
 

@@ -159,7 +159,7 @@ def q_majority_class(spark, sf_dir):
 def q_mtry_limit(spark, sf_dir):
     """Groups of correlated line columns, which bound the features tried per split."""
     lines = _line_numbers(spark, sf_dir)
-    groups = correlation_group_count(lines, "line", ["line"], 0.95)
+    groups = correlation_group_count(lines, ["line"], 0.95)
     return spark.createDataFrame([(groups,)], "groups bigint")
 
 
