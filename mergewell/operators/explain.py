@@ -6,6 +6,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from mergewell.functions.hashing import seeded_hash
+from mergewell.lineage import cut_lineage
 from mergewell.operators.learners import predict_first_level
 from mergewell.operators.ranking import rank_in_group
 from mergewell.operators.resampling import BUCKETS
@@ -26,12 +27,13 @@ def shap_values(
     their contributions.  The random partner is found by its hash rank, so no part of
     the data is copied to all tasks.
     """
+    rows = cut_lineage(rows.select("row_id", "features"))
     base = rows.select("row_id", vector_to_array("features").alias("x"))
     ranked = rank_in_group(
         base.withColumns({"all": F.lit(1), "order": seeded_hash(F.lit(seed), F.col("row_id"))}),
         ["all"], "order", "place", ("row_id",), BUCKETS)
     partners = ranked.select("place", F.col("x").alias("z"))
-    scored = predict_first_level(model, rows.select("row_id", "features"), kind, "fx")
+    scored = predict_first_level(model, rows, kind, "fx")
     totals = scored.agg(F.count(F.lit(1)).alias("n"), F.avg("fx").alias("mean")).first()
     if not totals["n"]:
         raise ValueError("no rows to explain")

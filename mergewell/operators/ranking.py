@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from mergewell.functions.hashing import hash_fraction
+from mergewell.lineage import cut_lineage
 
 # A group above 1/SHARE of all rows is hot: there are fewer than SHARE such groups,
 # which bounds every table that is broadcast for them.
@@ -122,7 +123,7 @@ def sums_below(
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float]) -> list[float]:
     """Type-7 quantiles of one numeric column, without gathering it anywhere."""
-    points = (
+    points = cut_lineage(
         df.filter(F.col(value).isNotNull())
         .groupBy(F.col(value).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
         .withColumn("all", F.lit(1)))

@@ -230,13 +230,13 @@ def train(
         learner = replace(learner, trees=trees_final)
         recipe, fitted = fit_final(part, roles, cor_level, learner, tuned.best)
         held = predictions(fitted, recipe.transform(test), problem, [key])
-        nulls = null_baseline(
-            split.drop("is_train"), key, label, kind, train_split, null_runs, seed, levels)
         # A handful of lines: computed now, so that the cached rows can be released.
-        results = result_table(
-            to_metric_rows(score(held, kind, levels)), metric_average(nulls), problem, learner)
+        nulls = _fixed(null_baseline(
+            split.drop("is_train"), key, label, kind, train_split, null_runs, seed, levels))
+        results = _fixed(result_table(
+            to_metric_rows(score(held, kind, levels)), metric_average(nulls), problem, learner))
         report = TrainReport(
-            _fixed(results), _fixed(nulls), tuned.trace, tuned.best, recipe, fitted,
+            results, nulls, tuned.trace, tuned.best, recipe, fitted,
             oof_predictions=tuned.predictions)
         if explain and (kind == "regression" or len(levels) == 2):
             for name, rows in (("full", split.drop("is_train")), ("train", part), ("test", test)):

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from mergewell.operators.columns import count_values, drop_all_null, infer_types
+from mergewell.operators.columns import count_values, drop_all_null, infer_types, shuffle
 from mergewell.operators.completeness import (
     column_completeness, complete_table, drop_sparse_rows, na_cutoff)
 from mergewell.operators.counting import na_counts
-from mergewell.operators.encoding import one_hot, variance_flags
+from mergewell.operators.encoding import (
+    category_levels, dummy_encode, one_hot, variance_flags)
 from mergewell.operators.merge import keep_in, keep_not_in, merge_all, reattach, to_wide
 from mergewell.operators.redundancy import (
     choose_survivors, connected_components, drop_redundant_strings, feature_summary,
     first_per_key, group_correlated, redundant_features, resolve_label)
 from mergewell.operators.correlation import (
-    pairs_with_gaps, partner_counts, pearson_pairs, spearman_pairs, strong_pairs_report)
+    pairs_with_gaps, partner_counts, pearson_pairs, rank_columns, spearman_pairs,
+    strong_pairs_report)
 from mergewell.queries.registry import query, table
 
 FEATURES = ["balance", "nation", "segment", "n_orders", "spent", "priority", "n_events", "max_value"]
@@ -152,6 +154,20 @@ def q_one_hot(spark, sf_dir):
     return one_hot(customers, ["balance_sign", "segment"])
 
 
+@query("q_dummy", "SELECT c_custkey AS subject_id, c_acctbal, " + ", ".join(
+    f"CASE WHEN c_mktsegment = '{s}' THEN 1.0::DOUBLE ELSE 0.0 END AS c_mktsegment_{s.lower()}"
+    for s in ("BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")) + " FROM customer")
+def q_dummy(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("subject_id"), "c_acctbal", "c_mktsegment")
+    return dummy_encode(customers, category_levels(customers, ["c_mktsegment"]))
+
+
+@query("q_shuffle", "SELECT * FROM supplier")
+def q_shuffle(spark, sf_dir):
+    return shuffle(table(spark, sf_dir, "supplier"), 42, "s_suppkey")
+
+
 @query("q_zero_variance", " UNION ALL ".join(
     f"""SELECT '{name}' AS feature, min({c}) = max({c}) AS constant,
         count(*) FILTER (WHERE {c} <> 0) AS non_zero,
@@ -290,6 +306,11 @@ def q_spearman_pairs(spark, sf_dir):
     return pairs.withColumn("corr", F.round("corr", 6))
 
 
+@query("q_average_ranks", f"WITH {SPEARMAN_SQL} SELECT {', '.join(LINE_COLUMNS)} FROM ranks")
+def q_average_ranks(spark, sf_dir):
+    return rank_columns(_line_numbers(spark, sf_dir), LINE_COLUMNS)
+
+
 @query("q_corr_report", f"""
 WITH {PEARSON_SQL} SELECT a, b, round(abs(corr), 6) AS corr FROM pairs WHERE abs(corr) >= 0.95 - 1e-6""")
 def q_corr_report(spark, sf_dir):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from mergewell.lineage import cut_lineage
 from mergewell.operators.correlation import pearson_matrix
 from mergewell.operators.explain import shap_importance
 from mergewell.operators.learners import Learner, Problem, label_levels, search_space
@@ -79,7 +80,7 @@ ROLES = ["subject_id", "label", "target"]
 
 
 def _labelled_documents(spark, sf_dir):
-    rows = document_features(spark, sf_dir)
+    rows = cut_lineage(document_features(spark, sf_dir))
     problem = Problem("subject_id", "label", "classification", tuple(label_levels(rows, "label")))
     return rows.withColumn("target", problem.target()), problem
 
