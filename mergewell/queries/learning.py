@@ -15,7 +15,7 @@ from mergewell.queries.combining import LINE_COLUMNS, _line_numbers
 from mergewell.queries.registry import query, table
 
 # Small search so that a query ends soon; the data is always the whole table.
-QUICK = dict(folds=3, repeats=1, tune_length=1, initial=2, trees_tune=10, trees_final=20,
+QUICK = dict(folds=3, repeats=1, tune_length=1, initial=1, trees_tune=10, trees_final=20,
              depth=5, max_iter=20, parallelism=3)
 
 

@@ -16,6 +16,7 @@ def local_session(cpus: int | None = None) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
