@@ -13,7 +13,7 @@ from mergewell.operators.columns import (
     columns_matching, count_values, numeric_columns, string_columns)
 from mergewell.operators.completeness import filled_columns, sparse_columns
 from mergewell.operators.correlation import (
-    both_directions, pairs_with_gaps, partner_counts, pearson_pairs)
+    pairs_with_gaps, partner_counts, pearson_pairs)
 
 REDUNDANT_LEVEL = 0.99
 

@@ -11,7 +11,7 @@ from mergewell.plans.combine import combine, exclude_unresolved
 from mergewell.plans.profile import as_raw, profile
 from mergewell.plans.train import train
 from mergewell.queries.combining import (
-    COMPLETE, DENSE, GROUPS_SQL, LINE_COLUMNS, MERGED_SQL, _line_numbers, subject_tables)
+    COMPLETE, DENSE, GROUPS_SQL, MERGED_SQL, _line_numbers, subject_tables)
 from mergewell.queries.learning import QUICK
 from mergewell.queries.registry import query, table
 from mergewell.sources.delimited import RawDataset
