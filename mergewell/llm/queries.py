@@ -7,23 +7,52 @@ import importlib
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mergewell.llm import bpe, mixing, near, quality, spans
+from mergewell.llm import bpe, chat, mixing, near, quality, spans, warc
 from mergewell.llm.scratch import Scratch
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(fn=None, *, sql: str | None = None):
+    def register(fn):
+        QUERIES[fn.__name__] = fn
+        if sql is not None:
+            ORACLES[fn.__name__] = sql
+        return fn
+    return register if fn is None else register(fn)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
-@query
+@query(sql=r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    CAST([5, 2, 1][1 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3] AS BIGINT) AS weight
+  FROM d GROUP BY source),
+o AS (  -- sources that reach three times their size first
+  SELECT *, sum(3 * source_size) OVER up - 3 * source_size AS taken, sum(weight) OVER down AS free
+  FROM s WINDOW up AS (ORDER BY 3.0 * source_size / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING),
+    down AS (ORDER BY 3.0 * source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+l AS (  -- the first level that is not above the next source's limit
+  SELECT CAST((SELECT sum(source_size) FROM s) - taken AS DOUBLE) / CAST(free AS DOUBLE) AS level FROM o
+  WHERE ((SELECT sum(source_size) FROM s) - taken) * weight <= 3 * source_size * free
+  ORDER BY 3.0 * source_size / weight, source NULLS LAST LIMIT 1),
+t AS (
+  SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), weight * level) AS target,
+    CASE WHEN source_size > 0 THEN least(CAST(3 * source_size AS DOUBLE), weight * level) / source_size ELSE 1.0 END AS rate
+  FROM s, l),
+m AS (
+  SELECT doc_id, size, source_size, target, rate,
+    CAST(CAST('0x' || substr(md5('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 AS draw
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+  size * CAST(floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) AS taken
+FROM m""")
 def op3_mixing(spark, sf_dir):
     sized = Scratch(spark).write(table(spark, sf_dir, "documents", "doc_id", "source", "text").select(
         "doc_id", "source", mixing.size_in_words(F.col("text")).alias("size")), "sizes")
@@ -38,6 +67,51 @@ def op4_bpe(spark, sf_dir):
         public_tokenizers.path("word_bpe_49k.json"), with_ids=False).drop("text")
 
 
+@query(sql=r"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN first_id IS NULL OR page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to, true AS intact
+FROM p LEFT JOIN f USING (payload_digest)""")
+def op5_warc(spark, sf_dir):
+    scratch = Scratch(spark)
+    folder = scratch.path("archives")
+    pages = warc.payloads(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    manifest = warc.write_archives(pages, folder, scratch)
+    return warc.read_archives(manifest, folder).drop("url")
+
+
+@query(sql=r"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (
+  SELECT *, replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(text,
+    '\', '\5c;'), '<s>', '\3c;s>'), '</s>', '\3c;/s>'), '[INST]', '\5b;INST]'), '[/INST]', '\5b;/INST]'),
+    '<<SYS>>', '\3c;<SYS>>'), '<</SYS>>', '\3c;</SYS>>'), '[ROLE]', '\5b;ROLE]'), '[/ROLE]', '\5b;/ROLE]'),
+    '[:]', '\5b;:]') AS escaped,
+    lag(role, 1, 'start') OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) AS from_end
+  FROM r)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(escaped) + CASE role WHEN 'system' THEN 17 WHEN 'user' THEN 15 WHEN 'assistant' THEN 9
+    ELSE 20 + length(role) END) AS BIGINT) AS formatted_chars,
+  bool_and((before, role) IN (('start', 'system'), ('start', 'user'), ('system', 'user'),
+    ('user', 'assistant'), ('assistant', 'user')))
+    AND bool_or(from_end = 1 AND role IN ('user', 'assistant')) AS valid
+FROM e GROUP BY conv_id""")
+def op7_chat(spark, sf_dir):
+    extra = spark.sql("""
+        SELECT -1L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text
+        FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)""")
+    rows = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(chat.format_conversations(rows))
+
+
 @query
 def op8_near_duplicates(spark, sf_dir):
     return near.components(table(spark, sf_dir, "documents", "doc_id", "text")).drop("version")
