@@ -7,7 +7,7 @@ import importlib
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mergewell.llm import bpe, chat, mixing, near, quality, spans, warc
+from mergewell.llm import bpe, chat, mixing, near, neighbours, quality, spans, warc
 from mergewell.llm.scratch import Scratch
 
 QUERIES: dict = {}
@@ -27,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+@query
+def op2_neighbours(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 @query(sql=r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
