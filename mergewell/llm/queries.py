@@ -7,7 +7,7 @@ import importlib
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mergewell.llm import bpe, chat, mixing, near, neighbours, quality, spans, warc
+from mergewell.llm import bpe, chat, html_text, mixing, near, neighbours, quality, spans, toxicity, warc
 from mergewell.llm.scratch import Scratch
 
 QUERIES: dict = {}
@@ -27,6 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+@query
+def op1_html_text(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return html_text.extract_text(pages, html_text.fit_labeller(pages)).drop("html")
+
+
 @query
 def op2_neighbours(spark, sf_dir):
     return neighbours.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
@@ -87,6 +93,13 @@ def op5_warc(spark, sf_dir):
     return warc.read_archives(manifest, folder).drop("url")
 
 
+@query
+def op6_toxicity(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit_severity(documents, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.score_severity(documents, model).drop("text")
+
+
 @query(sql=r"""
 WITH r AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -13,9 +13,11 @@ SLICE = 512  # rows that are Python objects at the same time
 
 def with_computed(
     df: DataFrame, inputs: list[str], fields: list[T.StructField], make: Callable[[], Callable],
+    together: bool = False,
 ) -> DataFrame:
     """df plus one column per field.  make() is called once per task and returns a function
-    of the input values of one row that returns the new values as a tuple.
+    of the input values of one row that returns the new values as a tuple; with together, of
+    lists of the values of up to SLICE rows that returns such tuples.
 
     A column of df that has the name of a new field is replaced by it.
     """
@@ -31,7 +33,7 @@ def with_computed(
             for start in range(0, whole.num_rows, SLICE):
                 batch = whole.slice(start, SLICE)
                 values = [batch.column(columns.index(c)).to_pylist() for c in inputs]
-                made = [compute(*row) for row in zip(*values)]
+                made = compute(*values) if together else [compute(*row) for row in zip(*values)]
                 new = [pa.array([row[i] for row in made], kind) for i, kind in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(columns.index(c)) for c in kept] + new, names=schema.names)
