@@ -9,32 +9,46 @@ from mergewell.llm import bpe, mixing, near, quality, spans
 from mergewell.llm.scratch import Scratch
 
 
+KNOWN = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def _known(docs: DataFrame) -> DataFrame:
+    """The columns that operators look at, and all others packed away from their results."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in KNOWN]
+    rest = F.struct(*others) if others else F.lit(None)
+    return docs.select(*KNOWN, rest.alias("__rest"))
+
+
+def _restored(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs again, in their order."""
+    return df.select(*[F.col(c) if c in KNOWN else F.col("__rest")[c].alias(c) for c in docs.columns])
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality.quality_rules(docs).filter("kept").select(*docs.columns)
+    return _restored(quality.quality_rules(_known(docs)).filter("kept"), docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates."""
-    return near.drop_near_duplicates(docs).select(*docs.columns)
+    return _restored(near.drop_near_duplicates(_known(docs)), docs)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages that an earlier one has; those with nothing left go."""
-    cut = spans.dedup_spans(docs)
+    cut = spans.dedup_spans(_known(docs))
     lost = F.col("n_removed") > 0
-    text = F.when(lost, F.col("kept_text")).otherwise(F.col("text"))
     kept = cut.filter(~(lost & (F.col("n_removed") == F.col("n_words"))))
-    kept = kept.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(
-            lost, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return kept.select(*docs.columns)
+    kept = kept.withColumns({
+        "text": F.when(lost, F.col("kept_text")).otherwise(F.col("text")),
+        "n_chars": F.when(lost, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(
+            F.col("n_chars"))})
+    return _restored(kept, docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the target weights of the sources ask for."""
-    return mixing.repeated(mixing.mix(docs)).select(*docs.columns)
+    return _restored(mixing.repeated(mixing.mix(_known(docs))), docs)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -199,7 +199,7 @@ def dedup_spans(
     neither lose words nor serve as reference; rows with the same id do not remove each
     other's words; an empty table stays empty; a column that is named like a result is replaced.
     """
-    df = df.drop("n_words", "n_removed", "kept_sha256", "factors", "kept_text", "__version", "doc", "version")
+    df = df.drop("n_words", "n_removed", "kept_sha256", "factors", "kept_text")
     found = duplicate_factors(df, doc_id, text, span).select(F.col("doc").alias("__doc"), F.col("version").alias("__version"), "factors")
     joined = df.join(found, (F.col(doc_id).cast("long") == F.col("__doc"))
                      & (F.xxhash64(text) == F.col("__version")), "left").drop("__doc", "__version")
