@@ -81,86 +81,130 @@ def shingled(df: DataFrame, text: str, width: int) -> DataFrame:
 
 
 def _keys(sets: DataFrame) -> DataFrame:
-    """(node, key) for all keys of all signatures."""
+    """(node, slot, key): all keys of all signatures, slot counts chunks and left-out places."""
     made = with_computed(
         sets.select("node", "signature"), ["signature"],
         [T.StructField("keys", T.ArrayType(T.LongType()))],
         lambda: lambda s: (chunk_keys(np.frombuffer(s, np.uint16)).view(np.int64),))
-    return made.select("node", F.explode("keys").alias("key"))
+    return made.select("node", F.posexplode("keys").alias("slot", "key"))
 
 
-_LINK = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+_CHECKED = T.StructType([
+    T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
+    T.StructField("linked", T.BooleanType()), T.StructField("added", T.ArrayType(T.LongType()))])
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets overlap enough.
+def _checked(pairs: DataFrame, alone: DataFrame | None, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (leader a, member b) with linked, whether their full sets overlap enough.
 
-    Members b meet their leader a in groups of at most about GROUP: a leader with many
-    members is sent to several groups, so that texts are moved once and no group is large.
+    Members meet their leader in groups of at most about GROUP: a leader with many members is
+    sent to several groups, so that texts are moved once and no group is large.
+    With `alone`, further nodes without leader, added holds the shingles of b that a lacks,
+    and one more line per leader or lone node (b missing) holds its whole set.
     """
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"))
     members = pairs.join(sizes, "a").select(
         "a", F.pmod(F.xxhash64("b"), "parts").alias("part"), F.lit(1).alias("role"), F.col("b").alias("node"))
-    leaders = sizes.select(
-        "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+    every = sizes if alone is None else sizes.unionByName(
+        alone.select(F.col("node").alias("a"), F.lit(1).cast("long").alias("parts")))
+    leaders = every.select(
+        "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
         F.lit(0).alias("role"), F.col("a").alias("node"))
     rows = members.unionByName(leaders).join(texts, "node").select("a", "part", "role", "node", "text")
+    differences = alone is not None
 
     def work(batches):
         known = WordHashes()
         leader, whole = None, None
         for batch in batches:
             for first in range(0, batch.num_rows, SLICE):
-                links = []
+                out = []
                 for a, role, node, text in zip(*[
                         batch.column(i).slice(first, SLICE).to_pylist() for i in (0, 2, 3, 4)]):
                     shingles = shingle_set(text, known, width)
                     if role == 0:
                         leader, whole = a, shingles
+                        if differences:
+                            out.append((a, None, False, shingles.view(np.int64)))
                     elif leader == a:
-                        small, large = sorted((len(shingles), len(whole)))
-                        if 100 * small < percent * large:
-                            continue
-                        both = len(np.intersect1d(shingles, whole, assume_unique=True))
-                        if 100 * both >= percent * (small + large - both):
-                            links.append((a, node))
-                if links:
+                        place = np.minimum(np.searchsorted(whole, shingles), len(whole) - 1)
+                        inside = whole[place] == shingles
+                        both = int(inside.sum())
+                        linked = 100 * both >= percent * (len(shingles) + len(whole) - both)
+                        out.append((a, node, linked, shingles[~inside].view(np.int64) if differences else None))
+                if out:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, pa.int64()) for c in zip(*links)], names=_LINK.names)
+                        [pa.array(c, t) for c, t in zip(zip(*out), (
+                            pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64())))], names=_CHECKED.names)
+
+    return rows.repartition("a", "part").sortWithinPartitions("a", "part", "role").mapInArrow(work, _CHECKED)
+
 
-    return rows.repartition("a", "part").sortWithinPartitions("a", "part", "role").mapInArrow(work, _LINK)
+def _own_shingles(checked: DataFrame) -> DataFrame:
+    """(node, own): at least so many shingles of a member no other node has.
+
+    A shingle of any node is among what it adds to its leader, or belongs to a leader further
+    up; so one that is added once and belongs to no leader's or lone node's set is unique.
+    """
+    added = checked.select(F.col("b").alias("node"), F.explode("added").alias("shingle"))
+    once = added.groupBy("shingle").agg(
+        F.sum(F.when(F.col("node").isNull(), 2).otherwise(1)).alias("n"), F.min("node").alias("node"))
+    return once.filter("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+
+
+_LINK = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
 def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes of different components within RADIUS, from buckets in blocks.
+    """Pairs of nodes of different components within RADIUS that may be linked, from buckets
+    in blocks.
 
-    rows: key, n (members of the bucket), node, component, size, signature.  A bucket is cut
-    into blocks of about BLOCK; each pair of blocks is compared in one place.
+    rows: key, slot, n (members of the bucket), node, component, size, shared (shingles that
+    another node may have), signature.  A bucket is cut into blocks of about BLOCK; each pair
+    of blocks is compared in one place.  A pair counts in the first of its buckets only.
     """
     blocks = F.ceil(F.col("n") / BLOCK)
     own = F.pmod(F.xxhash64("node"), blocks)
     others = F.sequence(F.lit(0).cast("long"), blocks - 1)
     placed = rows.withColumn("own", own).withColumn("other", F.explode(others)).select(
         "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        "node", "component", "size", "signature")
+        "slot", "node", "component", "size", "shared", "signature")
 
     def work(frame):
-        node = frame["node"].to_numpy()
-        component = frame["component"].to_numpy()
-        size = frame["size"].to_numpy()
-        marks = np.frombuffer(b"".join(frame["signature"]), np.uint16).reshape(len(node), -1)
+        node, component = frame["node"].to_numpy(), frame["component"].to_numpy()
+        size, shared = frame["size"].to_numpy(), frame["shared"].to_numpy()
+        slot = int(frame["slot"].iloc[0])
+        names, counts = np.unique(component, return_counts=True)
         out = []
-        for k in range(len(node) - 1):
-            far = (marks[k + 1:] != marks[k]).sum(1)
-            low, high = np.minimum(size[k + 1:], size[k]), np.maximum(size[k + 1:], size[k])
-            hits = np.flatnonzero(
-                (component[k + 1:] != component[k]) & (far <= RADIUS) & (100 * low >= percent * high))
-            out += [(min(node[k], node[k + 1 + h]), max(node[k], node[k + 1 + h])) for h in hits]
+        if len(names) > 1:
+            marks = np.frombuffer(b"".join(frame["signature"]), np.uint16).reshape(len(node), -1)
+            commonest = names[counts.argmax()]
+            for k in np.flatnonzero(component != commonest):
+                # Of two nodes outside the commonest component the later one is left to the first.
+                other = (component == commonest) | (np.arange(len(node)) > k)
+                most = np.minimum(shared, shared[k])
+                other &= (component != component[k]) & (100 * most >= percent * (size + size[k] - most))
+                hits = np.flatnonzero(other)
+                if not len(hits):
+                    continue
+                wrong = marks[hits] != marks[k]
+                hits = hits[(wrong.sum(1) <= RADIUS) & (_first_slot(wrong) == slot)]
+                out += [(min(node[k], node[h]), max(node[k], node[h])) for h in hits]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return placed.groupBy("key", "i", "j").applyInPandas(work, _LINK).distinct()
 
 
+def _first_slot(wrong: np.ndarray) -> np.ndarray:
+    """The first slot whose key two signatures share, from the places in which they differ."""
+    chunks = wrong.reshape(len(wrong), CHUNKS, -1)
+    errors = chunks.sum(2)
+    chunk = (errors <= ERRORS).argmax(1)
+    line = np.arange(len(wrong))
+    place = np.where(errors[line, chunk] == 0, 0, chunks[line, chunk].argmax(1))
+    return chunk * chunks.shape[2] + place
+
+
 def components(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, percent: int = 85,
 ) -> DataFrame:
@@ -172,9 +216,11 @@ def components(
     1. Rows with equal sets become one node, with the smallest id among them.
     2. Nodes meet in the buckets of the multi-index: one key per chunk of the signature and
        per position of it that may be wrong, so that no pair within RADIUS is missed.
-    3. Every node is checked on full sets against the leader that most of its buckets name.
-    4. Where a bucket still holds several components, its signatures are compared in blocks,
-       and pairs of different components within RADIUS are checked on full sets as well.
+    3. Every node is checked on full sets against the leader that most of its buckets name: a
+       bucket's leader is the member that meets most others in all its buckets.
+    4. Where a bucket still holds several components, its signatures are compared in blocks.
+       Pairs of different components within RADIUS are checked on full sets as well, unless
+       the shingles that one of them shares with no other node already rule a link out.
 
     A missing or blank text has no shingles and is linked with nothing: its component is its
     own id.  A missing id counts as larger than any other; component_id is missing only if
@@ -193,32 +239,50 @@ def components(
         .withColumn("node", F.monotonically_increasing_id()), "sets")
 
     keys = scratch.write(_keys(sets), "keys")
-    buckets = scratch.write(keys.groupBy("key").agg(
-        F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
+    buckets = scratch.write(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
     shared = scratch.write(keys.join(buckets, "key"), "shared")
     scratch.drop(keys, buckets)
-    wanted = shared.select("node").distinct().join(sets, "node").select(
-        "node", F.col("version").alias("text_version"))
+    degrees = scratch.write(shared.groupBy("node").agg(F.sum("n").alias("degree")), "degrees")
+    wanted = degrees.join(sets, "node").select("node", F.col("version").alias("text_version"))
     versions = df.select(F.xxhash64(text).alias("text_version"), F.col(text).alias("text"))
     texts = scratch.write(versions.join(wanted, "text_version").groupBy("node").agg(
         F.first("text").alias("text")), "texts")
 
-    votes = shared.filter("leader < node").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("votes"))
-    chosen = votes.groupBy("node").agg(F.max(F.struct("votes", -F.col("leader"))).alias("best"))
-    pairs = scratch.write(chosen.select((-F.col("best.col2")).alias("a"), F.col("node").alias("b")), "pairs")
-    links = scratch.write(_verified(pairs, texts, width, percent), "links")
+    # Leaders come first in the order of falling degree, then node: no circle is possible.
+    first = F.struct("degree", (-F.col("node")).alias("minus"))
+    ranked = scratch.write(shared.select("key", "node").join(degrees, "node"), "ranked")
+    leaders = scratch.write(ranked.groupBy("key").agg(F.max(first).alias("leader")), "leaders")
+    votes = ranked.join(leaders, "key").filter(first < F.col("leader")).groupBy("node", "leader").agg(
+        F.count(F.lit(1)).alias("votes"))
+    best = votes.groupBy("node").agg(F.max(F.struct("votes", "leader")).alias("best"))
+    pairs = scratch.write(best.select((-F.col("best.leader.minus")).alias("a"), F.col("node").alias("b")), "pairs")
+    alone = degrees.select("node").join(pairs, degrees["node"] == pairs["b"], "left_anti").join(
+        pairs.select("a").distinct(), F.col("node") == F.col("a"), "left_anti")
+    checked = scratch.write(_checked(pairs, alone, texts, width, percent), "checked")
+    links = checked.filter("linked").select("a", "b")
     members = scratch.write(_components(links, sets), "members")
-
-    mixed_up = shared.join(members, "node").groupBy("key").agg(
-        F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
-    rest = shared.join(mixed_up, "key", "left_semi").select("key", "n", "node").join(members, "node").join(
-        sets.select("node", "size", "signature"), "node")
+    scratch.drop(ranked, leaders)
+
+    leading = pairs.select(F.col("a").alias("node")).distinct().withColumn("leads", F.lit(True))
+    possible = scratch.write(
+        degrees.select("node").join(members, "node").join(sets.select("node", "size", "signature"), "node")
+        .join(_own_shingles(checked), "node", "left").join(leading, "node", "left")
+        .withColumn("shared", F.col("size") - F.when(F.col("leads"), 0).otherwise(F.coalesce("own", F.lit(0))))
+        .filter(100 * F.col("shared") >= percent * F.col("size"))
+        .select("node", "component", "size", "shared", "signature"), "possible")
+    places = scratch.write(shared.select("key", "slot", "node").join(
+        possible.select("node", "component"), "node"), "places")
+    mixed_up = places.groupBy("key").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n")).filter(
+        "x < y").select("key", "n")
+    rest = places.drop("component").join(mixed_up, "key").join(possible, "node")
     tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = scratch.write(_block_pairs(rest, percent).join(tried, ["a", "b"], "left_anti"), "more")
     if not more.isEmpty():
-        links = scratch.write(links.unionByName(_verified(more, texts, width, percent)), "links")
+        again = _checked(more, None, texts, width, percent).filter("linked").select("a", "b")
+        links = scratch.write(links.unionByName(again), "links")
         members = scratch.write(_components(links, sets), "members")
-    scratch.drop(shared, texts, pairs)
+    scratch.drop(shared, texts, pairs, checked, possible, places)
 
     lowest = sets.join(members, "node").groupBy("component").agg(F.min("low").alias("component_id"))
     labelled = scratch.write(sets.join(members, "node").join(lowest, "component").select(
