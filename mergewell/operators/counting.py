@@ -31,18 +31,28 @@ def mark_duplicated(counts: DataFrame) -> DataFrame:
 def rename_across_datasets(counts: DataFrame) -> DataFrame:
     """New names for features that several datasets share.
 
-    The copy with most data keeps the name, the next ones get _2, _3 ...
-    The input has one row per feature of the schema, not per data row.
+    The copy with most data keeps the name, the next ones get _2, _3 ..., skipping every
+    name that some dataset has.  The input has one row per feature of the schema, not per
+    data row.
     """
     same = W.partitionBy("feature")
     fullest = same.orderBy(F.desc("have_data"), "dataset")
-    return (
+    placed = (
         counts.withColumn("copies", F.count(F.lit(1)).over(same))
         .withColumn("place", F.row_number().over(fullest))
-        .filter("copies > 1")
-        .select("dataset", "feature", "have_data", F.when(
-            F.col("place") == 1, F.col("feature")).otherwise(
-            F.concat_ws("_", "feature", F.col("place").cast("string"))).alias("new_feature_name")))
+        .filter("copies > 1"))
+    # As many numbered names as there are copies and names that could be in their way.
+    names = counts.select("feature").distinct()
+    wanted = placed.groupBy("feature").agg(F.max("copies").alias("copies"))
+    in_the_way = wanted.join(names.withColumnRenamed("feature", "name"), F.startswith(
+        F.col("name"), F.concat("feature", F.lit("_"))), "left").groupBy("feature").agg(
+        (F.max("copies") + F.count("name")).alias("last"))
+    free = in_the_way.withColumn("number", F.explode(F.sequence(F.lit(2).cast("long"), "last"))).select(
+        "feature", "number", F.concat_ws("_", "feature", F.col("number").cast("string")).alias("name")).join(
+        names.select(F.col("feature").alias("name")), "name", "left_anti")
+    numbered = free.withColumn("place", F.row_number().over(W.partitionBy("feature").orderBy("number")) + 1)
+    return placed.join(numbered.select("feature", "place", "name"), ["feature", "place"], "left").select(
+        "dataset", "feature", "have_data", F.coalesce("name", "feature").alias("new_feature_name"))
 
 
 def features_with_gaps(counts: DataFrame) -> DataFrame:

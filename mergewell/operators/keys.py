@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from mergewell.lineage import cut_lineage
-from mergewell.operators.ranking import lookup_by_key, rank_in_group
+from mergewell.operators.ranking import join_null_safe, rank_in_group
 
 
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -15,8 +15,11 @@ def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def get_dupes(df: DataFrame, keys: list[str]) -> DataFrame:
-    """All rows whose key combination occurs more than once, with `dupe_count`."""
-    return lookup_by_key(df, repeated_keys(df, keys), keys, "dupe_count")
+    """All rows whose key combination occurs more than once, with `dupe_count`.
+
+    Missing keys are equal to each other.  One count per key and one join, whose large
+    partitions adaptive execution splits."""
+    return join_null_safe(df, repeated_keys(df, keys), keys, "inner")
 
 
 def has_repeats(df: DataFrame, key: str) -> bool:

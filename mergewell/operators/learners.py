@@ -71,6 +71,9 @@ def search_space(model: str, groups: int = 2, test_rows: int = 2) -> list[Dimens
     }[model]
 
 
+DEEPEST = 30  # the deepest tree that Spark ML grows
+
+
 @dataclass(frozen=True)
 class Problem:
     """What is predicted: by which key, from which label, as classes or as a number."""
@@ -95,10 +98,14 @@ class Learner:
     model: str
     kind: str
     trees: int = 500
-    depth: int = 20
+    depth: int = DEEPEST
     max_iter: int = 100
     seed: int = 42
 
+    def __post_init__(self):
+        if self.depth > DEEPEST:
+            raise ValueError(f"forests are at most {DEEPEST} deep here")
+
     def estimator(self, params: dict):
         """A Spark ML estimator over (features, target).
 
@@ -110,7 +117,7 @@ class Learner:
         if self.model == "rf":
             make = RandomForestClassifier if classes else RandomForestRegressor
             return make(
-                numTrees=self.trees, maxDepth=min(self.depth, 30), seed=self.seed,
+                numTrees=self.trees, maxDepth=self.depth, seed=self.seed,
                 featureSubsetStrategy=str(int(params["mtry"])),
                 minInstancesPerNode=max(1, math.ceil(params["min_n"] / 2)), **columns)
         mixture = {"lasso": 1.0, "ridge": 0.0}.get(self.model, params.get("mixture", 0.5))

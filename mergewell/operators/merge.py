@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -15,12 +16,32 @@ def find_repeats(datasets: dict[str, DataFrame], key: str) -> list[str]:
     return sorted(r["dataset"] for r in repeated.select("dataset").distinct().collect())
 
 
+def apart(datasets: list[DataFrame], key: str) -> list[DataFrame]:
+    """The datasets with features of one name told apart: the first dataset keeps the name,
+    later ones get _2, _3 ..., skipping every name that some dataset has."""
+    used = {c for df in datasets for c in df.columns}
+    seen: set[str] = set()
+    result = []
+    for df in datasets:
+        renamed = {}
+        for c in df.columns:
+            if c != key and c in seen:
+                number = next(n for n in count(2) if f"{c}_{n}" not in used)
+                renamed[c] = f"{c}_{number}"
+                used.add(renamed[c])
+        seen.update(df.columns)
+        result.append(df.withColumnsRenamed(renamed))
+    return result
+
+
 def merge_all(datasets: list[DataFrame], key: str) -> DataFrame:
-    """Full outer merge of any number of datasets with unique keys and distinct names.
+    """Full outer merge of any number of datasets with unique keys.
 
-    Stacking and grouping by the key needs one shuffle, a chain of full outer joins
-    one or two per dataset.  A group has at most one row per dataset.
+    Features that share a name stay two features, see apart().  Stacking and grouping by the
+    key needs one shuffle, a chain of full outer joins one or two per dataset.  A group has
+    at most one row per dataset.
     """
+    datasets = apart(datasets, key)
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), datasets)
     features = [c for c in stacked.columns if c != key]
     return stacked.filter(F.col(key).isNotNull()).groupBy(key).agg(

@@ -19,7 +19,7 @@ from mergewell.lineage import cut_lineage
 SHARE = 4096
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Join in which NULL keys match; the right side's keys are dropped."""
     renamed = right.withColumnsRenamed({k: f"__{k}" for k in keys})
     condition = reduce(
@@ -27,23 +27,6 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, condition, how).drop(*[f"__{k}" for k in keys])
 
 
-def lookup_by_key(rows: DataFrame, table: DataFrame, keys: list[str], weight: str) -> DataFrame:
-    """Inner join of rows with a table of one line per key, safe for hot keys.
-
-    `weight` is the table's column with the number of rows of that key.  Keys above
-    1/SHARE of all rows (fewer than SHARE of them) are matched by broadcast, so that
-    their rows never meet in one shuffle partition; all others by a shuffled join.
-    """
-    total = table.agg(F.sum(weight)).scalar()
-    payload = [c for c in table.columns if c not in keys]
-    hot = F.col(weight) * SHARE > total
-    marked = rows.join(
-        F.broadcast(table.filter(hot).withColumn("__hot", F.lit(True))), keys, "left")
-    matched = marked.filter(F.col("__hot")).drop("__hot")
-    others = marked.filter(F.col("__hot").isNull()).drop("__hot", *payload)
-    return matched.unionByName(others.join(table.filter(~hot), keys, "inner"))
-
-
 def rank_in_group(
     df: DataFrame,
     group: list[str],
@@ -77,7 +60,7 @@ def rank_in_group(
         )
         place = F.coalesce(F.floor(position * F.col("__cuts")), F.lit(0)).cast("int")
         tagged, cut = (
-            _join_null_safe(part, F.broadcast(hot), group, how).withColumn("__bucket", place)
+            join_null_safe(part, F.broadcast(hot), group, how).withColumn("__bucket", place)
             for part, how in ((df, "left"), (source, "inner")))
     totals = cut.groupBy(*group, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
     before = W.partitionBy(*group).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
@@ -86,7 +69,7 @@ def rank_in_group(
         added[size] = F.sum("__n").over(W.partitionBy(*group))
     offsets = totals.withColumns(added).drop("__n")
     local = F.row_number().over(W.partitionBy(*group, "__bucket").orderBy(order, *tie))
-    ranked = _join_null_safe(
+    ranked = join_null_safe(
         tagged.withColumn("__local", local), F.broadcast(offsets), [*group, "__bucket"], "left")
     return ranked.withColumn(
         out, (F.col("__local") + F.coalesce("__offset", F.lit(0))).cast("bigint")
@@ -105,7 +88,7 @@ def sums_below(
     steps = [i / buckets for i in range(1, buckets)]
     cuts = points.groupBy(*group).agg(
         F.percentile_approx(value, steps, 1000).alias("__cuts"))
-    tagged = _join_null_safe(points, F.broadcast(cuts), group, "inner").withColumn(
+    tagged = join_null_safe(points, F.broadcast(cuts), group, "inner").withColumn(
         "__bucket", F.size(F.filter("__cuts", lambda c: c < F.col(value)))).drop("__cuts")
     totals = tagged.groupBy(*group, "__bucket").agg(
         *[F.sum(w).alias(f"__{w}") for w in weights])
@@ -116,7 +99,7 @@ def sums_below(
         W.partitionBy(*group, "__bucket").orderBy(value).rowsBetween(W.unboundedPreceding, -1))
     local = tagged.withColumns({f"{w}_below": F.sum(w).over(smaller) for w in weights})
     zero = F.lit(0)
-    return _join_null_safe(local, F.broadcast(offsets), [*group, "__bucket"], "inner").withColumns({
+    return join_null_safe(local, F.broadcast(offsets), [*group, "__bucket"], "inner").withColumns({
         f"{w}_below": F.coalesce(f"{w}_below", zero) + F.coalesce(f"__{w}", zero) for w in weights
     }).drop("__bucket", *[f"__{w}" for w in weights])
 

@@ -193,7 +193,9 @@ def feature_summary(
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The first whole row of each key in the given order, without sorting the groups."""
+    """The first whole row of each key in the given order, missing values last, without
+    sorting the groups."""
     others = [c for c in df.columns if c not in keys and c not in order]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*order, *others)).alias("__best"))
+    first = [x for c in order for x in (F.col(c).isNull().alias(f"__no_{c}"), F.col(c))]
+    best = df.groupBy(*keys).agg(F.min(F.struct(*first, *others)).alias("__best"))
     return best.select(*keys, "__best.*").select(*df.columns)

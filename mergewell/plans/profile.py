@@ -110,7 +110,7 @@ def _profile_one(raw: RawDataset, key: str) -> _Checked:
         return result
     at = bases.index(key)
     rest = [i for i in range(len(bases)) if i != at]
-    unique = dict(zip(rest, make_unique(bases[i] for i in rest)))
+    unique = dict(zip(rest, make_unique([KEY, *[bases[i] for i in rest]])[1:]))
     frame = raw.frame.select(
         F.col(f"c{at}").alias(KEY), *[F.col(f"c{i}").alias(unique[i]) for i in rest]
     ).filter(F.col(KEY).isNotNull())

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import time
 from dataclasses import dataclass, field, replace
 from functools import reduce
@@ -15,7 +14,7 @@ from mergewell.jobs import in_threads
 from mergewell.operators.baseline import RUNS, null_baseline
 from mergewell.operators.explain import shap_values, signed_importance
 from mergewell.operators.learners import (
-    Dimension, Learner, Problem, Proposer, correlation_group_count, label_levels, model_name,
+    DEEPEST, Dimension, Learner, Problem, Proposer, correlation_group_count, label_levels, model_name,
     predictions, search_space)
 from mergewell.operators.recipe import build_recipe, predictor_names
 from mergewell.operators.resampling import assign_folds, stratified_split
@@ -25,7 +24,7 @@ from mergewell.operators.scoring import (
 from mergewell.sources.delimited import load_ml_table
 
 TARGET = "target"
-CELLS_PER_PARTITION = 4_000_000
+PARTITIONS = 8  # of the rows that models are fitted on
 
 
 @dataclass
@@ -59,9 +58,10 @@ def metrics_of(kind: str) -> tuple[str, ...]:
     return NUMBER_METRICS if kind == "regression" else (*CLASS_METRICS, "roc_auc")
 
 
-def fitting_partitions(rows: int, columns: int) -> int:
-    """Partitions for iterative fits: small tables need not pay for many tiny tasks."""
-    return max(1, math.ceil(rows * columns / CELLS_PER_PARTITION))
+def dealt(rows: DataFrame, key: str, partitions: int) -> DataFrame:
+    """Rows dealt by key and sorted: forests draw their samples by partition and place, so
+    the same count of partitions gives the same model on every cluster."""
+    return rows.repartition(partitions, key).sortWithinPartitions(key)
 
 
 def make_resamples(
@@ -185,13 +185,14 @@ def train(
     cor_level: float = 0.95, train_split: float = 0.7, model: str = "rf", folds: int = 10,
     repeats: int = 3, metric: str | None = None, kind: str = "classification", seed: int = 42,
     tune_length: int = 80, tune_time: float = 10, tune_stop: int = 10, explain: bool = False,
-    parallelism: int = 2, trees_tune: int = 1500, trees_final: int = 500, depth: int = 20,
+    parallelism: int = 2, trees_tune: int = 1500, trees_final: int = 500, depth: int = DEEPEST,
     max_iter: int = 100, initial: int = 5, null_runs: int = RUNS, nsim: int = 100,
-    save_predictions: bool = False, spark: SparkSession | None = None,
+    save_predictions: bool = False, partitions: int = PARTITIONS, spark: SparkSession | None = None,
 ) -> TrainReport:
     """Null model, split, tuning by repeated cross-validation, final fit, test scores.
 
-    Rows with gaps are dropped.  All preprocessing is learned inside the resamples.
+    Rows with gaps are dropped.  `partitions` is the number of parts that fits work on; choose
+    it for the size of the table, as forests depend on it.  All preprocessing is learned inside the resamples.
     """
     learner = Learner(model_name(model), kind, trees_tune, depth, max_iter, seed)
     metric = metric or ("rmse" if kind == "regression" else "bal_accuracy")
@@ -206,12 +207,11 @@ def train(
     rows = table.withColumn(TARGET, problem.target())
     roles = [key, label, TARGET, *[f"fold_r{r}" for r in range(1, repeats + 1)]]
 
-    slices = fitting_partitions(table.count(), len(table.columns))
-    split = stratified_split(rows, key, label, train_split, seed, kind).coalesce(slices)
+    split = dealt(stratified_split(rows, key, label, train_split, seed, kind), key, partitions)
     split.persist(StorageLevel.MEMORY_AND_DISK)
     part = split.filter("is_train").drop("is_train")
     test = split.filter(~F.col("is_train")).drop("is_train")
-    folded = assign_folds(part, key, label, folds, repeats, seed, kind).coalesce(slices)
+    folded = dealt(assign_folds(part, key, label, folds, repeats, seed, kind), key, partitions)
     folded.persist(StorageLevel.MEMORY_AND_DISK)
     folded.count()
     table.unpersist()

@@ -199,10 +199,13 @@ def q_retyped(spark, sf_dir):
 
 
 @query("q_first_per_key", """
+WITH o AS (SELECT o_custkey, o_orderkey,
+  CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END AS o_totalprice FROM orders)
 SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (
-  PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) AS rn FROM orders) WHERE rn = 1""")
+  PARTITION BY o_custkey ORDER BY o_totalprice NULLS LAST, o_orderkey) AS rn FROM o) WHERE rn = 1""")
 def q_first_per_key(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.when(
+        F.col("o_orderstatus") != "F", F.col("o_totalprice")).alias("o_totalprice"))
     return first_per_key(orders, ["o_custkey"], ["o_totalprice", "o_orderkey"])
 
 
@@ -384,15 +387,30 @@ def q_choose_survivor(spark, sf_dir):
 @query("q_components", """
 WITH RECURSIVE edges AS (
   SELECT DISTINCT n_name AS a, c_mktsegment || '-' || CAST(c_nationkey AS VARCHAR) AS b
-  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0),
+  FROM customer JOIN nation ON c_nationkey = n_nationkey),
 links AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
 reach AS (SELECT a AS node, a AS other FROM links UNION
           SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a)
 SELECT node, min(other) AS component FROM reach GROUP BY node""")
 def q_components(spark, sf_dir):
-    customers = table(spark, sf_dir, "customer").filter("c_acctbal >= 0")
+    customers = table(spark, sf_dir, "customer")
     nations = table(spark, sf_dir, "nation")
     edges = customers.join(nations, customers.c_nationkey == nations.n_nationkey).select(
         F.col("n_name").alias("a"),
         F.concat_ws("-", "c_mktsegment", "c_nationkey").alias("b")).distinct()
     return connected_components(edges)
+
+
+@query("q_merge_shared_names", """
+SELECT coalesce(c.c_custkey, s.s_suppkey, n.n_nationkey) AS subject_id, c.c_acctbal AS acctbal,
+  s.s_acctbal AS acctbal_3, n.n_regionkey::DOUBLE AS acctbal_2
+FROM customer c FULL JOIN supplier s ON c.c_custkey = s.s_suppkey
+FULL JOIN nation n ON coalesce(c.c_custkey, s.s_suppkey) = n.n_nationkey""")
+def q_merge_shared_names(spark, sf_dir):
+    """Two datasets share a feature name, a third has the name that the second copy would get."""
+    return merge_all([
+        table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("subject_id"), F.col("c_acctbal").alias("acctbal")),
+        table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("subject_id"), F.col("s_acctbal").alias("acctbal")),
+        table(spark, sf_dir, "nation").select(
+            F.col("n_nationkey").cast("long").alias("subject_id"), F.col("n_regionkey").cast("double").alias("acctbal_2")),
+    ], "subject_id")

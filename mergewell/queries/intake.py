@@ -278,3 +278,25 @@ SELECT dataset, feature, have_data, CASE WHEN place = 1 THEN feature ELSE featur
   AS new_feature_name FROM placed WHERE copies > 1""")
 def q_rename_across(spark, sf_dir):
     return rename_across_datasets(_shared_names(spark, sf_dir))
+
+
+@query("q_rename_clash", """
+SELECT 'customer' AS dataset, 'acctbal' AS feature, count(c_acctbal) AS have_data, 'acctbal' AS new_feature_name FROM customer
+UNION ALL SELECT 'supplier', 'acctbal', count(s_acctbal), 'acctbal_3' FROM supplier""")
+def q_rename_clash(spark, sf_dir):
+    """The name that the second copy would get belongs to a third dataset."""
+    counts = na_counts(table(spark, sf_dir, "customer").select(F.col("c_acctbal").alias("acctbal")), "customer")
+    for name, column, feature in (("supplier", "s_acctbal", "acctbal"), ("nation", "n_regionkey", "acctbal_2")):
+        counts = counts.unionByName(na_counts(table(spark, sf_dir, name).select(F.col(column).alias(feature)), name))
+    return rename_across_datasets(counts)
+
+
+@query("q_dupes_null_keys", """
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'O' THEN o_custkey END AS o_custkey FROM orders)
+SELECT * FROM (SELECT o_custkey, o_orderkey, count(*) OVER (PARTITION BY o_custkey) AS dupe_count FROM o)
+WHERE dupe_count > 1""")
+def q_dupes_null_keys(spark, sf_dir):
+    """Orders whose customer occurs more than once; missing customers are equal."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderstatus") != "O", F.col("o_custkey")).alias("o_custkey"), "o_orderkey")
+    return get_dupes(orders, ["o_custkey"])

@@ -12,6 +12,7 @@ from mergewell.functions.cells import NA_TOKENS, null_tokens
 from mergewell.functions.naming import clean_names, dataset_name
 from mergewell.operators.columns import infer_types
 
+READER_TOKENS = ("", "NA")  # fixed values: all that a table reader takes for missing by default
 SEPARATORS = {"csv": ",", "tsv": "\t", "txt": "\t"}
 
 
@@ -36,7 +37,8 @@ def list_datasets(spark: SparkSession, path: str) -> list[str]:
 
 
 def separator(path: str) -> str:
-    extension = os.path.splitext(path)[1].lstrip(".").lower()
+    """By the extension; the reader unpacks a file that also ends in .gz."""
+    extension = os.path.splitext(path.lower().removesuffix(".gz"))[1].lstrip(".")
     if extension not in SEPARATORS:
         raise ValueError(f"{path}: expected one of {', '.join(SEPARATORS)}")
     return SEPARATORS[extension]
@@ -72,12 +74,21 @@ def read_delimited(
 
 
 def read_all(spark: SparkSession, path: str) -> list[RawDataset]:
-    return [read_delimited(spark, p) for p in list_datasets(spark, path)]
+    """All files below a directory; one of an unknown kind becomes a dataset without columns,
+    which profile() reports as a dataset without key."""
+    return [
+        read_delimited(spark, p) if known_kind(p) else RawDataset(
+            dataset_name(p), spark.createDataFrame([], T.StructType([])), [])
+        for p in list_datasets(spark, path)]
+
+
+def known_kind(path: str) -> bool:
+    return os.path.splitext(path.lower().removesuffix(".gz"))[1].lstrip(".") in SEPARATORS
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """One file with clean unique names and inferred types."""
-    raw = read_delimited(spark, path)
+    raw = read_delimited(spark, path, tokens=READER_TOKENS)
     return infer_types(raw.frame.toDF(*clean_names(raw.header)))
 
 
@@ -96,7 +107,7 @@ def load_problems(spark: SparkSession, path: str) -> DataFrame:
 def load_ml_table(source: DataFrame | str, spark: SparkSession | None = None) -> DataFrame:
     """Complete rows with clean names, from a table or a csv, tsv, txt or Parquet path."""
     if isinstance(source, str):
-        if os.path.splitext(source.rstrip("/"))[1].lstrip(".") in SEPARATORS:
+        if os.path.splitext(source.rstrip("/").removesuffix(".gz"))[1].lstrip(".") in SEPARATORS:
             df = read_table(spark, source)
         else:
             df = spark.read.parquet(source)
