@@ -17,6 +17,7 @@ RECALL = 0.95  # that the calibration queries must reach
 BRANCHES = 16
 LEAF_ROWS = 16  # fitted vectors in a leaf at most
 BLOCK_ROWS = 20_000  # vectors of one branch that are compared in one place
+SEARCHES = 256  # queries whose leaves one task looks up
 ROUNDING = 1e-9  # products within this of the last one kept are computed exactly
 
 
@@ -218,7 +219,8 @@ def nearest(
 
     vectors = _blocks(leaves, tree)
     blocks = scratch.write(vectors.groupBy("branch").agg(F.max("block").alias("last")), "blocks")
-    wanted = _visits(asked, shared, opened, sizes, k).join(blocks, "branch").withColumn(
+    spread = asked.repartition(max(1, -(-total // SEARCHES)))
+    wanted = _visits(spread, shared, opened, sizes, k).join(blocks, "branch").withColumn(
         "block", F.explode(F.sequence(F.lit(0).cast("long"), "last"))).drop("last")
     return _top(_search(vectors, wanted, k), k)
 

@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from mergewell.llm.rows import with_computed
+from mergewell.llm.scratch import Scratch
 
 FIT_ROWS = 5_000  # labelled rows, chosen by hash, that the model is fitted on
 GRADES = 3  # severities above 0
@@ -48,20 +49,20 @@ class Severity:
         self.thresholds = np.full(GRADES, 20.0)
 
     def fit(self, rows: list[tuple[dict[int, int], bool]]) -> Severity:
+        """rows: counts of the screened features, and whether the text is toxic."""
         toxic = np.array([t for _, t in rows], bool)
         if not toxic.any() or toxic.all():
             if toxic.any():
                 self.thresholds = np.array([-20.0] + [20.0] * (GRADES - 1))
             return self
-        chosen = screened(rows, toxic)
+        chosen = sorted({f for counts, _ in rows for f in counts})
         place = {f: i for i, f in enumerate(chosen)}
         lines, columns, values = [], [], []
         for i, (counts, _) in enumerate(rows):
             for f, n in counts.items():
-                if f in place:
-                    lines.append(i)
-                    columns.append(place[f])
-                    values.append(np.log1p(n))
+                lines.append(i)
+                columns.append(place[f])
+                values.append(np.log1p(n))
         lines, columns, values = np.array(lines, np.int64), np.array(columns, np.int64), np.array(values, float)
         grade = grades(np.bincount(lines, values, len(rows)), toxic)
         w, cuts = np.zeros(len(chosen)), np.linspace(0.5, 2.5, GRADES)
@@ -86,22 +87,18 @@ class Severity:
         return 1.0 / (1.0 + np.exp(-np.clip(line - self.thresholds, -30, 30)))
 
 
-def screened(rows, toxic: np.ndarray) -> list[int]:
-    """Features that occur more often in toxic rows than chance allows."""
-    inside, outside = Counter(), Counter()
-    for (counts, _), mark in zip(rows, toxic):
-        (inside if mark else outside).update(counts.keys())
-    n, a = len(toxic), int(toxic.sum())
-    out = []
-    for f, both in inside.items():
-        other = outside.get(f, 0)
-        with_it = both + other
-        if with_it < 3 or with_it == n or both * (n - a) <= other * a:
-            continue
-        expected = with_it * a / n
-        if (both - expected) ** 2 / (expected * (1 - a / n) * (1 - with_it / n)) >= SCREEN:
-            out.append(f)
-    return sorted(out)
+def screened(sample: DataFrame, rows: int, marked: int) -> DataFrame:
+    """(feature) of those that occur more often in toxic rows than chance allows.
+
+    sample: toxic (0 or 1), counts; rows and marked: how many there are, and toxic ones."""
+    if not 0 < marked < rows:
+        return sample.select(F.explode(F.map_keys("counts")).alias("feature")).limit(0)
+    of = sample.select("toxic", F.explode(F.map_keys("counts")).alias("feature")).groupBy("feature").agg(
+        F.sum("toxic").alias("both"), F.count(F.lit(1)).alias("held"))
+    expected = F.col("held") * (marked / rows)
+    spread = expected * (1 - marked / rows) * (1 - F.col("held") / rows)
+    return of.filter((F.col("held") >= 3) & (F.col("held") < rows) & (F.col("both") > expected)).filter(
+        F.pow(F.col("both") - expected, 2) >= SCREEN * spread).select("feature")
 
 
 def grades(evidence: np.ndarray, toxic: np.ndarray) -> np.ndarray:
@@ -129,10 +126,20 @@ def fit_severity(
     picked = usable.filter(F.pmod(F.xxhash64("__doc"), F.lit(every)) == 0)
     joined = documents.select(doc_id, text).join(
         F.broadcast(picked), F.col(doc_id) == F.col("__doc"))  # FIT_ROWS lines
-    rows = with_computed(joined, [text], _COUNTS, lambda: lambda value: (list(counts_of(value).items()),))
-    found = rows.select("__doc", "__toxic", F.map_entries("counts").alias("counts")).collect()
-    found.sort(key=lambda r: (r["__doc"], sorted(r["counts"])))
-    return Severity().fit([(dict(map(tuple, r["counts"])), r["__toxic"] > 0) for r in found])
+    scratch = Scratch(documents.sparkSession)
+    sample = scratch.write(with_computed(
+        joined, [text], _COUNTS, lambda: lambda value: (list(counts_of(value).items()),)).select(
+        F.monotonically_increasing_id().alias("row"), F.col("__doc").alias("doc"),
+        (F.col("__toxic") > 0).cast("int").alias("toxic"), "counts"), "labelled")
+    texts = sample.select("row", "doc", "toxic").collect()  # about FIT_ROWS
+    chosen = scratch.write(screened(sample, len(texts), sum(r["toxic"] for r in texts)), "features")
+    hits = sample.select("row", F.explode("counts").alias("feature", "n")).join(chosen, "feature").collect()
+    counts: dict[int, dict[int, int]] = {r["row"]: {} for r in texts}
+    for r in hits:
+        counts[r["row"]][r["feature"]] = r["n"]
+    ordered = sorted(texts, key=lambda r: (r["doc"], sorted(counts[r["row"]].items())))
+    scratch.drop(sample, chosen)
+    return Severity().fit([(counts[r["row"]], r["toxic"] > 0) for r in ordered])
 
 
 def score_severity(df: DataFrame, model: Severity, text: str = "text") -> DataFrame:

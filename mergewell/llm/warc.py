@@ -146,7 +146,7 @@ def write_archives(pages: DataFrame, folder: str, scratch: Scratch) -> DataFrame
         return pd.Series([bisect.bisect_right(ends, key) for key in zip(ids, digests)], dtype="int64")
 
     present = F.coalesce("page_id", F.lit(-1 << 63))
-    ordered = rows.withColumn("shard", shard_of(present, F.col("digest"))).repartition(
+    ordered = rows.withColumn("shard", shard_of(present, F.col("digest"))).repartitionByRange(
         len(points.value) + 1, "shard").sortWithinPartitions("shard", "page_id", "digest", "kind", "url").select(
         "shard", "page_id", "digest", "kind", "refers_to", "url", "payload")
 
@@ -217,7 +217,7 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
                         yield _records(rows)
 
     files = manifest.select("name")
-    return files.repartition("name").mapInArrow(work, _RECORD)
+    return files.repartition(max(1, files.count())).mapInArrow(work, _RECORD)
 
 
 def _records(rows: list[tuple]) -> pa.RecordBatch:
