@@ -2,33 +2,55 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mergewell.functions.naming import clean_name, make_unique
 from mergewell.operators.columns import scan
+from mergewell.operators.keys import subject_index
 
-# Every level becomes a column; beyond this a text column is an id, not a category.
-MAX_LEVELS = 2000
+
+def level_counts(df: DataFrame, columns: list[str]) -> dict[str, int]:
+    """Exact number of levels of each text column."""
+    if not columns:
+        return {}
+    counted = _levels(df, columns).groupBy("feature").count().collect()  # a line per column
+    found = {r["feature"]: r["count"] for r in counted}
+    return {c: found.get(c, 0) for c in columns}
+
+
+def _levels(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.select(*columns).unpivot([], columns, "feature", "level").distinct().filter(
+        F.col("level").isNotNull())
 
 
 def category_levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     """Sorted levels of text columns; one distinct over (column, value) pairs.
 
-    Raises when there are too many levels to be columns, so the result stays small.
+    Each level becomes a column of its own later, so ask level_counts() first and turn
+    columns with many levels into sparse vectors instead.
     """
-    if not columns:
-        return {}
-    pairs = df.select(*columns).unpivot([], columns, "feature", "level").distinct().filter(
-        F.col("level").isNotNull())
-    found = pairs.limit(MAX_LEVELS + 1).collect()
-    if len(found) > MAX_LEVELS:
-        raise ValueError(f"more than {MAX_LEVELS} levels in {columns}; drop identifier columns")
     levels: dict[str, list[str]] = {c: [] for c in columns}
-    for row in found:
-        levels[row["feature"]].append(row["level"])
+    if columns:
+        for row in _levels(df, columns).collect():
+            levels[row["feature"]].append(row["level"])
     return {c: sorted(v) for c, v in levels.items()}
 
 
+def sparse_one_hot(df: DataFrame, column: str, out: str) -> DataFrame:
+    """One vector per row for a text column with any number of levels: 1 at the place of the
+    row's level in sort order; a missing value has no 1.  Places are found by joins, so that
+    no list of levels is held anywhere; a vector holds one number whatever its size."""
+    places = subject_index(df.filter(F.col(column).isNotNull()), column).select(
+        F.col(column).alias("__level"), (F.col("subject_index") - 1).cast("double").alias("__place")).distinct()
+    # One place beyond the last level stands for a missing value, and is left out of the vector.
+    last = places.agg(F.coalesce(F.max("__place") + 1, F.lit(1.0))).first()[0]
+    indexed = df.join(places, F.col(column) == F.col("__level"), "left").drop("__level").fillna(last, ["__place"])
+    sizes = df.sparkSession.createDataFrame([(last,)], "__place double")
+    encoder = OneHotEncoder(inputCol="__place", outputCol=out, dropLast=True)
+    return encoder.fit(sizes).transform(indexed).drop("__place")
+
+
 def indicator(column: str, level: str) -> Column:
     """1.0 where the level is present, 0.0 elsewhere, NULL where the value is missing."""
     return F.when(F.col(column).isNull(), None).otherwise(

@@ -11,7 +11,8 @@ from mergewell.functions.naming import clean_name
 from mergewell.operators.columns import count_values, string_columns
 from mergewell.operators.completeness import complete_table
 from mergewell.operators.correlation import spearman_pairs, strong_pairs_report
-from mergewell.operators.encoding import constant_columns, near_empty_columns, one_hot
+from mergewell.operators.encoding import (
+    constant_columns, level_counts, near_empty_columns, one_hot)
 from mergewell.operators.merge import find_repeats, merge_all, reattach
 from mergewell.operators.redundancy import (
     choose_survivors, drop_redundant_numeric, drop_redundant_strings, feature_summary,
@@ -19,6 +20,10 @@ from mergewell.operators.redundancy import (
 from mergewell.plans.profile import KEY, as_raw, profile
 
 
+IDENTIFIER_SHARE = 0.5  # levels per row above which a text column is an identifier
+CATEGORY_LEVELS = 100  # as many levels may always become columns
+
+
 @dataclass
 class CombineReport:
     merged_data_with_nas: DataFrame
@@ -102,7 +107,14 @@ def _reduce(spark, merged, label, cor_level, choose, preserve_samples, excluded,
         complete = reattach(complete, labelled.select(KEY, label), KEY)
 
     texts = string_columns(complete, (KEY, label))
-    encoded = one_hot(complete, texts)
+    # A text that hardly repeats names rows and tells nothing of others: kept out, and reported.
+    counts = level_counts(complete, texts)
+    size = complete.count() if counts else 0
+    names_rows = [c for c in texts if counts[c] > max(CATEGORY_LEVELS, IDENTIFIER_SHARE * size)]
+    advice += [("identifier_like", f"{c} has nearly as many levels as rows and is left out", counts[c])
+               for c in names_rows]
+    complete = complete.drop(*names_rows)
+    encoded = one_hot(complete, [c for c in texts if c not in names_rows])
     predictors = [c for c in encoded.columns if c not in (KEY, label)]
     encoded = encoded.drop(*constant_columns(encoded, predictors))
     predictors = [c for c in encoded.columns if c not in (KEY, label)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from mergewell.operators.columns import count_values, drop_all_null, infer_types, shuffle
@@ -9,7 +11,7 @@ from mergewell.operators.completeness import (
     column_completeness, complete_table, drop_sparse_rows, na_cutoff)
 from mergewell.operators.counting import na_counts
 from mergewell.operators.encoding import (
-    category_levels, dummy_encode, one_hot, variance_flags)
+    category_levels, dummy_encode, one_hot, sparse_one_hot, variance_flags)
 from mergewell.operators.merge import keep_in, keep_not_in, merge_all, reattach, to_wide
 from mergewell.operators.redundancy import (
     choose_survivors, connected_components, drop_redundant_strings, feature_summary,
@@ -414,3 +416,13 @@ def q_merge_shared_names(spark, sf_dir):
         table(spark, sf_dir, "nation").select(
             F.col("n_nationkey").cast("long").alias("subject_id"), F.col("n_regionkey").cast("double").alias("acctbal_2")),
     ], "subject_id")
+
+
+@query("q_many_levels", """
+SELECT row_number() OVER (ORDER BY p_name) - 1 AS place, count(*) AS n FROM part GROUP BY p_name""")
+def q_many_levels(spark, sf_dir):
+    """One-hot vectors of a text with thousands of levels: how often each place is 1."""
+    encoded = sparse_one_hot(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", "levels")
+    ones = encoded.agg(Summarizer.numNonZeros(F.col("levels")).alias("ones"))
+    return ones.select(F.posexplode(vector_to_array("ones")).alias("place", "n")).select(
+        F.col("place").cast("long"), F.col("n").cast("long"))
