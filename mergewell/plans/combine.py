@@ -59,11 +59,19 @@ def size_advice(rows: int) -> list[tuple[str, str, float]]:
     return []
 
 
+def class_counts(labelled: DataFrame, label: str) -> DataFrame:
+    """One line per class of a text label; none for a number."""
+    text = labelled if labelled.schema[label].dataType.simpleString() == "string" else labelled.limit(0)
+    return text.groupBy(F.col(label).cast("string").alias("message")).agg(
+        F.count(F.lit(1)).cast("double").alias("value")).select(
+        F.lit("class_count").alias("code"), "message", "value")
+
+
 def combine(
     spark: SparkSession, datasets: dict[str, DataFrame], label: str = "label",
     cor_level: float = 0.99, choose: dict[str, str] | None = None,
     preserve_samples: bool = False, problems: DataFrame | None = None,
-    on_repeat: str = "exclude", near_empty_rows: int | None = None,
+    on_repeat: str = "exclude", near_empty_rows: int | None = 1,
 ) -> CombineReport:
     """Merge on subject_id, drop redundant, sparse and correlated features, encode text.
 
@@ -141,5 +149,6 @@ def _reduce(spark, merged, label, cor_level, choose, preserve_samples, excluded,
         merged_data_with_nas=deduped, ml_table=encoded.select(KEY, *survivors, label),
         feature_summary=summary, groups=groups, correlated_features=report,
         advisories=spark.createDataFrame(
-            [(c, m, float(v)) for c, m, v in advice], "code string, message string, value double"),
+            [(c, m, float(v)) for c, m, v in advice], "code string, message string, value double").unionByName(
+            class_counts(labelled, label)),
         label=label, excluded=excluded, cutoff=cutoff)

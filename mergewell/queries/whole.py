@@ -126,7 +126,8 @@ def q_ml_table(spark, sf_dir):
 WITH merged AS ({MERGED_SQL}), size AS (SELECT count(*)::DOUBLE AS value FROM merged)
 SELECT 'few_samples' AS code, value FROM size WHERE value BETWEEN 200 AND 399
 UNION ALL SELECT 'very_few_samples', value FROM size WHERE value < 200
-UNION ALL SELECT 'low_cor_level', 0.9::DOUBLE""")
+UNION ALL SELECT 'low_cor_level', 0.9::DOUBLE
+UNION ALL SELECT 'class_count', count(*)::DOUBLE FROM merged WHERE segment IS NOT NULL GROUP BY segment""")
 def q_advisories(spark, sf_dir):
     names = ("customer", "orders", "events")
     report = combine(
