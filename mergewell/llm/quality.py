@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from mergewell.lineage import cut_lineage
 from mergewell.llm.rows import with_computed
-from mergewell.llm.words import WordHashes, Windows, words_of
+from mergewell.llm.words import WordHashes, Windows
 
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b"\t\n\x0b\x0c\r "
