@@ -168,12 +168,13 @@ def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
     others = F.sequence(F.lit(0).cast("long"), blocks - 1)
     placed = rows.withColumn("own", own).withColumn("other", F.explode(others)).select(
         "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        "slot", "node", "component", "size", "shared", "signature")
+        "own", "slot", "node", "component", "size", "shared", "signature")
 
     def work(frame):
         node, component = frame["node"].to_numpy(), frame["component"].to_numpy()
         size, shared = frame["size"].to_numpy(), frame["shared"].to_numpy()
-        slot = int(frame["slot"].iloc[0])
+        slot, own = int(frame["slot"].iloc[0]), frame["own"].to_numpy()
+        across = frame["i"].iloc[0] != frame["j"].iloc[0]  # pairs of one block have a place of their own
         names, counts = np.unique(component, return_counts=True)
         out = []
         if len(names) > 1:
@@ -182,6 +183,8 @@ def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
             for k in np.flatnonzero(component != commonest):
                 # Of two nodes outside the commonest component the later one is left to the first.
                 other = (component == commonest) | (np.arange(len(node)) > k)
+                if across:
+                    other &= own != own[k]
                 most = np.minimum(shared, shared[k])
                 other &= (component != component[k]) & (100 * most >= percent * (size + size[k] - most))
                 hits = np.flatnonzero(other)
@@ -260,7 +263,7 @@ def components(
         pairs.select("a").distinct(), F.col("node") == F.col("a"), "left_anti")
     checked = scratch.write(_checked(pairs, alone, texts, width, percent), "checked")
     links = checked.filter("linked").select("a", "b")
-    members = scratch.write(_components(links, sets), "members")
+    members = scratch.write(_roots(links, sets, scratch), "members")
     scratch.drop(ranked, leaders)
 
     leading = pairs.select(F.col("a").alias("node")).distinct().withColumn("leads", F.lit(True))
@@ -279,9 +282,9 @@ def components(
     tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = scratch.write(_block_pairs(rest, percent).join(tried, ["a", "b"], "left_anti"), "more")
     if not more.isEmpty():
-        again = _checked(more, None, texts, width, percent).filter("linked").select("a", "b")
-        links = scratch.write(links.unionByName(again), "links")
-        members = scratch.write(_components(links, sets), "members")
+        again = scratch.write(_checked(more, None, texts, width, percent).filter("linked").select("a", "b"), "again")
+        if not again.isEmpty():
+            members = scratch.write(_joined(again, members), "members")
     scratch.drop(shared, texts, pairs, checked, possible, places)
 
     lowest = sets.join(members, "node").groupBy("component").agg(F.min("low").alias("component_id"))
@@ -294,12 +297,30 @@ def components(
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
 
 
-def _components(links: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, component) of all nodes."""
-    if links.isEmpty():
-        return sets.select("node", F.col("node").alias("component"))
-    return sets.select("node").join(connected_components(links), "node", "left").select(
-        "node", F.coalesce("component", "node").alias("component"))
+def _roots(links: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, component) of all nodes when every node b is linked to one leader a at most:
+    each node looks its leader's leader up until the top is reached."""
+    up = links.select(F.col("b").alias("component"), F.col("a").alias("above"))
+    now = scratch.write(links.select(F.col("b").alias("node"), F.col("a").alias("component")), "roots")
+    while True:
+        higher = now.join(up, "component", "left").select(
+            "node", F.coalesce("above", "component").alias("component"), F.col("above").isNotNull().alias("moved"))
+        before, now = now, scratch.write(higher, "roots")
+        scratch.drop(before)
+        if now.filter("moved").isEmpty():
+            return sets.select("node").join(now, "node", "left").select(
+                "node", F.coalesce("component", "node").alias("component"))
+
+
+def _joined(links: DataFrame, members: DataFrame) -> DataFrame:
+    """members after links between nodes of different components."""
+    a = members.select(F.col("node").alias("a"), F.col("component").alias("x"))
+    b = members.select(F.col("node").alias("b"), F.col("component").alias("y"))
+    edges = links.join(a, "a").join(b, "b").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    merged = connected_components(edges).select(
+        F.col("node").alias("component"), F.col("component").alias("whole"))
+    return members.join(merged, "component", "left").select(
+        "node", F.coalesce("whole", "component").alias("component"))
 
 
 def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
