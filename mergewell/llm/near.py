@@ -22,6 +22,7 @@ ERRORS = 1  # allowed in a chunk
 #: a similarity of 0.85 differ in more with a probability of 3 in a million.
 RADIUS = CHUNKS * (ERRORS + 1) - 1
 GROUP = 512  # members that one leader is compared with in one place
+REMOVED_BITS = 1024  # of the sketch of the shingles that a member lacks of its leader's
 BLOCK = 256  # members of a bucket that are compared with each other in one place
 
 _random = np.random.default_rng(85)
@@ -91,7 +92,8 @@ def _keys(sets: DataFrame) -> DataFrame:
 
 _CHECKED = T.StructType([
     T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
-    T.StructField("linked", T.BooleanType()), T.StructField("added", T.ArrayType(T.LongType()))])
+    T.StructField("linked", T.BooleanType()), T.StructField("added", T.ArrayType(T.LongType())),
+    T.StructField("removed", T.BinaryType())])
 
 
 def _checked(pairs: DataFrame, alone: DataFrame | None, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -100,7 +102,8 @@ def _checked(pairs: DataFrame, alone: DataFrame | None, texts: DataFrame, width:
     Members meet their leader in groups of at most about GROUP: a leader with many members is
     sent to several groups, so that texts are moved once and no group is large.
     With `alone`, further nodes without leader, added holds the shingles of b that a lacks,
-    and one more line per leader or lone node (b missing) holds its whole set.
+    removed is a bitmap of those of a that b lacks, and one more line per leader or lone node
+    (b missing) holds its whole set.
     """
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"))
     members = pairs.join(sizes, "a").select(
@@ -125,21 +128,33 @@ def _checked(pairs: DataFrame, alone: DataFrame | None, texts: DataFrame, width:
                     if role == 0:
                         leader, whole = a, shingles
                         if differences:
-                            out.append((a, None, False, shingles.view(np.int64)))
+                            out.append((a, None, False, shingles.view(np.int64), None))
                     elif leader == a:
                         place = np.minimum(np.searchsorted(whole, shingles), len(whole) - 1)
                         inside = whole[place] == shingles
                         both = int(inside.sum())
                         linked = 100 * both >= percent * (len(shingles) + len(whole) - both)
-                        out.append((a, node, linked, shingles[~inside].view(np.int64) if differences else None))
+                        out.append((a, node, linked, *(
+                            (shingles[~inside].view(np.int64), _bitmap(whole, place[inside]))
+                            if differences else (None, None))))
                 if out:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*out), (
-                            pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64())))], names=_CHECKED.names)
+                            pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.binary()))], names=_CHECKED.names)
 
     return rows.repartition("a", "part").sortWithinPartitions("a", "part", "role").mapInArrow(work, _CHECKED)
 
 
+def _bitmap(whole: np.ndarray, present: np.ndarray) -> bytes:
+    """Bits of the shingles in `whole` that are not present: as many as are set are missing at
+    least, and so for the union of two bitmaps."""
+    gone = np.ones(len(whole), bool)
+    gone[present] = False
+    bits = np.zeros(REMOVED_BITS, bool)
+    bits[(whole[gone] >> np.uint64(40)) % np.uint64(REMOVED_BITS)] = True
+    return np.packbits(bits).tobytes()
+
+
 def _own_shingles(checked: DataFrame) -> DataFrame:
     """(node, own): at least so many shingles of a member no other node has.
 
@@ -160,7 +175,9 @@ def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
     in blocks.
 
     rows: key, slot, n (members of the bucket), node, component, size, shared (shingles that
-    another node may have), signature.  A bucket is cut into blocks of about BLOCK; each pair
+    another node may have), leader, leader_size, spare (shingles that the leader lacks and
+    another node may have), removed, signature.  Two members of one leader share at most what
+    neither lacks of it, and the smaller of their spare shingles.  A bucket is cut into blocks of about BLOCK; each pair
     of blocks is compared in one place.  A pair counts in the first of its buckets only.
     """
     blocks = F.ceil(F.col("n") / BLOCK)
@@ -168,7 +185,8 @@ def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
     others = F.sequence(F.lit(0).cast("long"), blocks - 1)
     placed = rows.withColumn("own", own).withColumn("other", F.explode(others)).select(
         "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        "own", "slot", "node", "component", "size", "shared", "signature")
+        "own", "slot", "node", "component", "size", "shared", "leader", "leader_size", "spare", "removed",
+        "signature")
 
     def work(frame):
         node, component = frame["node"].to_numpy(), frame["component"].to_numpy()
@@ -179,6 +197,9 @@ def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
         out = []
         if len(names) > 1:
             marks = np.frombuffer(b"".join(frame["signature"]), np.uint16).reshape(len(node), -1)
+            gone = np.frombuffer(b"".join(frame["removed"]), np.uint64).reshape(len(node), -1)
+            leader, whole = frame["leader"].to_numpy(), frame["leader_size"].to_numpy()
+            spare = frame["spare"].to_numpy()
             commonest = names[counts.argmax()]
             for k in np.flatnonzero(component != commonest):
                 # Of two nodes outside the commonest component the later one is left to the first.
@@ -188,6 +209,12 @@ def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
                 most = np.minimum(shared, shared[k])
                 other &= (component != component[k]) & (100 * most >= percent * (size + size[k] - most))
                 hits = np.flatnonzero(other)
+                if not len(hits):
+                    continue
+                lacking = np.bitwise_count(gone[hits] | gone[k]).sum(1, dtype=np.int64)
+                both = whole[k] - lacking + np.minimum(spare[hits], spare[k])
+                both = np.where(leader[hits] == leader[k], both, size[k])
+                hits = hits[100 * both >= percent * (size[hits] + size[k] - both)]
                 if not len(hits):
                     continue
                 wrong = marks[hits] != marks[k]
@@ -266,13 +293,23 @@ def components(
     members = scratch.write(_roots(links, sets, scratch), "members")
     scratch.drop(ranked, leaders)
 
+    follows = checked.filter("b is not null").select(
+        F.col("b").alias("node"), F.col("a").alias("leader"), F.size("added").alias("added"), "removed")
+    leading_sizes = sets.select(F.col("node").alias("leader"), F.col("size").alias("leader_size"))
+    follows = follows.join(leading_sizes, "leader")
     leading = pairs.select(F.col("a").alias("node")).distinct().withColumn("leads", F.lit(True))
     possible = scratch.write(
         degrees.select("node").join(members, "node").join(sets.select("node", "size", "signature"), "node")
-        .join(_own_shingles(checked), "node", "left").join(leading, "node", "left")
+        .join(_own_shingles(checked), "node", "left").join(leading, "node", "left").join(follows, "node", "left")
+        .withColumn("spare", F.coalesce(F.col("added"), F.lit(0)) - F.when(F.col("leads"), 0).otherwise(
+            F.coalesce("own", F.lit(0))))
+        .withColumn("leader", F.coalesce("leader", "node"))
+        .withColumn("leader_size", F.coalesce("leader_size", "size"))
+        .withColumn("removed", F.coalesce("removed", F.lit(bytes(REMOVED_BITS // 8))))
         .withColumn("shared", F.col("size") - F.when(F.col("leads"), 0).otherwise(F.coalesce("own", F.lit(0))))
         .filter(100 * F.col("shared") >= percent * F.col("size"))
-        .select("node", "component", "size", "shared", "signature"), "possible")
+        .select("node", "component", "size", "shared", "leader", "leader_size", "spare", "removed", "signature"),
+        "possible")
     places = scratch.write(shared.select("key", "slot", "node").join(
         possible.select("node", "component"), "node"), "places")
     mixed_up = places.groupBy("key").agg(
