@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mergewell.llm import bpe, chat, html_text, mixing, near, neighbours, quality, spans, toxicity, warc
+from mergewell.llm.rows import ship
 from mergewell.llm.scratch import Scratch
 
 QUERIES: dict = {}
@@ -24,6 +25,7 @@ def query(fn=None, *, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 

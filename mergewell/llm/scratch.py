@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from mergewell.llm.rows import ship
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a local session without it gets its own."""
@@ -26,6 +28,7 @@ class Scratch:
     checkpoints.  drop() removes those no longer needed, the rest goes when Python ends."""
 
     def __init__(self, spark: SparkSession):
+        ship(spark)
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/mergewell-{uuid.uuid4().hex}"
         atexit.register(self.drop_all)
