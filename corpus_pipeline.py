@@ -30,8 +30,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    return _restored(near.drop_near_duplicates(_known(docs)), docs)
+    """The document with the smallest id of each group of near duplicates: a similarity of 0.8
+    or more in shingles of five words."""
+    return _restored(near.drop_near_duplicates(_known(docs), width=5, percent=80), docs)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

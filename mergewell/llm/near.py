@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -14,21 +16,44 @@ from mergewell.llm.scratch import Scratch
 from mergewell.llm.words import WordHashes, Windows, mixed, words_of
 from mergewell.operators.redundancy import connected_components
 
-POSITIONS = 32  # minima in a signature
+CHUNK = 4  # positions of a signature in a chunk
 BITS = 16  # kept of each minimum
-CHUNKS = 8  # of POSITIONS // CHUNKS positions
 ERRORS = 1  # allowed in a chunk
-#: By pigeonhole, signatures that differ in at most this many positions share a key.  Sets with
-#: a similarity of 0.85 differ in more with a probability of 3 in a million.
-RADIUS = CHUNKS * (ERRORS + 1) - 1
+LEAST_CHUNKS = 8
+MISSED = 4e-6  # of the pairs just at the threshold, at most
 GROUP = 512  # members that one leader is compared with in one place
 REMOVED_BITS = 1024  # of the sketch of the shingles that a member lacks of its leader's
 BLOCK = 256  # members of a bucket that are compared with each other in one place
 
-_random = np.random.default_rng(85)
-_FLIP = _random.integers(0, 1 << 63, POSITIONS, dtype=np.uint64) * np.uint64(2)
-_FACTOR = _random.integers(0, 1 << 63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_WEIGHT = _random.integers(0, 1 << 63, (CHUNKS, POSITIONS // CHUNKS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+def radius(chunks: int) -> int:
+    """By pigeonhole, signatures that differ in at most this many positions share a key."""
+    return chunks * (ERRORS + 1) - 1
+
+
+@functools.cache
+def chunks_for(percent: int) -> int:
+    """Chunks of a signature so that sets with a similarity of `percent` differ in more than
+    radius() positions with a probability of MISSED at most: 8 for 85, 12 for 80."""
+    differ, chunks = 1 - percent / 100, LEAST_CHUNKS
+    # Unless the expected share of errors is below that of the radius, more chunks do not help.
+    if CHUNK * differ >= ERRORS + 1:
+        raise ValueError(f"percent {percent}: signatures find similarities above 50 only")
+    while True:
+        n = chunks * CHUNK
+        beyond = sum(comb(n, k) * differ**k * (1 - differ)**(n - k) for k in range(radius(chunks) + 1, n + 1))
+        if beyond <= MISSED:
+            return chunks
+        chunks += 1
+
+
+@functools.cache
+def _hashes(chunks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Constants of the hash functions of a signature: flips, factors and weights of the keys."""
+    random = np.random.default_rng(85)
+    draw = lambda shape: random.integers(0, 1 << 63, shape, dtype=np.uint64) * np.uint64(2)
+    flip, factor, weight = draw(chunks * CHUNK), draw(chunks * CHUNK), draw((chunks, CHUNK))
+    return flip, factor + np.uint64(1), weight + np.uint64(1)
 
 
 def shingle_set(text: str | None, known: WordHashes, width: int) -> np.ndarray:
@@ -42,25 +67,26 @@ def shingle_set(text: str | None, known: WordHashes, width: int) -> np.ndarray:
     return np.unique(windows.of(width))
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """Low bits of the minima of POSITIONS hash functions over a set."""
+def signature(shingles: np.ndarray, chunks: int) -> np.ndarray:
+    """Low bits of the minima of CHUNK * chunks hash functions over a set."""
+    flip, factor, _ = _hashes(chunks)
     low = None
     for start in range(0, len(shingles), 4096):
-        part = ((shingles[None, start:start + 4096] ^ _FLIP[:, None]) * _FACTOR[:, None]).min(1)
+        part = ((shingles[None, start:start + 4096] ^ flip[:, None]) * factor[:, None]).min(1)
         low = part if low is None else np.minimum(low, part)
     return (mixed(low) >> np.uint64(64 - BITS)).astype(np.uint16)
 
 
 def chunk_keys(signature: np.ndarray) -> np.ndarray:
     """One key for every chunk and every position in it that may be wrong."""
-    values = signature.reshape(CHUNKS, -1).astype(np.uint64) + np.uint64(1)
-    spread = mixed(values * _WEIGHT)
+    values = signature.reshape(-1, CHUNK).astype(np.uint64) + np.uint64(1)
+    spread = mixed(values * _hashes(len(values))[2])
     left_out = spread.sum(1, dtype=np.uint64)[:, None] - spread
     place = np.arange(left_out.size, dtype=np.uint64).reshape(left_out.shape)
     return mixed(left_out + place * np.uint64(0x9E3779B97F4A7C15)).ravel()
 
 
-def shingled(df: DataFrame, text: str, width: int) -> DataFrame:
+def shingled(df: DataFrame, text: str, width: int, chunks: int) -> DataFrame:
     """df with n_shingles, set_a and set_b (128-bit identity of the set) and signature."""
     fields = [
         T.StructField("n_shingles", T.LongType()), T.StructField("set_a", T.LongType()),
@@ -75,7 +101,7 @@ def shingled(df: DataFrame, text: str, width: int) -> DataFrame:
                 return 0, None, None, None
             digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
             a, b = np.frombuffer(digest, np.int64).tolist()
-            return len(shingles), a, b, signature(shingles).tobytes()
+            return len(shingles), a, b, signature(shingles, chunks).tobytes()
         return compute
 
     return with_computed(df, [text], fields, make)
@@ -171,7 +197,7 @@ _LINK = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.Lon
 
 
 def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes of different components within RADIUS that may be linked, from buckets
+    """Pairs of nodes of different components within radius() that may be linked, from buckets
     in blocks.
 
     rows: key, slot, n (members of the bucket), node, component, size, shared (shingles that
@@ -218,7 +244,7 @@ def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
                 if not len(hits):
                     continue
                 wrong = marks[hits] != marks[k]
-                hits = hits[(wrong.sum(1) <= RADIUS) & (_first_slot(wrong) == slot)]
+                hits = hits[(wrong.sum(1) <= radius(wrong.shape[1] // CHUNK)) & (_first_slot(wrong) == slot)]
                 out += [(min(node[k], node[h]), max(node[k], node[h])) for h in hits]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
@@ -227,7 +253,7 @@ def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
 def _first_slot(wrong: np.ndarray) -> np.ndarray:
     """The first slot whose key two signatures share, from the places in which they differ."""
-    chunks = wrong.reshape(len(wrong), CHUNKS, -1)
+    chunks = wrong.reshape(len(wrong), -1, CHUNK)
     errors = chunks.sum(2)
     chunk = (errors <= ERRORS).argmax(1)
     line = np.arange(len(wrong))
@@ -245,11 +271,11 @@ def components(
 
     1. Rows with equal sets become one node, with the smallest id among them.
     2. Nodes meet in the buckets of the multi-index: one key per chunk of the signature and
-       per position of it that may be wrong, so that no pair within RADIUS is missed.
+       per position of it that may be wrong, so that no pair within radius() is missed.
     3. Every node is checked on full sets against the leader that most of its buckets name: a
        bucket's leader is the member that meets most others in all its buckets.
     4. Where a bucket still holds several components, its signatures are compared in blocks.
-       Pairs of different components within RADIUS are checked on full sets as well, unless
+       Pairs of different components within radius() are checked on full sets as well, unless
        the shingles that one of them shares with no other node already rule a link out.
 
     A missing or blank text has no shingles and is linked with nothing: its component is its
@@ -261,7 +287,7 @@ def components(
     scratch = Scratch(spark)
     rows = scratch.write(shingled(
         df.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("version"),
-                  F.col(text).alias("text")), "text", width).drop("text"), "rows")
+                  F.col(text).alias("text")), "text", width, chunks_for(percent)).drop("text"), "rows")
     sets = scratch.write(
         rows.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(
             F.min("doc_id").alias("low"), F.min("version").alias("version"),
