@@ -27,7 +27,7 @@ AXES = {
 }
 #: Smallest standard deviation of each axis: differences below it say nothing about quality.
 RESOLUTION = np.array([0.08, 0.12, 0.35, 0.12])
-MIN_ROWS = 100  # smaller groups take the estimate of their language, or of all rows
+ENOUGH = 5 * len(AXES)  # rows of a group that is judged by its own estimate alone
 SHARE = 0.75  # rows that the minimum-determinant subset holds
 CUTOFF = 20.0  # squared Mahalanobis distance; 4 normal statistics exceed it once in 2000
 
@@ -88,14 +88,18 @@ def _vector() -> list[Column]:
             F.sqrt(F.col("n_repeat_words") / words)]
 
 
-_PARAMETERS = T.StructType([
-    T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
-    T.StructField("rows", T.LongType()), T.StructField("center", T.ArrayType(T.DoubleType())),
-    T.StructField("precision", T.ArrayType(T.DoubleType()))])
+def _parameters(matrix: str) -> T.StructType:
+    return T.StructType([
+        T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
+        T.StructField("rows", T.LongType()), T.StructField("center", T.ArrayType(T.DoubleType())),
+        T.StructField(matrix, T.ArrayType(T.DoubleType()))])
+
+
+_FITTED, _BLENDED = _parameters("covariance"), _parameters("precision")
 
 
 def covariance_determinant(weight: np.ndarray, sums: np.ndarray, squares: np.ndarray):
-    """Center and inverse covariance of the SHARE of rows with the smallest determinant.
+    """Center and covariance of the SHARE of rows with the smallest determinant.
 
     Rows come as grid cells with their exact moments: weight, sum of vectors and sum of outer
     products.  From several starts, concentration steps keep the cells nearest to the current
@@ -145,15 +149,18 @@ def covariance_determinant(weight: np.ndarray, sums: np.ndarray, squares: np.nda
             best = (determinant, center, covariance)
     _, center, covariance = best
     # One reweighting step: all rows within reach, so that a normal tail is not cut off.
-    part = np.where(distances(center, covariance * CONSISTENCY) <= REACH, weight, 0.0)
+    covariance = covariance * CONSISTENCY * (1 + SCARCITY / total)
+    part = np.where(distances(center, covariance) <= REACH, weight, 0.0)
     if part.sum() >= wanted:
         center, covariance = estimate(part)
-    else:
-        covariance = covariance * CONSISTENCY
-    return center, np.linalg.inv(covariance)
+        covariance = covariance * (1 + len(AXES) / total)
+    return center, covariance
 
 
 CONSISTENCY = 1.9  # the nearest 75 % of 4 normal statistics show this much too small a covariance
+#: Small groups show it smaller still.  With this, of 20 normal rows 2.5 in 1000 are beyond CUTOFF
+#: (18 without), of 40 rows 0.5 (5 without); simulated.
+SCARCITY = 20.0
 REACH = 16.0  # squared distance of the reweighting step
 
 
@@ -174,9 +181,26 @@ def _fit(batches):
             squares = np.zeros((len(cells), p, p))
             rows, columns = np.triu_indices(p)
             squares[:, rows, columns] = squares[:, columns, rows] = moments[:, p:]
-            center, precision = covariance_determinant(weight, moments[:, :p], squares)
-            out.append((lang, source, int(weight.sum()), center.tolist(), precision.ravel().tolist()))
-        yield pd.DataFrame(out, columns=[f.name for f in _PARAMETERS])
+            center, covariance = covariance_determinant(weight, moments[:, :p], squares)
+            out.append((lang, source, int(weight.sum()), center.tolist(), covariance.ravel().tolist()))
+        yield pd.DataFrame(out, columns=_FITTED.names)
+
+
+def _blend(batches):
+    """Estimates of groups, each moved towards its language's by what it lacks of ENOUGH rows,
+    and the language's towards that of all rows in the same way."""
+    p = len(AXES)
+    for frame in batches:
+        out = []
+        for row in frame.itertuples(index=False):
+            center, covariance = np.array(row.center2), np.array(row.covariance2)
+            for n, c, v in ((row.rows1, row.center1, row.covariance1), (row.rows0, row.center0, row.covariance0)):
+                own = min(1.0, n / ENOUGH)
+                center = own * np.array(c) + (1 - own) * center
+                covariance = own * np.array(v) + (1 - own) * covariance
+            precision = np.linalg.inv(covariance.reshape(p, p))
+            out.append((row.lang0, row.source0, row.rows0, center.tolist(), precision.ravel().tolist()))
+        yield pd.DataFrame(out, columns=_BLENDED.names)
 
 
 def estimates(rows: DataFrame) -> DataFrame:
@@ -184,8 +208,9 @@ def estimates(rows: DataFrame) -> DataFrame:
 
     rows: lang, source, x (array of the transformed statistics).  All rows count: they are
     added up on a grid, so that a group of any size reaches its task as a bounded number of
-    cells with exact moments.  Groups below MIN_ROWS get their language's estimate, or that
-    of all rows if the language is small as well.
+    cells with exact moments.  Every group has an estimate of its own; below ENOUGH rows it
+    is blended with that of its language, and this with that of all rows if the language is
+    small as well.
     """
     p = len(AXES)
     cell = F.lit(0)
@@ -203,25 +228,19 @@ def estimates(rows: DataFrame) -> DataFrame:
         added = cells if len(keys) == 2 else cells.groupBy(*keys, "cell").agg(
             F.sum("n").alias("n"), *[F.sum(m).alias(m) for m in names])
         gathered = added.groupBy(*keys).agg(
-            F.collect_list(F.struct("cell", "n", F.array(*names).alias("moments"))).alias("cells"),
-            F.sum("n").alias("rows")).filter(F.col("rows") >= (MIN_ROWS if keys else 1))
+            F.collect_list(F.struct("cell", "n", F.array(*names).alias("moments"))).alias("cells")
+        ).filter(F.size("cells") > 0)
         for name in ("source", "lang"):
             if name not in keys:
                 gathered = gathered.withColumn(name, F.lit(None).cast("string"))
-        return gathered.select("lang", "source", "cells").mapInPandas(_fit, _PARAMETERS)
+        return gathered.select("lang", "source", "cells").mapInPandas(_fit, _FITTED)
 
-    groups = cells.groupBy("lang", "source").agg(F.sum("n").alias("rows"))
-    fits = [fitted(keys).select(
-        F.col("lang").alias(f"lang{i}"), F.col("source").alias(f"source{i}"),
-        F.struct("center", "precision").alias(f"fit{i}"))
+    own, language, everything = [
+        fitted(keys).select(*[F.col(c).alias(f"{c}{i}") for c in _FITTED.names])
         for i, keys in enumerate((["lang", "source"], ["lang"], []))]
-    same = F.col("lang").eqNullSafe
     return (
-        groups.join(fits[0], same(F.col("lang0")) & F.col("source").eqNullSafe(F.col("source0")), "left")
-        .join(fits[1], same(F.col("lang1")), "left")
-        .join(fits[2], F.lit(True), "left")
-        .withColumn("fit", F.coalesce("fit0", "fit1", "fit2"))
-        .select("lang", "source", "rows", "fit.center", "fit.precision"))
+        own.join(language, F.col("lang0").eqNullSafe(F.col("lang1"))).join(everything, F.lit(True))
+        .mapInPandas(_blend, _BLENDED))
 
 
 def quality_rules(
