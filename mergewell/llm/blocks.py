@@ -12,13 +12,17 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 NAME_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 
-# Fixed values of HTML: elements whose content is no text of the page, elements without
-# content, and elements that begin a line of their own.
-HIDDEN = frozenset("script style noscript template textarea select iframe svg math object canvas audio video".split())
+# Fixed values of HTML: elements whose content is no text of the page, those of them that only
+# their own end tag ends, elements without content, and elements that begin no line of their own.
+HIDDEN = frozenset("script style noscript template textarea select iframe svg".split())
+RAW = frozenset("script style textarea iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var".split())
+    "small span strike strong sub sup time tt u var object canvas audio video "
+    "math maction annotation annotation-xml menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom "
+    "mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none "
+    "semantics".split())
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -47,7 +51,8 @@ def blocks_of(page: str | None) -> list[Block]:
     """All blocks with text, in page order; none for a missing page.
 
     A block ends wherever a tag begins or ends a line of its own.  Character references are
-    decoded, white space becomes one blank.  Unclosed and unopened tags are put up with.
+    decoded, white space becomes one blank.  Unclosed and unopened tags are put up with: only
+    a RAW element without an end tag goes on to the end of the page.
     """
     out: list[Block] = []
     if not page:
@@ -55,6 +60,7 @@ def blocks_of(page: str | None) -> list[Block]:
     open_tags: list[tuple[str, tuple[str, ...], str | None]] = []
     pieces: list[str] = []
     linked, links = 0, 0
+    unclosed: set[str] = set()  # hidden tags without an end tag in the rest of the page
 
     def flush():
         nonlocal linked
@@ -89,9 +95,14 @@ def blocks_of(page: str | None) -> list[Block]:
                 links = max(0, links - 1) if closing else links + (not found[3].rstrip().endswith("/"))
         elif tag in HIDDEN:
             flush()
-            if not closing and not found[3].rstrip().endswith("/"):
+            if not closing and not found[3].rstrip().endswith("/") and tag not in unclosed:
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, place)
-                place = end.end() if end else size
+                if end:
+                    place = end.end()
+                elif tag in RAW:
+                    place = size
+                else:
+                    unclosed.add(tag)
         elif tag in VOID:
             if tag == "hr":
                 flush()
