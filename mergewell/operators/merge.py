@@ -16,6 +16,14 @@ def find_repeats(datasets: dict[str, DataFrame], key: str) -> list[str]:
     return sorted(r["dataset"] for r in repeated.select("dataset").distinct().collect())
 
 
+def missing_keys(datasets: dict[str, DataFrame], key: str) -> list[tuple[str, int]]:
+    """Datasets with rows without a key, which a merge leaves out, and how many; one job for all."""
+    keys = reduce(DataFrame.union, [
+        df.select(F.lit(name).alias("dataset"), F.col(key)) for name, df in datasets.items()])
+    missing = keys.filter(F.col(key).isNull()).groupBy("dataset").count()
+    return sorted((r["dataset"], r["count"]) for r in missing.collect())
+
+
 def apart(datasets: list[DataFrame], key: str) -> list[DataFrame]:
     """The datasets with features of one name told apart: the first dataset keeps the name,
     later ones get _2, _3 ..., skipping every name that some dataset has."""

@@ -13,7 +13,7 @@ from mergewell.operators.completeness import complete_table
 from mergewell.operators.correlation import spearman_pairs, strong_pairs_report
 from mergewell.operators.encoding import (
     constant_columns, level_counts, near_empty_columns, one_hot)
-from mergewell.operators.merge import find_repeats, merge_all, reattach
+from mergewell.operators.merge import find_repeats, merge_all, missing_keys, reattach
 from mergewell.operators.redundancy import (
     choose_survivors, drop_redundant_numeric, drop_redundant_strings, feature_summary,
     group_correlated, resolve_label)
@@ -91,15 +91,18 @@ def combine(
 
     merged = merge_all(list(datasets.values()), KEY).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        keyless = missing_keys(datasets, KEY)
         return _reduce(spark, merged, label, cor_level, choose, preserve_samples, excluded,
-                       near_empty_rows)
+                       near_empty_rows, keyless)
     finally:
         merged.unpersist()
 
 
-def _reduce(spark, merged, label, cor_level, choose, preserve_samples, excluded, near_empty_rows):
+def _reduce(spark, merged, label, cor_level, choose, preserve_samples, excluded, near_empty_rows,
+            keyless):
     rows, _ = count_values(merged, [])
     advice = size_advice(rows)
+    advice += [("subject_id_missing", f"rows of {name} without a subject are left out", n) for name, n in keyless]
     if cor_level < 0.99:
         advice.append(("low_cor_level", "a global filter this strict can leak information", cor_level))
 

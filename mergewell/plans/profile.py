@@ -17,11 +17,12 @@ from mergewell.operators.counting import mark_duplicated, rename_across_datasets
 from mergewell.operators.duplicates import (
     classify_duplicates, copies_to_long, duplicate_evidence, surviving_copies)
 from mergewell.operators.keys import get_dupes, has_repeats, number_repeats
-from mergewell.sources.delimited import RawDataset
+from mergewell.sources.delimited import MALFORMED, RawDataset
 
 KEY = "subject_id"
 PROBLEMS = ("subject_id_not_found", "subject_id_duplicated", "date_not_unix", "duplicated_data",
             "duplicated_column_names", "data_are_symbols")
+LOSSES = ("cells_unlike_header", "subject_id_missing")
 
 
 
@@ -34,6 +35,9 @@ class ProfileReport:
     duplicate_rows: dict[str, DataFrame] = field(default_factory=dict)
     date_features: dict[str, list[str]] = field(default_factory=dict)
     renames: dict[str, dict[str, str]] = field(default_factory=dict)
+    #: (dataset, problem, rows): rows with more or fewer cells than the header, of which cells
+    #: beyond it are lost, and rows that are left out because they have no subject.
+    losses: DataFrame | None = None
 
 
 def as_raw(name: str, df: DataFrame) -> RawDataset:
@@ -84,6 +88,9 @@ def profile(
         "dataset", "feature", feature_hash(F.col("dataset"), F.col("unique_name")).alias(
             "data_feature_hash"), "na_count", "have_data"))
     report.problems = problem_table(spark, marks)
+    report.losses = spark.createDataFrame(
+        [(c.name, problem, n) for c in checked for problem, n in c.losses if n],
+        "dataset string, problem string, rows bigint")
     _rename_across(spark, report, counts, names)
     return report
 
@@ -95,6 +102,7 @@ class _Checked:
     name: str
     problems: list[str] = field(default_factory=list)
     counts: list[tuple] = field(default_factory=list)
+    losses: list[tuple[str, int]] = field(default_factory=list)
     names: dict[str, str] = field(default_factory=dict)
     clean: DataFrame | None = None
     dates: list[str] = field(default_factory=list)
@@ -105,17 +113,22 @@ class _Checked:
 def _profile_one(raw: RawDataset, key: str) -> _Checked:
     result = _Checked(raw.name)
     bases = [clean_name(h) for h in raw.header]
+    cells = raw.checked if raw.checked is not None else raw.frame.withColumn(MALFORMED, F.lit(False))
     if key not in bases:
         result.problems.append("subject_id_not_found")
+        if raw.checked is not None:
+            # Spark refuses to read the mark of a row alone.
+            found = scan(cells, {"unlike": F.count_if(MALFORMED), "filled": F.count("c0")})
+            result.losses.append((LOSSES[0], found["unlike"]))
         return result
     at = bases.index(key)
     rest = [i for i in range(len(bases)) if i != at]
     unique = dict(zip(rest, make_unique([KEY, *[bases[i] for i in rest]])[1:]))
-    frame = raw.frame.select(
-        F.col(f"c{at}").alias(KEY), *[F.col(f"c{i}").alias(unique[i]) for i in rest]
-    ).filter(F.col(KEY).isNotNull())
+    named = [F.col(f"c{at}").alias(KEY), *[F.col(f"c{i}").alias(unique[i]) for i in rest]]
+    frame = raw.frame.select(*named).filter(F.col(KEY).isNotNull())
     features = list(unique.values())
-    found = _scan_cells(frame, features)
+    found = _scan_cells(cells.select(*named, MALFORMED), features)
+    result.losses += zip(LOSSES, (found["unlike"], found["keyless"]))
 
     result.dates = [c for c in features if found["date", c]]
     if result.dates:
@@ -150,9 +163,11 @@ def _typed(column: str, numeric: bool, date: bool):
 
 
 def _scan_cells(frame: DataFrame, features: list[str]) -> dict:
-    measures = {"rows": F.count(F.lit(1))}
+    """Counts over all rows; the features are looked at in rows with a subject."""
+    has_key = F.col(KEY).isNotNull()
+    measures = {"rows": F.count(KEY), "keyless": F.count_if(~has_key), "unlike": F.count_if(MALFORMED)}
     for c in features:
-        cell = F.col(c)
+        cell = F.when(has_key, F.col(c))
         usable = F.when(~cell.isin(*RETYPE_NULLS), cell)
         measures["filled", c] = F.count(cell)
         measures["numeric", c] = F.bool_and(is_numeric_text(usable))

@@ -13,6 +13,7 @@ from mergewell.functions.naming import clean_names, dataset_name
 from mergewell.operators.columns import infer_types
 
 READER_TOKENS = ("", "NA")  # fixed values: all that a table reader takes for missing by default
+MALFORMED = "__malformed"
 SEPARATORS = {"csv": ",", "tsv": "\t", "txt": "\t"}
 
 
@@ -23,6 +24,8 @@ class RawDataset:
     name: str
     frame: DataFrame
     header: list[str]
+    #: frame with MALFORMED, whether a row of the file has more or fewer cells than the header.
+    checked: DataFrame | None = None
 
 
 def list_datasets(spark: SparkSession, path: str) -> list[str]:
@@ -60,17 +63,26 @@ def read_delimited(
 
     Spark would rename repeated header names; a schema by position keeps both columns
     and the header is read apart.  `multiline` allows line breaks inside quotes, at the
-    price that a file cannot be split.
+    price that a file cannot be split.  Cells beyond the header have no column; rows with them,
+    and rows that are too short, are marked in `checked`.
     """
     sep = sep or separator(path)
     header = read_header(spark, path, sep)
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
-    cells = spark.read.csv(
-        path, schema=schema, sep=sep, header=True, escape='"', multiLine=multiline,
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="",
-        enforceSchema=True)
-    frame = cells.select(*[null_tokens(F.col(c), tokens).alias(c) for c in cells.columns])
-    return RawDataset(dataset_name(path), frame, header)
+    marked = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
+
+    def cells(schema, reader):
+        return reader.csv(
+            path, schema=schema, sep=sep, header=True, escape='"', multiLine=multiline,
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="",
+            enforceSchema=True)
+
+    texts = [null_tokens(F.col(c), tokens).alias(c) for c in schema.names]
+    # A pruned reader does not look at the number of cells.
+    checked = cells(marked, spark.read.options(
+        columnPruning=False, columnNameOfCorruptRecord=MALFORMED)).select(
+        *texts, F.col(MALFORMED).isNotNull().alias(MALFORMED))
+    return RawDataset(dataset_name(path), cells(schema, spark.read).select(*texts), header, checked)
 
 
 def read_all(spark: SparkSession, path: str) -> list[RawDataset]:

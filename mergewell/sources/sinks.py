@@ -30,6 +30,8 @@ def write_profile(report, path: str, mode: str = "errorifexists") -> None:
         write_table(frame, os.path.join(path, "duplicated_rows", name), mode)
     write_table(report.na_counts, os.path.join(path, "na_counts"), mode)
     write_table(report.problems, os.path.join(path, "summary_dataset_problems"), mode)
+    if report.losses is not None:
+        write_table(report.losses, os.path.join(path, "summary_dataset_losses"), mode)
 
 
 def write_combined(report, path: str, mode: str = "errorifexists") -> None:
