@@ -202,7 +202,7 @@ def plain_pipeline(spark, docs):
     """All stages but the outlier verdict and the mixing draw, which are the operators' own."""
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     kept = [r for r in quality.quality_rules(docs).collect() if r["kept"]]
-    groups = plain.near_components([(r["doc_id"], r["text"]) for r in kept])
+    groups = plain.near_components([(r["doc_id"], r["text"]) for r in kept], percent=80, width=5)
     kept = [r for r, (n, low) in zip(kept, groups) if not n or r["doc_id"] == low]
     cut = plain.kept_spans([(r["doc_id"], r["text"]) for r in kept])
     rest = [(r["doc_id"], r["source"], cut[i][3], r["text"] if not cut[i][1] else None)
