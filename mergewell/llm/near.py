@@ -7,7 +7,6 @@ import hashlib
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -23,7 +22,10 @@ LEAST_CHUNKS = 8
 MISSED = 4e-6  # of the pairs just at the threshold, at most
 GROUP = 512  # members that one leader is compared with in one place
 REMOVED_BITS = 1024  # of the sketch of the shingles that a member lacks of its leader's
-BLOCK = 256  # members of a bucket that are compared with each other in one place
+BLOCK = 256  # members of a bucket that are compared in one place
+BATCH = 4096  # lines of blocks that a task looks at together
+PAIRS_AT_ONCE = 1 << 19
+PAIRS_OF_A_TASK = 20_000_000
 
 
 def radius(chunks: int) -> int:
@@ -194,61 +196,109 @@ def _own_shingles(checked: DataFrame) -> DataFrame:
 
 
 _LINK = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+_SIDE = ["key", "block", "role", "slot", "node", "component", "minor", "size", "shared", "leader", "leader_size",
+         "spare", "removed", "signature"]
 
 
 def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes of different components within radius() that may be linked, from buckets
     in blocks.
 
-    rows: key, slot, n (members of the bucket), node, component, size, shared (shingles that
-    another node may have), leader, leader_size, spare (shingles that the leader lacks and
-    another node may have), removed, signature.  Two members of one leader share at most what
-    neither lacks of it, and the smaller of their spare shingles.  A bucket is cut into blocks of about BLOCK; each pair
-    of blocks is compared in one place.  A pair counts in the first of its buckets only.
+    rows: key, slot, n (members of the bucket), minors (those outside its commonest component,
+    so that every pair of components holds one), minor, node, component, size, shared (shingles
+    that another node may have), leader, leader_size, spare (shingles that the leader lacks and
+    another node may have), removed, signature.
+
+    Members stay in one of their bucket's blocks of about BLOCK; only minor ones go to all blocks
+    and meet the members there, so rows grow with n plus the minors of a block.  A task goes
+    through its blocks in order and compares all pairs of a batch at once.  A pair counts in the
+    first of its buckets only.
     """
     blocks = F.ceil(F.col("n") / BLOCK)
-    own = F.pmod(F.xxhash64("node"), blocks)
-    others = F.sequence(F.lit(0).cast("long"), blocks - 1)
-    placed = rows.withColumn("own", own).withColumn("other", F.explode(others)).select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        "own", "slot", "node", "component", "size", "shared", "leader", "leader_size", "spare", "removed",
-        "signature")
-
-    def work(frame):
-        node, component = frame["node"].to_numpy(), frame["component"].to_numpy()
-        size, shared = frame["size"].to_numpy(), frame["shared"].to_numpy()
-        slot, own = int(frame["slot"].iloc[0]), frame["own"].to_numpy()
-        across = frame["i"].iloc[0] != frame["j"].iloc[0]  # pairs of one block have a place of their own
-        names, counts = np.unique(component, return_counts=True)
-        out = []
-        if len(names) > 1:
-            marks = np.frombuffer(b"".join(frame["signature"]), np.uint16).reshape(len(node), -1)
-            gone = np.frombuffer(b"".join(frame["removed"]), np.uint64).reshape(len(node), -1)
-            leader, whole = frame["leader"].to_numpy(), frame["leader_size"].to_numpy()
-            spare = frame["spare"].to_numpy()
-            commonest = names[counts.argmax()]
-            for k in np.flatnonzero(component != commonest):
-                # Of two nodes outside the commonest component the later one is left to the first.
-                other = (component == commonest) | (np.arange(len(node)) > k)
-                if across:
-                    other &= own != own[k]
-                most = np.minimum(shared, shared[k])
-                other &= (component != component[k]) & (100 * most >= percent * (size + size[k] - most))
-                hits = np.flatnonzero(other)
-                if not len(hits):
-                    continue
-                lacking = np.bitwise_count(gone[hits] | gone[k]).sum(1, dtype=np.int64)
-                both = whole[k] - lacking + np.minimum(spare[hits], spare[k])
-                both = np.where(leader[hits] == leader[k], both, size[k])
-                hits = hits[100 * both >= percent * (size[hits] + size[k] - both)]
-                if not len(hits):
-                    continue
-                wrong = marks[hits] != marks[k]
-                hits = hits[(wrong.sum(1) <= radius(wrong.shape[1] // CHUNK)) & (_first_slot(wrong) == slot)]
-                out += [(min(node[k], node[h]), max(node[k], node[h])) for h in hits]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return placed.groupBy("key", "i", "j").applyInPandas(work, _LINK).distinct()
+    members = rows.withColumns({"block": F.pmod(F.xxhash64("node"), blocks), "role": F.lit(0)})
+    probes = rows.filter("minor").withColumns({
+        "block": F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)), "role": F.lit(1)})
+    placed = members.select(*_SIDE).unionByName(probes.select(*_SIDE))
+    buckets = rows.groupBy("key").agg(F.first("n").alias("n"), F.first("minors").alias("minors"))
+    work_load = buckets.agg(F.sum(F.col("n") * F.col("minors")).alias("n")).first()["n"] or 0
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(100_000, max(least, work_load // PAIRS_OF_A_TASK))
+
+    def work(batches):
+        held = None  # members of the block that the last batch ended in
+        for whole in batches:
+            for start in range(0, whole.num_rows, BATCH):
+                new = _columns(whole.slice(start, BATCH))
+                held, found = _compared(held, new, percent)
+                if len(found):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found.min(1)), pa.array(found.max(1))], names=_LINK.names)
+
+    ordered = placed.repartition(parts, "key", "block").sortWithinPartitions("key", "block", "role")
+    return ordered.mapInArrow(work, _LINK).distinct()
+
+
+def _columns(batch) -> dict:
+    out = {}
+    for name, column in zip(batch.schema.names, batch.columns):
+        if name in ("removed", "signature"):
+            raw, kind = b"".join(column.to_pylist()), np.uint64 if name == "removed" else np.uint16
+            out[name] = np.frombuffer(raw, kind).reshape(batch.num_rows, -1)
+        else:
+            out[name] = column.to_numpy(zero_copy_only=False)
+    return out
+
+
+def _compared(held: dict | None, new: dict, percent: int) -> tuple[dict | None, np.ndarray]:
+    """Members of the last block so far, and the (probe, member) pairs of the new lines."""
+    x = new if held is None else {c: np.concatenate([held[c], new[c]]) for c in new}
+    fresh = 0 if held is None else len(held["node"])
+    lines = len(x["node"])
+    start = np.ones(lines, bool)
+    start[1:] = (x["key"][1:] != x["key"][:-1]) | (x["block"][1:] != x["block"][:-1])
+    opened = np.maximum.accumulate(np.where(start, np.arange(lines), 0))  # the block's first line
+    member = x["role"] == 0
+    count = np.cumsum(member)  # members come before probes
+    low = count[opened] - member[opened]
+    place = np.flatnonzero(member)
+    found = []
+    probes = np.flatnonzero(~member)
+    probes = probes[probes >= fresh]
+    sizes = count[probes] - low[probes]
+    ends = np.cumsum(sizes)
+    first = 0
+    while first < len(probes):
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + PAIRS_AT_ONCE, "right")))
+        k = np.repeat(probes[first:last], sizes[first:last])
+        begun = np.repeat(ends[first:last] - sizes[first:last], sizes[first:last]) - (ends[first - 1] if first else 0)
+        h = place[low[k] + np.arange(len(k)) - begun] if len(k) else k
+        found.append(_possible(x, k, h, percent))
+        first = last
+    rest = np.flatnonzero(member & (opened == opened[-1])) if lines else np.zeros(0, np.int64)
+    return {c: v[rest] for c, v in x.items()} if len(rest) else None, np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+
+
+def _possible(x: dict, k: np.ndarray, h: np.ndarray, percent: int) -> np.ndarray:
+    """The pairs of lines k and h that no bound rules out, as nodes."""
+    # Of two minor nodes the later one is left to the first.
+    keep = (x["component"][k] != x["component"][h]) & (~x["minor"][h] | (x["node"][k] < x["node"][h]))
+    k, h = k[keep], h[keep]
+    both_sizes = x["size"][k] + x["size"][h]
+    most = np.minimum(x["shared"][k], x["shared"][h])
+    keep = 100 * most >= percent * (both_sizes - most)
+    k, h, both_sizes = k[keep], h[keep], both_sizes[keep]
+    wrong = x["signature"][k] != x["signature"][h]
+    keep = wrong.sum(1) <= radius(wrong.shape[1] // CHUNK)
+    k, h, both_sizes, wrong = k[keep], h[keep], both_sizes[keep], wrong[keep]
+    if len(k):
+        keep = _first_slot(wrong) == x["slot"][k]
+        k, h, both_sizes = k[keep], h[keep], both_sizes[keep]
+    # Two members of one leader share at most what neither lacks of it, and the smaller of their
+    # spare shingles.
+    lacking = np.bitwise_count(x["removed"][k] | x["removed"][h]).sum(1, dtype=np.int64)
+    both = x["leader_size"][k] - lacking + np.minimum(x["spare"][k], x["spare"][h])
+    keep = (x["leader"][k] != x["leader"][h]) | (100 * both >= percent * (both_sizes - both))
+    return np.stack([x["node"][k[keep]], x["node"][h[keep]]], 1)
 
 
 def _first_slot(wrong: np.ndarray) -> np.ndarray:
@@ -338,10 +388,13 @@ def components(
         "possible")
     places = scratch.write(shared.select("key", "slot", "node").join(
         possible.select("node", "component"), "node"), "places")
-    mixed_up = places.groupBy("key").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n")).filter(
-        "x < y").select("key", "n")
-    rest = places.drop("component").join(mixed_up, "key").join(possible, "node")
+    held = places.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    mixed_up = held.groupBy("key").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most"), F.count(F.lit(1)).alias("parts")).filter(
+        "parts > 1").select("key", "n", (F.col("n") - F.col("most.n")).alias("minors"),
+                            F.col("most.component").alias("commonest"))
+    rest = places.drop("component").join(mixed_up, "key").join(possible, "node").withColumn(
+        "minor", F.col("component") != F.col("commonest"))
     tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = scratch.write(_block_pairs(rest, percent).join(tried, ["a", "b"], "left_anti"), "more")
     if not more.isEmpty():
