@@ -26,13 +26,18 @@ def tree(text: Column) -> Column:
     lines = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PARAGRAPH), F.lit(0))
     leaves = F.transform(lines, lambda p: F.struct(
         F.sha2(p, 256).alias("digest"), F.length(p).cast("long").alias("length")))
-    # A running list of the ends keeps the cut linear in the number of paragraphs.
-    places = F.sequence(F.lit(1), F.size(leaves))
-    ends = F.when(F.size(leaves) > 0, F.filter(places, lambda i: (i == F.size(leaves)) | (
-        F.substring(F.element_at(leaves, i)["digest"], 1, 1).isin(*SECTION_END)))).otherwise(
-        F.array().cast("array<int>"))
-    return _with(leaves, lambda leaves: _with(ends, lambda ends: _rooted(F.transform(ends, lambda end, k: _section(
-        F.slice(leaves, _before(ends, k) + 1, end - _before(ends, k)))))))
+
+    def ends(leaves):
+        """Places (from 1) of the paragraphs that end a section."""
+        return F.filter(F.transform(leaves, lambda p, i: F.when(
+            (i + 1 == F.size(leaves)) | F.substring(p["digest"], 1, 1).isin(*SECTION_END), i + 1)),
+            lambda i: i.isNotNull())
+
+    def rooted(leaves):
+        return _with(ends(leaves), lambda ends: _rooted(F.transform(ends, lambda end, k: _section(
+            F.slice(leaves, _before(ends, k) + 1, end - _before(ends, k))))))
+
+    return _with(leaves, rooted)
 
 
 def _with(value: Column, use) -> Column:
