@@ -26,6 +26,7 @@ BLOCK = 256  # members of a bucket that are compared in one place
 BATCH = 4096  # lines of blocks that a task looks at together
 PAIRS_AT_ONCE = 1 << 19
 PAIRS_OF_A_TASK = 20_000_000
+EDGES_OF_A_TASK = 1_000_000
 
 
 def radius(chunks: int) -> int:
@@ -331,7 +332,9 @@ def components(
     A missing or blank text has no shingles and is linked with nothing: its component is its
     own id.  A missing id counts as larger than any other; component_id is missing only if
     all ids of the component are, and such rows are kept.  Repeated rows get equal values; of
-    rows with the same smallest id all are kept.  An empty table gives an empty result.
+    rows with the same smallest id all are kept.  An empty table gives an empty result.  Whole
+    texts are shingled, whatever their length; other columns of df are not looked at, so their
+    names cannot clash.
     """
     spark = df.sparkSession
     scratch = Scratch(spark)
@@ -400,7 +403,7 @@ def components(
     if not more.isEmpty():
         again = scratch.write(_checked(more, None, texts, width, percent).filter("linked").select("a", "b"), "again")
         if not again.isEmpty():
-            members = scratch.write(_joined(again, members), "members")
+            members = scratch.write(_joined(again, members, scratch), "members")
     scratch.drop(shared, texts, pairs, checked, possible, places)
 
     lowest = sets.join(members, "node").groupBy("component").agg(F.min("low").alias("component_id"))
@@ -428,12 +431,39 @@ def _roots(links: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
                 "node", F.coalesce("component", "node").alias("component"))
 
 
-def _joined(links: DataFrame, members: DataFrame) -> DataFrame:
+def _forest(edges: DataFrame, count: int) -> DataFrame:
+    """Edges (a, b) with the same components, fewer of them: each task keeps those of its
+    EDGES_OF_A_TASK edges that join two sets for the first time, less than it has nodes."""
+
+    def work(batches):
+        parent: dict = {}
+
+        def root(x):
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = x = parent[up]
+            return x
+
+        for batch in batches:
+            kept = []
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                x, y = root(a), root(b)
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    kept.append((a, b))
+            if kept:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in zip(*kept)], names=_LINK.names)
+
+    return edges.repartition(max(8, -(-count // EDGES_OF_A_TASK))).mapInArrow(work, _LINK)
+
+
+def _joined(links: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
     """members after links between nodes of different components."""
     a = members.select(F.col("node").alias("a"), F.col("component").alias("x"))
     b = members.select(F.col("node").alias("b"), F.col("component").alias("y"))
     edges = links.join(a, "a").join(b, "b").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-    merged = connected_components(edges).select(
+    edges = scratch.write(edges, "edges")
+    merged = connected_components(_forest(edges, edges.count())).select(
         F.col("node").alias("component"), F.col("component").alias("whole"))
     return members.join(merged, "component", "left").select(
         "node", F.coalesce("whole", "component").alias("component"))
