@@ -164,14 +164,14 @@ def fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     scratch = Scratch(df.sparkSession)
     value = F.coalesce(F.col(text), F.lit(""))
     rows = df.select(
-        F.col(doc_id).cast("long").alias("doc_id"), value.alias("text"),
+        value.alias("text"),
         F.coalesce(F.col(doc_id).cast("long"), F.lit(0)).alias("id0"),
         F.col(doc_id).isNull().alias("missing"), F.xxhash64(value).alias("mark"),
         F.length(value).cast("long").alias("n_chars"))
     keys = ["id0", "missing", "mark"]
     order = scratch.write(_neighbours(rows, scratch), "neighbours")
 
-    whole = rows.select(*keys, "doc_id", "text")
+    whole = rows.select(*keys, "text")  # the same columns in both uses, so that one shuffle serves them
     wanted = order.select(
         *[F.col(f"next_{c}").alias(c) for c in keys], *[F.col(c).alias(f"to_{c}") for c in keys],
         F.expr("CAST(n_chars div 4 AS INT)").alias("cut"))
@@ -184,7 +184,7 @@ def fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     length = F.length("text")
     kept = F.expr("substring(text, 1, CAST(length(text) - length(text) div 4 AS INT))")
     both = both.select(
-        "doc_id", "text", length.cast("long").alias("n_chars"), F.concat(kept, F.col("beginning")).alias("edited"),
+        F.when(~F.col("missing"), F.col("id0")).alias("doc_id"), "text", length.cast("long").alias("n_chars"), F.concat(kept, F.col("beginning")).alias("edited"),
         "next_root", "next_marks")
     both = both.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), tree(F.col("text")).alias("a"),

@@ -96,5 +96,20 @@ def test_roots_are_those_of_plain_python_and_branches_locate_edits(spark):
 
 def test_no_python_in_the_plan(spark):
     frame = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
-    plan = merkle.fingerprints(frame)._jdf.queryExecution().executedPlan().toString()
+    made = merkle.fingerprints(frame)
+    made.collect()
+    plan = made._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_texts_are_shuffled_once(spark, tmp_path):
+    """The shuffle of the texts is read by both joins."""
+    spark.createDataFrame([(i, f"text {i} " * 50) for i in range(200)], "doc_id long, text string").write.parquet(
+        str(tmp_path / "d"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = merkle.fingerprints(spark.read.parquet(str(tmp_path / "d")))
+        made.collect()
+        assert "ReusedExchange" in made._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
