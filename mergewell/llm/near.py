@@ -27,6 +27,7 @@ BATCH = 4096  # lines of blocks that a task looks at together
 PAIRS_AT_ONCE = 1 << 19
 PAIRS_OF_A_TASK = 20_000_000
 EDGES_OF_A_TASK = 1_000_000
+BEST_ROUNDS = 3  # in which each node outside its buckets' commonest component tries one partner
 
 
 def radius(chunks: int) -> int:
@@ -197,13 +198,15 @@ def _own_shingles(checked: DataFrame) -> DataFrame:
 
 
 _LINK = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+_FOUND = T.StructType([
+    T.StructField("probe", T.LongType()), T.StructField("node", T.LongType()), T.StructField("agree", T.LongType())])
 _SIDE = ["key", "block", "role", "slot", "node", "component", "minor", "size", "shared", "leader", "leader_size",
          "spare", "removed", "signature"]
 
 
-def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
+def _block_pairs(rows: DataFrame, percent: int, best: bool) -> DataFrame:
     """Pairs of nodes of different components within radius() that may be linked, from buckets
-    in blocks.
+    in blocks: all of them, or with `best` for each minor node the one whose signatures agree most.
 
     rows: key, slot, n (members of the bucket), minors (those outside its commonest component,
     so that every pair of components holds one), minor, node, component, size, shared (shingles
@@ -230,13 +233,16 @@ def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
         for whole in batches:
             for start in range(0, whole.num_rows, BATCH):
                 new = _columns(whole.slice(start, BATCH))
-                held, found = _compared(held, new, percent)
+                held, found = _compared(held, new, percent, best)
                 if len(found):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(found.min(1)), pa.array(found.max(1))], names=_LINK.names)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in found.T], names=_FOUND.names)
 
     ordered = placed.repartition(parts, "key", "block").sortWithinPartitions("key", "block", "role")
-    return ordered.mapInArrow(work, _LINK).distinct()
+    found = ordered.mapInArrow(work, _FOUND)
+    if best:
+        found = found.groupBy("probe").agg(F.max(F.struct("agree", "node")).alias("best")).select(
+            "probe", "best.node")
+    return found.select(F.least("probe", "node").alias("a"), F.greatest("probe", "node").alias("b")).distinct()
 
 
 def _columns(batch) -> dict:
@@ -250,8 +256,8 @@ def _columns(batch) -> dict:
     return out
 
 
-def _compared(held: dict | None, new: dict, percent: int) -> tuple[dict | None, np.ndarray]:
-    """Members of the last block so far, and the (probe, member) pairs of the new lines."""
+def _compared(held: dict | None, new: dict, percent: int, best: bool) -> tuple[dict | None, np.ndarray]:
+    """Members of the last block so far, and (probe, node, agree) of the new lines' pairs."""
     x = new if held is None else {c: np.concatenate([held[c], new[c]]) for c in new}
     fresh = 0 if held is None else len(held["node"])
     lines = len(x["node"])
@@ -273,14 +279,15 @@ def _compared(held: dict | None, new: dict, percent: int) -> tuple[dict | None,
         k = np.repeat(probes[first:last], sizes[first:last])
         begun = np.repeat(ends[first:last] - sizes[first:last], sizes[first:last]) - (ends[first - 1] if first else 0)
         h = place[low[k] + np.arange(len(k)) - begun] if len(k) else k
-        found.append(_possible(x, k, h, percent))
+        found.append(_possible(x, k, h, percent, best))
         first = last
     rest = np.flatnonzero(member & (opened == opened[-1])) if lines else np.zeros(0, np.int64)
-    return {c: v[rest] for c, v in x.items()} if len(rest) else None, np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+    return {c: v[rest] for c, v in x.items()} if len(rest) else None, np.concatenate(found) if found else np.zeros((0, 3), np.int64)
 
 
-def _possible(x: dict, k: np.ndarray, h: np.ndarray, percent: int) -> np.ndarray:
-    """The pairs of lines k and h that no bound rules out, as nodes."""
+def _possible(x: dict, k: np.ndarray, h: np.ndarray, percent: int, best: bool) -> np.ndarray:
+    """The pairs of lines k (probes) and h that no bound rules out, as nodes, with the number of
+    positions in which their signatures agree; with `best` one for each line k."""
     # Of two minor nodes the later one is left to the first.
     keep = (x["component"][k] != x["component"][h]) & (~x["minor"][h] | (x["node"][k] < x["node"][h]))
     k, h = k[keep], h[keep]
@@ -289,17 +296,23 @@ def _possible(x: dict, k: np.ndarray, h: np.ndarray, percent: int) -> np.ndarray
     keep = 100 * most >= percent * (both_sizes - most)
     k, h, both_sizes = k[keep], h[keep], both_sizes[keep]
     wrong = x["signature"][k] != x["signature"][h]
-    keep = wrong.sum(1) <= radius(wrong.shape[1] // CHUNK)
-    k, h, both_sizes, wrong = k[keep], h[keep], both_sizes[keep], wrong[keep]
+    differ = wrong.sum(1)
+    keep = differ <= radius(wrong.shape[1] // CHUNK)
+    k, h, both_sizes, wrong, differ = k[keep], h[keep], both_sizes[keep], wrong[keep], differ[keep]
     if len(k):
         keep = _first_slot(wrong) == x["slot"][k]
-        k, h, both_sizes = k[keep], h[keep], both_sizes[keep]
+        k, h, both_sizes, differ = k[keep], h[keep], both_sizes[keep], differ[keep]
     # Two members of one leader share at most what neither lacks of it, and the smaller of their
     # spare shingles.
     lacking = np.bitwise_count(x["removed"][k] | x["removed"][h]).sum(1, dtype=np.int64)
     both = x["leader_size"][k] - lacking + np.minimum(x["spare"][k], x["spare"][h])
     keep = (x["leader"][k] != x["leader"][h]) | (100 * both >= percent * (both_sizes - both))
-    return np.stack([x["node"][k[keep]], x["node"][h[keep]]], 1)
+    k, h, differ = k[keep], h[keep], differ[keep]
+    if best and len(k):
+        order = np.lexsort((x["node"][h], differ, k))
+        first = np.concatenate([[True], k[order][1:] != k[order][:-1]])
+        k, h, differ = k[order][first], h[order][first], differ[order][first]
+    return np.stack([x["node"][k], x["node"][h], -differ.astype(np.int64)], 1)
 
 
 def _first_slot(wrong: np.ndarray) -> np.ndarray:
@@ -326,8 +339,10 @@ def components(
     3. Every node is checked on full sets against the leader that most of its buckets name: a
        bucket's leader is the member that meets most others in all its buckets.
     4. Where a bucket still holds several components, its signatures are compared in blocks.
-       Pairs of different components within radius() are checked on full sets as well, unless
-       the shingles that one of them shares with no other node already rule a link out.
+       For BEST_ROUNDS each node outside its bucket's commonest component is checked on full sets
+       against the one whose signature agrees most, which joins nearly all that can be joined;
+       then all pairs of different components within radius() are, unless the shingles that one
+       of them shares with no other node already rule a link out.
 
     A missing or blank text has no shingles and is linked with nothing: its component is its
     own id.  A missing id counts as larger than any other; component_id is missing only if
@@ -378,7 +393,7 @@ def components(
     follows = follows.join(leading_sizes, "leader")
     leading = pairs.select(F.col("a").alias("node")).distinct().withColumn("leads", F.lit(True))
     possible = scratch.write(
-        degrees.select("node").join(members, "node").join(sets.select("node", "size", "signature"), "node")
+        degrees.select("node").join(sets.select("node", "size", "signature"), "node")
         .join(_own_shingles(checked), "node", "left").join(leading, "node", "left").join(follows, "node", "left")
         .withColumn("spare", F.coalesce(F.col("added"), F.lit(0)) - F.when(F.col("leads"), 0).otherwise(
             F.coalesce("own", F.lit(0))))
@@ -387,24 +402,22 @@ def components(
         .withColumn("removed", F.coalesce("removed", F.lit(bytes(REMOVED_BITS // 8))))
         .withColumn("shared", F.col("size") - F.when(F.col("leads"), 0).otherwise(F.coalesce("own", F.lit(0))))
         .filter(100 * F.col("shared") >= percent * F.col("size"))
-        .select("node", "component", "size", "shared", "leader", "leader_size", "spare", "removed", "signature"),
+        .select("node", "size", "shared", "leader", "leader_size", "spare", "removed", "signature"),
         "possible")
-    places = scratch.write(shared.select("key", "slot", "node").join(
-        possible.select("node", "component"), "node"), "places")
-    held = places.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed_up = held.groupBy("key").agg(
-        F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most"), F.count(F.lit(1)).alias("parts")).filter(
-        "parts > 1").select("key", "n", (F.col("n") - F.col("most.n")).alias("minors"),
-                            F.col("most.component").alias("commonest"))
-    rest = places.drop("component").join(mixed_up, "key").join(possible, "node").withColumn(
-        "minor", F.col("component") != F.col("commonest"))
     tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = scratch.write(_block_pairs(rest, percent).join(tried, ["a", "b"], "left_anti"), "more")
-    if not more.isEmpty():
+    for number in range(BEST_ROUNDS + 1):
+        best = number < BEST_ROUNDS
+        rest = _mixed_up(shared, possible, members, scratch)
+        if rest is None:
+            break
+        more = scratch.write(_block_pairs(rest, percent, best).join(tried, ["a", "b"], "left_anti"), "more")
+        if more.isEmpty():
+            continue
         again = scratch.write(_checked(more, None, texts, width, percent).filter("linked").select("a", "b"), "again")
         if not again.isEmpty():
             members = scratch.write(_joined(again, members, scratch), "members")
-    scratch.drop(shared, texts, pairs, checked, possible, places)
+        tried = tried.unionByName(more)
+    scratch.drop(shared, texts, pairs, checked, possible)
 
     lowest = sets.join(members, "node").groupBy("component").agg(F.min("low").alias("component_id"))
     labelled = scratch.write(sets.join(members, "node").join(lowest, "component").select(
@@ -416,6 +429,22 @@ def components(
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
 
 
+def _mixed_up(shared: DataFrame, possible: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame | None:
+    """Nodes in the buckets that hold several components, as _block_pairs takes them; None if no
+    bucket does."""
+    places = scratch.write(shared.select("key", "slot", "node").join(
+        possible.select("node").join(members, "node"), "node"), "places")
+    held = places.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    mixed = scratch.write(held.groupBy("key").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most"), F.count(F.lit(1)).alias("parts")).filter(
+        "parts > 1").select("key", "n", (F.col("n") - F.col("most.n")).alias("minors"),
+                            F.col("most.component").alias("commonest")), "mixed")
+    if mixed.isEmpty():
+        return None
+    return places.join(mixed, "key").join(possible, "node").withColumn(
+        "minor", F.col("component") != F.col("commonest"))
+
+
 def _roots(links: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) of all nodes when every node b is linked to one leader a at most:
     each node looks its leader's leader up until the top is reached."""
