@@ -3,24 +3,38 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder named by spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir.
 
-    Only a local session without that setting gets a temporary folder.
+    Only a session in one local JVM without that setting gets a temporary folder.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
-        if folder is None and not context.master.startswith("local"):
+        if folder is None and context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="mergewell-"))
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> str:
+    """Path in the shared folder under which df was written; whoever asked for it deletes it."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
 def spread(checkpointed: DataFrame) -> DataFrame:
     """Give a checkpointed frame at least as many partitions as there are cores.
 

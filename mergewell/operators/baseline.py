@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from mergewell.functions.hashing import seeded_hash
-from mergewell.operators.ranking import rank_in_group
-from mergewell.operators.resampling import BUCKETS, stratum
-from mergewell.operators.scoring import class_metrics, number_metrics
+from mergewell.lineage import cut_lineage
+from mergewell.operators.resampling import stratum
+from mergewell.operators.scoring import class_metrics
+from mergewell.operators.selection import cut_rows, is_within
 
 RUNS = 20
 
@@ -27,26 +28,49 @@ def null_baseline(
 ) -> DataFrame:
     """Scores of a constant predictor over `runs` stratified splits, one row per run.
 
-    All runs are one job: each row is repeated once per run and hashed with the run's
-    seed.  The predictor is fitted on the part it is scored on unless fit_on="train".
+    All runs are measured together: a row is compared with the cut of its stratum in every run
+    (operators/selection.py) and added up where it is.  Classes need one aggregate, numbers two,
+    the second with the means of the first.  The predictor is fitted on the part it is scored on
+    unless fit_on="train".
     """
     truth = F.col(label).cast("double" if kind == "regression" else "string")
+    seeds = range(seed + 1, seed + runs + 1)
+    orders = [f"order{s}" for s in seeds]
     rows = df.select(
-        F.col(key).cast("string").alias("key"), truth.alias("truth"),
-        stratum(df, label, kind).alias("stratum"))
-    repeated = rows.withColumn(
-        "seed", F.explode(F.sequence(F.lit(seed + 1), F.lit(seed + runs)))
-    ).withColumn("order", seeded_hash(F.col("seed"), F.col("key")))
-    split = rank_in_group(
-        repeated, ["seed", "stratum"], "order", "rn", ("key",), BUCKETS, size="size").withColumn(
-        "is_train", F.col("rn") <= F.floor(F.lit(prop) * F.col("size")))
-    test = split.filter(~F.col("is_train")).select("seed", "truth")
-    fitted = test if fit_on == "test" else split.filter("is_train").select("seed", "truth")
-    # One line per run.
-    predictions = F.broadcast(constant_prediction(fitted, kind, ["seed"]))
-    scored = test.join(predictions, "seed")
+        F.col(key).cast("string").alias("key"), truth.alias("truth"), stratum(df, label, kind).alias("stratum"))
+    hashed = rows.withColumns({o: seeded_hash(F.lit(s), F.col("key")) for o, s in zip(orders, seeds)})
+    cuts = cut_rows(hashed, "stratum", "key", orders, prop)
+    marked = is_within(cuts, hashed, "stratum", "key", orders).select("truth", "within")
+    test = [~F.col("within")[i] for i in range(runs)]
+    fitted = test if fit_on == "test" else [F.col("within")[i] for i in range(runs)]
     if kind == "regression":
-        return number_metrics(scored, ("seed",)).select("seed", "mae", "rmse", "ccc")
-    levels = levels or sorted(r["truth"] for r in rows.select("truth").distinct().collect())
-    return class_metrics(scored, levels, ("seed",)).select(
+        return _number_runs(marked, list(seeds), test, fitted)
+    cells = F.array(*[F.struct(F.lit(s).alias("seed"), F.count_if(t).alias("n"), F.count_if(f).alias("fit"))
+                      for s, t, f in zip(seeds, test, fitted)])
+    # One line per run and class.
+    counts = cut_lineage(marked.groupBy("truth").agg(cells.alias("cells")).select("truth", F.explode("cells").alias("c")).select(
+        "truth", "c.*"))
+    best = F.min(F.struct((-F.col("fit")).alias("fit"), F.col("truth").alias("estimate")))
+    predicted = counts.filter("fit > 0").groupBy("seed").agg(best.alias("best")).select("seed", "best.estimate")
+    scored = counts.filter("n > 0").join(predicted, "seed")
+    levels = levels or sorted(r["truth"] for r in counts.select("truth").distinct().collect())
+    return class_metrics(scored, levels, ("seed",), "n").select(
         "seed", "bal_accuracy", "f_meas", "accuracy")
+
+
+def _number_runs(marked: DataFrame, seeds: list[int], test: list, fitted: list) -> DataFrame:
+    """mae, rmse and ccc of the mean, per run: it does not vary, so its covariance is 0."""
+    truth = F.col("truth")
+    # A number per run.
+    means = marked.agg(*[F.avg(F.when(f, truth)) for f in fitted]).first()
+
+    def measures(s, t, mean):
+        tested, mean = F.when(t, truth), F.lit(mean).cast("double")
+        gap = F.avg(tested) - mean
+        return F.struct(
+            F.lit(s).alias("seed"), F.avg(F.abs(tested - mean)).alias("mae"),
+            F.sqrt(F.avg((tested - mean) * (tested - mean))).alias("rmse"),
+            F.try_divide(F.lit(0.0), F.var_samp(tested) + gap * gap).alias("ccc"))
+
+    cells = marked.agg(F.array(*[measures(*x) for x in zip(seeds, test, means)]).alias("cells"))
+    return cells.select(F.explode("cells").alias("c")).select("c.*").filter("mae IS NOT NULL")

@@ -2,30 +2,35 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from functools import reduce
 
 import numpy as np
-from pyspark.ml.feature import Bucketizer, VectorAssembler
-from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, Window as W, functions as F
+import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 from pyspark.storagelevel import StorageLevel
 
 from mergewell.lineage import cut_lineage, spread
+from mergewell.operators.columns import scan
+from mergewell.operators.ranking import small
 
 PAIRS = "a string, b string, corr double"
 # Up to this many columns ranks go back to their rows by plain conditional maxima.
 FEW_COLUMNS = 12
-# The Gram matrix is computed for two column blocks at a time, so that one job never
-# aggregates more than (2 * BLOCK) squared numbers.
-BLOCK = 1000
-# Cells of one column that one task may sort, and the number of buckets over all columns.
+# Columns of a block; a task holds the products of one block with all that follow.
+BLOCK = 500
+STRIP = 32  # lines of a product of two blocks that are summed in one place
+# Cells of one column that one task may sort.
 ROWS_PER_BUCKET = 100_000
-MAX_BUCKETS = 1_000_000
+# A column with up to so many values is ranked by a table of its values, which is sent to the rows;
+# up to so many values of all columns (16 bytes each).
+FEW_VALUES = 50_000
+SENT_VALUES = 2_000_000
 
 
-def complete_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
+def complete_numbers(df: DataFrame, columns: list[str], keep: str | None = None) -> DataFrame:
     """The columns as DOUBLE, rows with a gap removed."""
-    return df.select(*[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
+    return df.select(*([keep] if keep else []), *[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
 
 
 def pearson_pairs(df: DataFrame, columns: list[str], threshold: float | None = None) -> DataFrame:
@@ -33,46 +38,69 @@ def pearson_pairs(df: DataFrame, columns: list[str], threshold: float | None = N
 
     One row per pair, `a` before `b` in column order.  Constant columns have no pairs.
     With a threshold only pairs with |corr| above it are returned.
+
+    Tasks add up products of standardised columns block by block, strips of the blocks are summed
+    by key and become pairs where they are: the driver sees two numbers per column.
     """
-    place = {c: i for i, c in enumerate(columns)}
-    found = {}
-    for names, matrix in _block_matrices(complete_numbers(df, columns), columns):
-        strong = ~np.isnan(matrix) & (np.abs(matrix) > (-1.0 if threshold is None else threshold))
-        for i, j in np.argwhere(np.triu(strong, 1)):
-            a, b = sorted((names[i], names[j]), key=place.get)
-            found[a, b] = float(matrix[i, j])
-    return df.sparkSession.createDataFrame([(a, b, r) for (a, b), r in found.items()], PAIRS)
-
-
-def _block_matrices(numbers: DataFrame, columns: list[str]):
-    """(names, correlation matrix) of every couple of column blocks."""
+    spark = df.sparkSession
     if len(columns) < 2:
-        return
-    numbers.persist(StorageLevel.MEMORY_AND_DISK)
+        return spark.createDataFrame([], PAIRS)
+    numbers = complete_numbers(df, columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if numbers.isEmpty():
-            return
-        blocks = [columns[i:i + BLOCK] for i in range(0, len(columns), BLOCK)]
-        for left, right in list(combinations(blocks, 2)) or [(blocks[0], [])]:
-            names = left + right
-            assembler = VectorAssembler(inputCols=names, outputCol="v")
-            vectors = assembler.transform(numbers).select("v")
-            yield names, Correlation.corr(vectors, "v").first()[0].toArray()
+        found = scan(numbers, {"": F.count(F.lit(1)), **{
+            (c, k): f(F.col(c)) for c in columns for k, f in (
+                ("mean", F.avg), ("dev", F.stddev_pop), ("low", F.min), ("high", F.max))}})
+        rows = found[""]
+        usable = [c for c in columns if rows and found[c, "low"] < found[c, "high"] and np.isfinite(found[c, "dev"])]
+        blocks = [usable[i:i + BLOCK] for i in range(0, len(usable), BLOCK)]
+        parts = [_block_row(numbers, blocks, i, found, rows, -1.0 if threshold is None else threshold)
+                 for i in range(len(blocks))]
+        return cut_lineage(reduce(DataFrame.unionByName, parts)) if parts else spark.createDataFrame([], PAIRS)
     finally:
         numbers.unpersist()
 
 
-def pearson_matrix(df: DataFrame, columns: list[str]) -> np.ndarray:
-    """Correlation matrix on the driver, for decisions that need all of it.
-
-    Its side is the number of columns of the schema; NaN marks constant columns.
-    """
-    place = {c: i for i, c in enumerate(columns)}
-    result = np.full((len(columns), len(columns)), np.nan)
-    for names, matrix in _block_matrices(complete_numbers(df, columns), columns):
-        at = [place[n] for n in names]
-        result[np.ix_(at, at)] = matrix
-    return result
+_STRIP = T.StructType([T.StructField("j", T.IntegerType()), T.StructField("strip", T.IntegerType()),
+                       T.StructField("sums", T.BinaryType())])
+
+
+def _block_row(numbers: DataFrame, blocks: list[list[str]], i: int, found: dict, rows: int, threshold: float) -> DataFrame:
+    """Pairs of the columns of block i with those of the blocks from i on."""
+    ahead = [c for b in blocks[i:] for c in b]
+    mean = np.array([found[c, "mean"] for c in ahead])
+    dev = np.array([found[c, "dev"] for c in ahead])
+    own, sizes = blocks[i], [len(b) for b in blocks[i:]]
+    starts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+
+    def products(batches):
+        sums = None
+        for batch in batches:
+            z = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            z = (z - mean) / dev
+            part = z[:, :len(own)].T @ z
+            sums = part if sums is None else sums + part
+        if sums is not None:
+            for j in range(len(sizes)):
+                block = sums[:, starts[j]:starts[j + 1]]
+                for strip in range(0, len(own), STRIP):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([j], pa.int32()), pa.array([strip], pa.int32()),
+                         pa.array([block[strip:strip + STRIP].tobytes()], pa.binary())], names=_STRIP.names)
+
+    def summed(key, table):
+        j, strip = (k.as_py() for k in key)
+        total = sum(np.frombuffer(x, np.float64) for x in table.column("sums").to_pylist())
+        corr = np.clip(total.reshape(-1, sizes[j]) / rows, -1.0, 1.0)
+        strong = np.abs(corr) > threshold
+        if j == 0:  # pairs within the block
+            strong &= np.arange(sizes[0])[None, :] > strip + np.arange(len(corr))[:, None]
+        r, c = np.nonzero(strong)
+        return pa.table({"a": pa.array([own[strip + x] for x in r], pa.string()),
+                         "b": pa.array([ahead[starts[j] + x] for x in c], pa.string()),
+                         "corr": pa.array(corr[r, c], pa.float64())})
+
+    strips = numbers.select(*ahead).mapInArrow(products, _STRIP)
+    return strips.groupBy("j", "strip").applyInArrow(summed, PAIRS)
 
 
 def spearman_pairs(df: DataFrame, columns: list[str], threshold: float | None = None) -> DataFrame:
@@ -82,20 +110,71 @@ def spearman_pairs(df: DataFrame, columns: list[str], threshold: float | None =
     return pearson_pairs(rank_columns(df, columns), columns, threshold)
 
 
-def rank_columns(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The complete rows with every column replaced by its average ranks.
+def rank_columns(df: DataFrame, columns: list[str], keep: str | None = None) -> DataFrame:
+    """The complete rows with every column replaced by its average ranks; `keep` names a key
+    of the rows that stays beside them.
 
-    Cells are cut at approximate quantiles into ordered buckets, which may be ranked in
-    separate tasks; exact bucket counts give each bucket's offset.  A value that fills
-    several quantiles (the zeros of a zero-inflated column) is a bucket of its own,
-    whose rows all have the same rank and need no sort.
+    The ranks of a column with FEW_VALUES at most follow from the counts of its values, and no
+    row is moved for them.  The cells of other columns are cut at approximate quantiles into
+    ordered buckets, one per ROWS_PER_BUCKET rows, which may be ranked in separate tasks; exact
+    bucket counts give each bucket's offset.
     """
     # Row numbers tie a row's cells together again; the checkpoint keeps them fixed.
-    key = "__row"
-    numbers = spread(cut_lineage(complete_numbers(df, columns).withColumn(
-        key, F.monotonically_increasing_id())))
-    rows = numbers.count()
-    wanted = max(1, min(rows // ROWS_PER_BUCKET, MAX_BUCKETS // len(columns)))
+    key = keep or "__row"
+    numbers = complete_numbers(df, columns, keep)
+    if keep is None:
+        numbers = numbers.withColumn(key, F.monotonically_increasing_id())
+    numbers = spread(cut_lineage(numbers))
+    found = scan(numbers, {"": F.count(F.lit(1)), **{
+        c: F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(c))) for c in columns}})
+    rows = found.pop("")
+    few, sent = [], 0
+    for c in sorted(columns, key=found.get):
+        sent += found[c]
+        if found[c] <= FEW_VALUES and sent <= SENT_VALUES:
+            few.append(c)
+    many = [c for c in columns if c not in few]
+    ranked = _ranked_by_value(numbers, few)
+    if many:
+        sorted_ranks = _ranked_by_sorting(numbers.select(key, *many), many, key, rows)
+        ranked = ranked.drop(*many).join(sorted_ranks, key) if few else sorted_ranks
+    return ranked.select(*([key] if keep else []), *columns)
+
+
+def _ranked_by_value(numbers: DataFrame, columns: list[str]) -> DataFrame:
+    """Columns of few values replaced by their ranks, which follow from the counts of the values."""
+    if not columns:
+        return numbers
+    cells = ", ".join(f"named_struct('feature', {i}, 'value', `{c}`)" for i, c in enumerate(columns))
+    counts = numbers.select(F.expr(f"inline(array({cells}))")).groupBy("feature", "value").agg(
+        F.count(F.lit(1)).alias("n")).toArrow()  # SENT_VALUES lines, as far as the sketch is right
+    feature, value, n = (counts.column(c).to_numpy() for c in ("feature", "value", "n"))
+    order = np.lexsort((value, feature))
+    feature, value, n = feature[order], value[order], n[order]
+    tables = {}
+    for i, c in enumerate(columns):
+        own = feature == i
+        ends = np.cumsum(n[own])
+        tables[c] = (value[own], ends - (n[own] - 1) / 2)
+    sent = numbers.sparkSession.sparkContext.broadcast(tables)
+
+    def work(batches):
+        for batch in batches:
+            out = []
+            for name, column in zip(batch.schema.names, batch.columns):
+                if name in sent.value:
+                    values, ranks = sent.value[name]
+                    column = pa.array(ranks[np.searchsorted(values, column.to_numpy(zero_copy_only=False))])
+                out.append(column)
+            yield pa.RecordBatch.from_arrays(out, names=batch.schema.names)
+
+    return numbers.mapInArrow(work, numbers.schema)
+
+
+def _ranked_by_sorting(numbers: DataFrame, columns: list[str], key: str, rows: int) -> DataFrame:
+    """(key, columns): ranks by ordered buckets.  A value that fills several quantiles is a bucket
+    of its own, whose rows all have the same rank and need no sort."""
+    wanted = max(1, rows // ROWS_PER_BUCKET)
     splits, single = _bucket_splits(numbers, columns, wanted)
     marks = [f"{c}__bucket" for c in columns]
     bucketed = Bucketizer(
@@ -104,15 +183,15 @@ def rank_columns(df: DataFrame, columns: list[str]) -> DataFrame:
                       for i, (c, m) in enumerate(zip(columns, marks)))
     long = bucketed.select(key, F.expr(f"inline(array({cells}))"))
 
-    # At most MAX_BUCKETS lines (twice that with the single-value ones).
+    # A line per bucket.
     sizes = long.groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = W.partitionBy("feature").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     known = numbers.sparkSession.createDataFrame(single, "feature int, bucket int").withColumn(
         "single", F.lit(True))
-    offsets = sizes.withColumn(
-        "offset", F.coalesce(F.sum("n").over(before), F.lit(0))
-    ).join(F.broadcast(known), ["feature", "bucket"], "left")
-    placed = long.join(F.broadcast(offsets), ["feature", "bucket"])
+    lines = 2 * wanted * len(columns)
+    offsets = cut_lineage(sizes.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))).join(
+        small(known, lines), ["feature", "bucket"], "left"))
+    placed = long.join(small(offsets, lines), ["feature", "bucket"])
 
     alike = placed.filter("single").select(
         key, "feature", (F.col("offset") + (F.col("n") + 1) / 2).alias("rank"))
@@ -121,7 +200,7 @@ def rank_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     ranked = placed.filter("single IS NULL").select(
         key, "feature", (F.col("offset") + (
             F.rank().over(order) + F.count(F.lit(1)).over(up_to)) / 2).alias("rank"))
-    return _ranks_per_row(alike.unionByName(ranked), columns, key).drop(key)
+    return _ranks_per_row(alike.unionByName(ranked), columns, key)
 
 
 def _bucket_splits(numbers: DataFrame, columns: list[str], wanted: int):

@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import OneHotEncoder
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from mergewell.functions.naming import clean_name, make_unique
 from mergewell.operators.columns import scan
 from mergewell.operators.keys import subject_index
 
 
+#: Levels of a text column that may become columns of their own; beyond it they stay sparse
+#: (operators/levels.py).
+COLUMN_LIMIT = 200
+
+
 def level_counts(df: DataFrame, columns: list[str]) -> dict[str, int]:
     """Exact number of levels of each text column."""
     if not columns:
@@ -27,13 +33,19 @@ def _levels(df: DataFrame, columns: list[str]) -> DataFrame:
 def category_levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     """Sorted levels of text columns; one distinct over (column, value) pairs.
 
-    Each level becomes a column of its own later, so ask level_counts() first and turn
-    columns with many levels into sparse vectors instead.
+    Each level becomes a column of its own later, so columns with more than COLUMN_LIMIT levels
+    are refused: operators/levels.py encodes those.
     """
     levels: dict[str, list[str]] = {c: [] for c in columns}
     if columns:
-        for row in _levels(df, columns).collect():
+        place = W.partitionBy("feature").orderBy("level")
+        few = _levels(df, columns).withColumn("place", F.row_number().over(place)).filter(
+            F.col("place") <= COLUMN_LIMIT + 1)
+        for row in few.collect():  # COLUMN_LIMIT + 1 lines per column at most
             levels[row["feature"]].append(row["level"])
+    wide = [c for c, v in levels.items() if len(v) > COLUMN_LIMIT]
+    if wide:
+        raise ValueError(f"more than {COLUMN_LIMIT} levels in {', '.join(wide)}")
     return {c: sorted(v) for c, v in levels.items()}
 
 
@@ -78,7 +90,8 @@ def _with_indicators(df: DataFrame, columns: list[str], wanted: list[tuple[str,
 
 
 def constant_columns(df: DataFrame, columns: list[str]) -> list[str]:
-    """Columns whose non-null values are all the same; one pass."""
+    """Columns whose non-null values are all the same; one pass.  Vectors are not looked at."""
+    columns = [c for c in columns if not isinstance(df.schema[c].dataType, VectorUDT)]
     same = scan(df, {c: F.min(c).eqNullSafe(F.max(c)) for c in columns})
     return [c for c in columns if same[c]]
 

@@ -9,7 +9,6 @@ from mergewell.functions.hashing import seeded_hash
 from mergewell.lineage import cut_lineage
 from mergewell.operators.learners import predict_first_level
 from mergewell.operators.ranking import rank_in_group
-from mergewell.operators.resampling import BUCKETS
 
 VIP = "feature string, importance double, sign string"
 
@@ -31,7 +30,7 @@ def shap_values(
     base = rows.select("row_id", vector_to_array("features").alias("x"))
     ranked = rank_in_group(
         base.withColumns({"all": F.lit(1), "order": seeded_hash(F.lit(seed), F.col("row_id"))}),
-        ["all"], "order", "place", ("row_id",), BUCKETS)
+        ["all"], "order", "place", ("row_id",))
     partners = ranked.select("place", F.col("x").alias("z"))
     scored = predict_first_level(model, rows, kind, "fx")
     totals = scored.agg(F.count(F.lit(1)).alias("n"), F.avg("fx").alias("mean")).first()
@@ -43,20 +42,22 @@ def shap_values(
     met = draws.join(partners, "place").withColumn("order", F.transform(
         F.sequence(F.lit(0), F.lit(len(names) - 1)),
         lambda j: F.xxhash64(F.lit(seed + 1), F.col("row_id"), F.col("sim"), j)))
-    turns = met.select(
-        "row_id", "x", "z", "order", F.posexplode("order").alias("j", "turn"))
+    # Features switch to the row's own values one after the other: a draw of p features needs
+    # p + 1 predictions, and each contribution is the step from one to the next.
+    turns = met.select("row_id", "sim", "x", "z", "order", F.array_sort("order").alias("turns")).withColumn(
+        "k", F.explode(F.sequence(F.lit(0), F.lit(len(names))))).withColumn("turn", F.get("turns", F.col("k") - 1))
     mixed = turns.select(
-        "row_id", "j",
+        "row_id", "sim", "k", (F.array_position("order", F.col("turn")) - 1).cast("int").alias("j"),
         array_to_vector(F.transform("x", lambda v, i: F.when(
-            F.col("order")[i] <= F.col("turn"), v).otherwise(F.col("z")[i]))).alias("features"),
-        array_to_vector(F.transform("x", lambda v, i: F.when(
-            F.col("order")[i] < F.col("turn"), v).otherwise(F.col("z")[i]))).alias("without"))
-    own = predict_first_level(model, mixed, kind, "with_own").drop("features")
-    both = predict_first_level(
-        model, own.withColumnRenamed("without", "features"), kind, "with_other")
-    effect = F.col("with_own") - F.col("with_other")
-    raw = both.groupBy("row_id", "j").agg(
-        F.avg(effect).alias("phi"), F.coalesce(F.var_samp(effect), F.lit(0.0)).alias("spread"))
+            F.get("order", i) <= F.col("turn"), v).otherwise(F.get("z", i)))).alias("features"))
+    # One shuffle by row serves both groupings.
+    stepped = predict_first_level(model, mixed, kind, "at").select("row_id", "sim", "k", "j", "at").repartition("row_id")
+    walk = stepped.groupBy("row_id", "sim").agg(F.array_sort(F.collect_list(F.struct("k", "j", "at"))).alias("walk"))
+    steps = F.transform(F.slice("walk", 2, len(names)), lambda s, i: F.struct(
+        s["j"].alias("j"), (s["at"] - F.get("walk", i)["at"]).alias("effect")))
+    effects = walk.select("row_id", F.explode(steps).alias("s")).select("row_id", "s.j", "s.effect")
+    raw = effects.groupBy("row_id", "j").agg(
+        F.avg("effect").alias("phi"), F.coalesce(F.var_samp("effect"), F.lit(0.0)).alias("spread"))
 
     # A row's window holds one line per feature.
     row = W.partitionBy("row_id")

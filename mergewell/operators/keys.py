@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from mergewell.lineage import cut_lineage
+from mergewell.operators import ranking
 from mergewell.operators.ranking import join_null_safe, rank_in_group
 
 
@@ -30,13 +31,25 @@ def number_repeats(df: DataFrame, key: str, content: list[str] | None = None) ->
     """Number the rows of a repeated subject 1, 2, ... in a column `occurrence`.
 
     The order is that of a hash of the row's content, so it does not depend on how
-    the rows are stored.
+    the rows are stored.  Rows of the same content form a run, in which every partition gets its
+    own stretch of numbers: however often a row is repeated, all tasks number it.
     """
     content = content or [c for c in df.columns if c != key]
     digest = F.md5(F.concat_ws("\u0001", *[
         F.coalesce(F.col(c).cast("string"), F.lit("\u0002")) for c in content]))
     hashed = df.withColumn("__digest", digest)
-    return rank_in_group(hashed, [key], "__digest", "occurrence").drop("__digest")
+    longest = hashed.groupBy(key, "__digest").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
+    if (longest or 0) <= ranking.ROWS_PER_CUT:
+        return rank_in_group(hashed, [key], "__digest", "occurrence").drop("__digest")
+    # Which partition a row is in must not change between counting and numbering.
+    parted = cut_lineage(hashed.withColumn("__part", F.spark_partition_id()))
+    stretch = [key, "__digest", "__part"]
+    counted = parted.groupBy(*stretch).agg(F.count(F.lit(1)).alias("__count"))
+    starts = rank_in_group(counted, [key], "__digest", "__start", ("__part",), weight="__count")
+    local = F.row_number().over(W.partitionBy(*stretch).orderBy("__digest"))
+    numbered = join_null_safe(parted.withColumn("__local", local), starts.drop("__count"), stretch, "inner")
+    return numbered.withColumn("occurrence", F.col("__start") + F.col("__local") - 1).drop(
+        "__digest", "__part", "__start", "__local")
 
 
 def subject_index(df: DataFrame, key: str) -> DataFrame:

@@ -46,14 +46,26 @@ def merge_all(datasets: list[DataFrame], key: str) -> DataFrame:
     """Full outer merge of any number of datasets with unique keys.
 
     Features that share a name stay two features, see apart().  Stacking and grouping by the
-    key needs one shuffle, a chain of full outer joins one or two per dataset.  A group has
+    key needs one shuffle, a chain of full outer joins one or two per dataset.  A stacked row
+    holds the features of its own dataset, packed, and nothing for those of others; a group has
     at most one row per dataset.
     """
     datasets = apart(datasets, key)
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), datasets)
-    features = [c for c in stacked.columns if c != key]
-    return stacked.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        *[F.first(c, ignorenulls=True).alias(c) for c in features])
+    packed = [df.filter(F.col(key).isNotNull()).select(key, F.struct(*[c for c in df.columns if c != key]).alias(f"__{i}"))
+              if len(df.columns) > 1 else df.filter(F.col(key).isNotNull()).select(key, F.struct(F.lit(1)).alias(f"__{i}"))
+              for i, df in enumerate(datasets)]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), packed)
+    grouped = stacked.groupBy(key).agg(*[
+        F.get(F.collect_list(f"__{i}"), F.lit(0)).alias(f"__{i}") for i in range(len(datasets))])
+    return grouped.select(key, *[
+        F.col(f"__{i}")[c].alias(c) for i, df in enumerate(datasets) for c in df.columns if c != key])
+
+
+def merge_bucketed(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Full outer merge of two datasets that are stored in the same number of buckets by key: no row
+    is shuffled (sinks.write_bucketed)."""
+    left, right = apart([left, right], key)
+    return left.filter(F.col(key).isNotNull()).join(right.filter(F.col(key).isNotNull()), key, "full_outer")
 
 
 def reattach(df: DataFrame, side: DataFrame, key: str) -> DataFrame:

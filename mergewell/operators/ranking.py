@@ -7,6 +7,7 @@ offset, which comes from a small table of bucket totals.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -14,9 +15,13 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from mergewell.functions.hashing import hash_fraction
 from mergewell.lineage import cut_lineage
 
-# A group above 1/SHARE of all rows is hot: there are fewer than SHARE such groups,
-# which bounds every table that is broadcast for them.
-SHARE = 4096
+ROWS_PER_CUT = 100_000  # rows of a group that one task sorts
+BROADCAST_LINES = 1_000_000  # of a table of offsets that is sent to all tasks
+
+
+def small(table: DataFrame, lines: int) -> DataFrame:
+    """table, to be sent to all tasks if it has few lines."""
+    return F.broadcast(table) if lines <= BROADCAST_LINES else table
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -33,61 +38,58 @@ def rank_in_group(
     order: str,
     out: str = "rn",
     tie: tuple[str, ...] = (),
-    buckets: int | None = None,
-    size: str | None = None,
-    counted: DataFrame | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
-    """row_number() within group by a hex hash column, for groups of any size.
+    """row_number() within group by a hex hash column, for groups of any size; missing keys are a
+    group.  With `weight` 1 plus the weights of the rows before instead.
 
-    With `buckets` every group is cut into that many hash ranges: meant for a bounded
-    number of groups such as label strata; `size` then also adds the group's row count.
-    Without it only hot groups are cut, each into as many ranges as its share of all
-    rows asks for.  `counted` is a cheaper frame with the same groups and hashes.
+    A group above ROWS_PER_CUT rows is cut into hash ranges of about that size, which are
+    ranked apart; exact sums of the ranges before are added.
     """
-    source = df if counted is None else counted
+    n = F.count(F.lit(1))
     position = hash_fraction(F.col(order))
-    if buckets is not None:
-        place = F.floor(position * buckets).cast("int")
-        tagged = df.withColumn("__bucket", place)
-        cut = source.withColumn("__bucket", place)
-    else:
-        sizes = source.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
-        total = sizes.agg(F.sum("__n")).scalar()
-        hot = (
-            sizes.withColumn("__cuts", F.ceil(F.col("__n") * SHARE / total))
-            .filter((F.col("__n") * SHARE > total) & (F.col("__n") > SHARE))
-            .drop("__n")
-        )
+    sizes = df.groupBy(*group).agg(n.alias("__n"))
+    hot = cut_lineage(sizes.filter(F.col("__n") > ROWS_PER_CUT).withColumn(
+        "__cuts", F.ceil(F.col("__n") / ROWS_PER_CUT)).drop("__n"))
+    many = hot.agg(n.alias("groups"), F.coalesce(F.sum("__cuts"), F.lit(0)).alias("cuts")).first()
+    if many["groups"]:
         place = F.coalesce(F.floor(position * F.col("__cuts")), F.lit(0)).cast("int")
-        tagged, cut = (
-            join_null_safe(part, F.broadcast(hot), group, how).withColumn("__bucket", place)
-            for part, how in ((df, "left"), (source, "inner")))
-    totals = cut.groupBy(*group, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    before = W.partitionBy(*group).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
-    added = {"__offset": F.sum("__n").over(before)}
-    if size is not None:
-        added[size] = F.sum("__n").over(W.partitionBy(*group))
-    offsets = totals.withColumns(added).drop("__n")
-    local = F.row_number().over(W.partitionBy(*group, "__bucket").orderBy(order, *tie))
-    ranked = join_null_safe(
-        tagged.withColumn("__local", local), F.broadcast(offsets), [*group, "__bucket"], "left")
+        tagged = join_null_safe(df, small(hot, many["groups"]), group, "left").withColumn("__bucket", place)
+        cut = tagged.filter("__cuts IS NOT NULL")
+        totals = cut.groupBy(*group, "__bucket").agg((F.sum(weight) if weight else n).alias("__n"))
+        before = W.partitionBy(*group).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
+        offsets = totals.withColumn("__offset", F.sum("__n").over(before)).drop("__n")
+    else:
+        tagged = df.withColumn("__bucket", F.lit(0))
+    within = W.partitionBy(*group, "__bucket").orderBy(order, *tie)
+    local = F.row_number().over(within) if weight is None else 1 + F.coalesce(
+        F.sum(weight).over(within.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    ranked = tagged.withColumn("__local", local)
+    if many["groups"]:
+        ranked = join_null_safe(ranked, small(offsets, many["cuts"]), [*group, "__bucket"], "left")
+    else:
+        ranked = ranked.withColumn("__offset", F.lit(0))
     return ranked.withColumn(
         out, (F.col("__local") + F.coalesce("__offset", F.lit(0))).cast("bigint")
     ).drop("__local", "__offset", "__bucket", "__cuts")
 
 
 def sums_below(
-    points: DataFrame, group: list[str], value: str, weights: list[str], buckets: int = 128
+    points: DataFrame, group: list[str], value: str, weights: list[str], buckets: int | None = None
 ) -> DataFrame:
     """For one row per (group, value): the weights of all smaller values of the group.
 
     Adds `<weight>_below`.  Groups are few (features or classes); their distinct values
     may be as many as the data has rows, so each group is cut at approximate
-    quantiles.  Any cut points give the exact result, good ones give even tasks.
+    quantiles, `buckets` of them or else one per ROWS_PER_CUT values.  Any cut points give
+    the exact result, good ones give even tasks.
     """
+    if buckets is None:
+        most = points.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
+        buckets = max(2, math.ceil((most or 0) / ROWS_PER_CUT))
     steps = [i / buckets for i in range(1, buckets)]
     cuts = points.groupBy(*group).agg(
-        F.percentile_approx(value, steps, 1000).alias("__cuts"))
+        F.percentile_approx(value, steps, max(1000, 10 * buckets)).alias("__cuts"))
     tagged = join_null_safe(points, F.broadcast(cuts), group, "inner").withColumn(
         "__bucket", F.size(F.filter("__cuts", lambda c: c < F.col(value)))).drop("__cuts")
     totals = tagged.groupBy(*group, "__bucket").agg(
@@ -102,26 +104,3 @@ def sums_below(
     return join_null_safe(local, F.broadcast(offsets), [*group, "__bucket"], "inner").withColumns({
         f"{w}_below": F.coalesce(f"{w}_below", zero) + F.coalesce(f"__{w}", zero) for w in weights
     }).drop("__bucket", *[f"__{w}" for w in weights])
-
-
-def exact_quantiles(df: DataFrame, value: str, probs: list[float]) -> list[float]:
-    """Type-7 quantiles of one numeric column, without gathering it anywhere."""
-    points = cut_lineage(
-        df.filter(F.col(value).isNotNull())
-        .groupBy(F.col(value).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("all", F.lit(1)))
-    placed = sums_below(points, ["all"], "v", ["n"])
-    total = points.agg(F.sum("n").alias("total")).first()["total"]
-    if not total:
-        return []
-    wanted = sorted({min(int(p * (total - 1)) + d, total - 1) for p in probs for d in (0, 1)})
-    hits = placed.withColumn("k", F.explode(F.array(*[F.lit(k) for k in wanted]))).filter(
-        (F.col("k") >= F.col("n_below")) & (F.col("k") < F.col("n_below") + F.col("n")))
-    at = {r["k"]: r["v"] for r in hits.select("k", "v").collect()}
-    result = []
-    for p in probs:
-        place = p * (total - 1)
-        low = int(place)
-        high = min(low + 1, total - 1)
-        result.append(at[low] + (place - low) * (at[high] - at[low]))
-    return result

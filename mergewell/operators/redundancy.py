@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import numpy as np
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, functions as F
 
 from mergewell.functions.naming import base_name
@@ -13,7 +15,7 @@ from mergewell.operators.columns import (
     columns_matching, count_values, numeric_columns, string_columns)
 from mergewell.operators.completeness import filled_columns, sparse_columns
 from mergewell.operators.correlation import (
-    pairs_with_gaps, partner_counts, pearson_pairs)
+    both_directions, complete_numbers, pairs_with_gaps, partner_counts, pearson_pairs)
 
 REDUNDANT_LEVEL = 0.99
 
@@ -125,20 +127,52 @@ def connected_components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+#: Pairs of columns up to which groups are found in the driver; beyond it, in Spark.
+UNION_PAIRS = 1_000_000
+DENSE_COLUMNS = 200  # whose correlation matrix is one small job
+
+
 def group_correlated(pairs: DataFrame, columns: Iterable[str], level: float) -> DataFrame:
     """Groups of features linked by |corr| >= level: (group_id, keep, members).
 
     The first column of a group is kept, `members` are the others in column order;
-    a feature without partner is a group of its own with no members.
+    a feature without partner is a group of its own with no members.  The graph has the size of
+    the schema: its pairs are united in the driver, or, above UNION_PAIRS, by distributed rounds.
     """
-    order = pairs.sparkSession.createDataFrame(
+    columns = list(columns)
+    edges = pairs.filter(F.abs("corr") >= level).select("a", "b")
+    strong = edges.limit(UNION_PAIRS + 1).collect()
+    if len(strong) > UNION_PAIRS:
+        return _group_in_spark(edges, columns)
+    groups = united(columns, [(r["a"], r["b"]) for r in strong])
+    return pairs.sparkSession.createDataFrame(
+        [(g[0], g[0], g[1:]) for g in groups], "group_id string, keep string, members array<string>")
+
+
+def united(nodes: list[str], edges: list[tuple[str, str]]) -> list[list[str]]:
+    """Groups of linked nodes, each in the order of nodes: union-find, the earlier node on top."""
+    place = {c: i for i, c in enumerate(nodes)}
+    parent = list(range(len(nodes)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    for a, b in edges:
+        low, high = sorted((root(place[a]), root(place[b])))
+        parent[high] = low
+    groups: dict[int, list[str]] = {}
+    for i, c in enumerate(nodes):
+        groups.setdefault(root(i), []).append(c)
+    return list(groups.values())
+
+
+def _group_in_spark(edges: DataFrame, columns: list[str]) -> DataFrame:
+    order = edges.sparkSession.createDataFrame(
         [(c, i) for i, c in enumerate(columns)], "node string, place int")
-    edges = pairs.filter(F.abs("corr") >= level)
-    if edges.isEmpty():
-        grouped = order.withColumn("component", F.col("node"))
-    else:
-        grouped = order.join(connected_components(edges), "node", "left").withColumn(
-            "component", F.coalesce("component", "node"))
+    grouped = order.join(connected_components(edges), "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
     # One group holds at most all columns of the schema.
     members = F.transform(F.sort_array(F.collect_list(F.struct("place", "node"))), lambda m: m["node"])
     return grouped.groupBy("component").agg(members.alias("all")).select(
@@ -155,16 +189,19 @@ def choose_survivors(groups: DataFrame, choose: dict[str, str] | None = None) ->
         "survivor", F.when(known, F.col("choice")).otherwise(F.col("keep"))).drop("choice")
 
 
-def greedy_correlation_filter(matrix: np.ndarray, columns: list[str], level: float) -> list[str]:
+def greedy_correlation_filter(
+    matrix: np.ndarray, columns: list[str], level: float, totals: np.ndarray | None = None,
+) -> list[str]:
     """Columns to drop until no pair is correlated above the level.
 
     Takes the strongest pair and drops the side with the larger mean |corr| over the
-    columns still there (ties: the later column).  Works on the correlation matrix,
-    whose side is the number of columns of the schema.
+    columns still there (ties: the later column).  `totals` are the sums of |corr| with all
+    columns, where the matrix holds only those that may be dropped.
     """
-    strength = np.abs(np.nan_to_num(matrix, nan=0.0))
+    # Rounded, so that the order of sums on a cluster does not decide between equal pairs.
+    strength = np.round(np.abs(np.nan_to_num(matrix, nan=0.0)), 12)
     np.fill_diagonal(strength, 0.0)
-    totals = strength.sum(axis=0)
+    totals = strength.sum(axis=0) if totals is None else totals.copy()
     first, second = np.nonzero(np.triu(strength > level))
     gone: set[int] = set()
     for n in np.argsort(-strength[first, second], kind="stable"):
@@ -172,12 +209,53 @@ def greedy_correlation_filter(matrix: np.ndarray, columns: list[str], level: flo
         if a in gone or b in gone:
             continue
         # Both means run over the same number of columns, so the totals decide.
-        drop = a if totals[a] > totals[b] + 1e-12 else b
+        drop = a if totals[a] > totals[b] + 1e-9 else b
         gone.add(drop)
         totals -= strength[drop]
     return [columns[i] for i in sorted(gone)]
 
 
+def correlated_columns(df: DataFrame, columns: list[str], level: float) -> list[str]:
+    """Columns to drop until no pair has |Pearson| above the level, see greedy_correlation_filter().
+
+    Only columns of strong pairs can be dropped: their correlations among each other and the sum
+    of each one's with all columns decide.
+    """
+    if len(columns) <= DENSE_COLUMNS:
+        return greedy_correlation_filter(_small_matrix(df, columns), columns, level)
+    pairs = pearson_pairs(df, columns).withColumn("size", F.abs("corr"))
+    if len(columns) ** 2 <= 2 * UNION_PAIRS:
+        place = {c: i for i, c in enumerate(columns)}
+        matrix = np.zeros((len(columns), len(columns)))
+        for r in pairs.collect():
+            matrix[place[r["a"]], place[r["b"]]] = matrix[place[r["b"]], place[r["a"]]] = r["size"]
+        return greedy_correlation_filter(matrix, columns, level)
+    strong = pairs.filter(F.col("size") > level)
+    names = {r["a"] for r in both_directions(strong.select("a", "b")).select("a").distinct().collect()}
+    if not names:
+        return []
+    involved = [c for c in columns if c in names]
+    marked = df.sparkSession.createDataFrame([(c,) for c in involved], "name string")
+    sums = {r["a"]: r["total"] for r in both_directions(pairs.select("a", "b", "size")).groupBy("a").agg(
+        F.sum("size").alias("total")).join(F.broadcast(marked), F.col("a") == F.col("name")).collect()}
+    among = pairs.join(F.broadcast(marked), F.col("a") == F.col("name")).drop("name").join(
+        F.broadcast(marked), F.col("b") == F.col("name")).select("a", "b", "size").collect()
+    place = {c: i for i, c in enumerate(involved)}
+    matrix = np.zeros((len(involved), len(involved)))
+    for r in among:
+        matrix[place[r["a"]], place[r["b"]]] = matrix[place[r["b"]], place[r["a"]]] = r["size"]
+    return greedy_correlation_filter(matrix, involved, level, np.array([sums[c] for c in involved]))
+
+
+def _small_matrix(df: DataFrame, columns: list[str]) -> np.ndarray:
+    """Correlations of a few columns in one job; nan for constant ones."""
+    numbers = complete_numbers(df, columns)
+    if numbers.isEmpty():
+        return np.full((len(columns), len(columns)), np.nan)
+    vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(numbers).select("v")
+    return Correlation.corr(vectors, "v").first()[0].toArray()
+
+
 def feature_summary(
     everything: DataFrame, after_cutoff: DataFrame, correlated: DataFrame, final: DataFrame,
 ) -> DataFrame:

@@ -17,14 +17,17 @@ NUMBER_METRICS = ("mae", "rmse", "rsq", "ccc")
 LOWER_IS_BETTER = ("mae", "rmse")
 
 
-def confusion(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """(by..., truth, estimate, n); at most levels squared rows per resample."""
+def confusion(df: DataFrame, by: tuple[str, ...] = (), weight: str | None = None) -> DataFrame:
+    """(by..., truth, estimate, n); at most levels squared rows per resample.  `weight` names a
+    column that says how many predictions a row stands for."""
     return df.groupBy(*by, F.col("truth").cast("string").alias("truth"),
                       F.col("estimate").cast("string").alias("estimate")).agg(
-        F.count(F.lit(1)).alias("n"))
+        (F.sum(weight) if weight else F.count(F.lit(1))).alias("n"))
 
 
-def class_metrics(df: DataFrame, levels: list[str], by: tuple[str, ...] = ()) -> DataFrame:
+def class_metrics(
+    df: DataFrame, levels: list[str], by: tuple[str, ...] = (), weight: str | None = None,
+) -> DataFrame:
     """One row per resample: accuracy, bal_accuracy, f_meas, kap.
 
     Two levels: the event is the first one.  More: macro averages over the levels.
@@ -39,7 +42,7 @@ def class_metrics(df: DataFrame, levels: list[str], by: tuple[str, ...] = ()) ->
         measures[f"tp{i}"] = cells((truth == level) & (estimate == level))
         measures[f"t{i}"] = cells(truth == level)
         measures[f"p{i}"] = cells(estimate == level)
-    counts = confusion(df, by).groupBy(*by).agg(*[m.alias(k) for k, m in measures.items()])
+    counts = confusion(df, by, weight).groupBy(*by).agg(*[m.alias(k) for k, m in measures.items()])
 
     def per_level(i: int) -> dict[str, Column]:
         tp, t, p = (F.col(f"{k}{i}") for k in ("tp", "t", "p"))

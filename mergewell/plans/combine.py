@@ -5,14 +5,17 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.storagelevel import StorageLevel
 
-from mergewell.functions.naming import clean_name
+from mergewell.functions.naming import clean_name, make_unique
+from mergewell.lineage import cut_lineage
 from mergewell.operators.columns import count_values, string_columns
 from mergewell.operators.completeness import complete_table
-from mergewell.operators.correlation import spearman_pairs, strong_pairs_report
+from mergewell.operators.correlation import (
+    PAIRS, pearson_pairs, rank_columns, spearman_pairs, strong_pairs_report)
 from mergewell.operators.encoding import (
-    constant_columns, level_counts, near_empty_columns, one_hot)
+    COLUMN_LIMIT, constant_columns, level_counts, near_empty_columns, one_hot)
+from mergewell.operators.levels import (
+    as_vector, entry_names, find_levels, informative, keep_uncorrelated, numbered, sizes_of)
 from mergewell.operators.merge import find_repeats, merge_all, missing_keys, reattach
 from mergewell.operators.redundancy import (
     choose_survivors, drop_redundant_numeric, drop_redundant_strings, feature_summary,
@@ -20,10 +23,6 @@ from mergewell.operators.redundancy import (
 from mergewell.plans.profile import KEY, as_raw, profile
 
 
-IDENTIFIER_SHARE = 0.5  # levels per row above which a text column is an identifier
-CATEGORY_LEVELS = 100  # as many levels may always become columns
-
-
 @dataclass
 class CombineReport:
     merged_data_with_nas: DataFrame
@@ -35,6 +34,7 @@ class CombineReport:
     label: str
     excluded: list[str] = field(default_factory=list)
     cutoff: float = 0.0
+    levels: DataFrame | None = None  # (index, feature, level) of the vector column, if there is one
 
 
 def exclude_unresolved(
@@ -75,6 +75,9 @@ def combine(
 ) -> CombineReport:
     """Merge on subject_id, drop redundant, sparse and correlated features, encode text.
 
+    Levels of a text become columns; those of texts with more than COLUMN_LIMIT levels become
+    entries of one sparse vector column, named in `levels`, after the same filters.
+
     `choose` names another survivor for a group of correlated features, by the group's
     first feature.  Datasets with repeated keys are left out, or refused with
     on_repeat="error", because a merge would multiply their rows.
@@ -89,13 +92,11 @@ def combine(
     if not datasets:
         raise ValueError("no dataset left to merge")
 
-    merged = merge_all(list(datasets.values()), KEY).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        keyless = missing_keys(datasets, KEY)
-        return _reduce(spark, merged, label, cor_level, choose, preserve_samples, excluded,
-                       near_empty_rows, keyless)
-    finally:
-        merged.unpersist()
+    # Every table of the report starts from the merge: it is done once, whatever is written.
+    merged = cut_lineage(merge_all(list(datasets.values()), KEY))
+    keyless = missing_keys(datasets, KEY)
+    return _reduce(spark, merged, label, cor_level, choose, preserve_samples, excluded,
+                   near_empty_rows, keyless)
 
 
 def _reduce(spark, merged, label, cor_level, choose, preserve_samples, excluded, near_empty_rows,
@@ -118,28 +119,41 @@ def _reduce(spark, merged, label, cor_level, choose, preserve_samples, excluded,
         complete = reattach(complete, labelled.select(KEY, label), KEY)
 
     texts = string_columns(complete, (KEY, label))
-    # A text that hardly repeats names rows and tells nothing of others: kept out, and reported.
+    # Texts with more levels than may become columns share one sparse vector.
     counts = level_counts(complete, texts)
-    size = complete.count() if counts else 0
-    names_rows = [c for c in texts if counts[c] > max(CATEGORY_LEVELS, IDENTIFIER_SHARE * size)]
-    advice += [("identifier_like", f"{c} has nearly as many levels as rows and is left out", counts[c])
-               for c in names_rows]
-    complete = complete.drop(*names_rows)
-    encoded = one_hot(complete, [c for c in texts if c not in names_rows])
-    predictors = [c for c in encoded.columns if c not in (KEY, label)]
+    wide = [c for c in texts if counts[c] > COLUMN_LIMIT]
+    if wide:
+        complete = cut_lineage(complete)
+    # Written once: what follows looks at these columns again and again, and the optimiser's time
+    # grows without measure with the number of expressions on one column.
+    encoded = cut_lineage(one_hot(complete, [c for c in texts if c not in wide]))
+    predictors = [c for c in encoded.columns if c not in (KEY, label, *wide)]
     encoded = encoded.drop(*constant_columns(encoded, predictors))
-    predictors = [c for c in encoded.columns if c not in (KEY, label)]
+    predictors = [c for c in encoded.columns if c not in (KEY, label, *wide)]
     if near_empty_rows is not None:
         encoded = encoded.drop(*near_empty_columns(encoded, predictors, near_empty_rows))
-        predictors = [c for c in encoded.columns if c not in (KEY, label)]
-
-    pairs = spearman_pairs(encoded, predictors)
+        predictors = [c for c in encoded.columns if c not in (KEY, label, *wide)]
+
+    entries, sizes = None, {}
+    if wide:
+        ranks = cut_lineage(rank_columns(encoded, predictors, KEY) if predictors else encoded.select(KEY))
+        pairs = pearson_pairs(ranks, predictors)
+        levels, links = keep_uncorrelated(
+            informative(find_levels(complete, KEY, wide), near_empty_rows), ranks, predictors, cor_level,
+            pairs.filter(F.abs("corr") >= cor_level))
+        # Columns that only levels link are linked as well.
+        pairs = pairs.unionByName(spark.createDataFrame([(a, b, 1.0) for a, b in links], PAIRS))
+        entries = numbered(levels)
+        sizes = sizes_of(entries)
+    else:
+        pairs = spearman_pairs(encoded, predictors)
     groups = choose_survivors(group_correlated(pairs, predictors, cor_level), choose)
     # One line per column of the table.
     decided = {r["survivor"]: list(r["members"]) + [r["keep"]] for r in groups.collect()}
     survivors = [c for c in predictors if c in decided]
     linked = [c for members in decided.values() if len(members) > 1 for c in members]
-    final = survivors + [label]
+    vector = make_unique([*survivors, label, KEY, "levels"])[-1] if sizes else None
+    final = survivors + [label] + [c for c in wide if sizes.get(c)]
     report = strong_pairs_report(encoded, linked, cor_level) if linked else None
 
     def names(values):
@@ -148,10 +162,15 @@ def _reduce(spark, merged, label, cor_level, choose, preserve_samples, excluded,
     summary = feature_summary(
         names([c for c in deduped.columns if c != KEY]), names([c for c in kept]),
         names(linked), names(final))
+    ml_table = encoded.select(KEY, *survivors, label, *wide)
+    if wide:
+        ml_table = as_vector(ml_table, wide, entries, sizes, vector)
+        ml_table = ml_table.select(KEY, *survivors, *([vector] if sizes else []), label)
     return CombineReport(
-        merged_data_with_nas=deduped, ml_table=encoded.select(KEY, *survivors, label),
+        merged_data_with_nas=deduped, ml_table=ml_table,
         feature_summary=summary, groups=groups, correlated_features=report,
         advisories=spark.createDataFrame(
             [(c, m, float(v)) for c, m, v in advice], "code string, message string, value double").unionByName(
             class_counts(labelled, label)),
-        label=label, excluded=excluded, cutoff=cutoff)
+        label=label, excluded=excluded, cutoff=cutoff,
+        levels=entry_names(wide, entries, sizes) if sizes else None)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from dataclasses import dataclass, field, replace
 from functools import reduce
@@ -11,6 +12,7 @@ from pyspark.storagelevel import StorageLevel
 
 from mergewell.functions.naming import clean_name
 from mergewell.jobs import in_threads
+from mergewell.lineage import cut_lineage
 from mergewell.operators.baseline import RUNS, null_baseline
 from mergewell.operators.explain import shap_values, signed_importance
 from mergewell.operators.learners import (
@@ -40,6 +42,7 @@ class TuningResult:
     trace: DataFrame
     best: dict
     predictions: list[DataFrame] = field(default_factory=list)
+    dropped: list[int] = field(default_factory=list)  # iterations that a race ended early
 
 
 @dataclass
@@ -50,6 +53,7 @@ class TrainReport:
     best: dict
     recipe: object
     model: object
+    best_points: DataFrame | None = None
     importance: dict[str, DataFrame] = field(default_factory=dict)
     oof_predictions: list[DataFrame] = field(default_factory=list)
 
@@ -87,13 +91,17 @@ def make_resamples(
 def tune(
     resamples: list[Resample], problem: Problem, learner: Learner, space: list[Dimension],
     metric: str, tune_length: int = 80, tune_stop: int = 10, tune_time: float = 10,
-    initial: int = 5, parallelism: int = 2, save_predictions: bool = False,
+    initial: int = 5, parallelism: int = 2, save_predictions: bool = False, race: float | None = None,
 ) -> TuningResult:
     """Sequential search: `initial` spread points, then up to `tune_length` more.
 
     Stops after `tune_stop` rounds without gain or `tune_time` minutes.  A candidate's
     score is the mean over all resamples; models are fitted in parallel, and all their
     held-out predictions are scored in one job.
+
+    With `race` a candidate is first scored on the resamples of the first repeat.  If it is worse
+    there than the best so far, fold by fold, by more than `race` standard errors of the mean
+    difference, the others are not fitted; it cannot become the best.
     """
     if metric not in metrics_of(problem.kind):
         raise ValueError(f"{metric} is no metric for {problem.kind}")
@@ -101,20 +109,31 @@ def tune(
     proposer = Proposer(len(space), learner.seed, initial)
     deadline = time.monotonic() + 60 * tune_time
     best, best_point, best_params, without_gain, rows, saved = None, None, {}, 0, [], []
-    seen: dict[tuple, dict] = {}
+    seen: dict[tuple, tuple[dict, bool]] = {}
+    best_folds, dropped = {}, []
+    heat = [r for r in resamples if r.repeat == resamples[0].repeat]
     for iteration in range(initial + tune_length):
         point = proposer.next(best_point, without_gain)
         params = {d.name: d.value(u) for d, u in zip(space, point)}
-        found = seen.get(tuple(params.values()))
+        found, lost = seen.get(tuple(params.values()), (None, False))
+        folds = {}
         if found is None:
-            found, held = score_candidate(resamples, problem, learner, params, parallelism)
-            seen[tuple(params.values())] = found
+            if race is not None and best_folds and len(heat) < len(resamples):
+                found, held, folds = _scored(heat, problem, learner, params, parallelism, metric)
+                lost = is_worse([sign * (best_folds[k] - v) for k, v in folds.items()
+                                 if v is not None and best_folds.get(k) is not None], race)
+            if lost:
+                dropped.append(iteration)
+            else:
+                found, held, folds = _scored(resamples, problem, learner, params, parallelism, metric)
+            seen[tuple(params.values())] = (found, lost)
             if save_predictions:
-                saved.append(held.withColumn("iteration", F.lit(iteration)))
+                saved.append(written_predictions(held, iteration))
         rows += [(iteration, m, v, *[float(x) for x in params.values()]) for m, v in found.items()]
-        value = found[metric]
+        value = None if lost else found[metric]
         if value is not None and (best is None or sign * value > sign * best):
             best, best_point, best_params, without_gain = value, point, params, 0
+            best_folds = folds
         elif iteration >= initial:
             without_gain += 1
         if without_gain >= tune_stop or time.monotonic() > deadline:
@@ -124,13 +143,40 @@ def tune(
     columns = ", ".join(f"{d.name} double" for d in space)
     trace = resamples[0].train.sparkSession.createDataFrame(
         rows, f"iteration int, metric string, mean double, {columns}")
-    return TuningResult(trace, best_params, saved)
+    return TuningResult(trace, best_params, saved, dropped)
+
+
+def is_worse(losses: list[float], errors: float) -> bool:
+    """Whether the mean of paired losses is above zero by so many of its standard errors."""
+    n = len(losses)
+    if n < 3:
+        return False
+    mean = sum(losses) / n
+    spread = math.sqrt(sum((x - mean) ** 2 for x in losses) / (n - 1))
+    return mean > 0 and mean > errors * spread / math.sqrt(n)
+
+
+def best_points(trace: DataFrame, metric: str, n: int = 5) -> DataFrame:
+    """The n best candidates of a search by one metric, best first; ties go to the earlier one."""
+    order = F.asc("mean") if metric in LOWER_IS_BETTER else F.desc("mean")
+    return trace.filter((F.col("metric") == metric) & F.col("mean").isNotNull()).orderBy(order, "iteration").limit(n)
+
+
+def written_predictions(held: DataFrame, iteration: int) -> DataFrame:
+    """Held-out predictions that no longer depend on the folds they came from."""
+    return cut_lineage(held.withColumn("iteration", F.lit(iteration)))
 
 
 def score_candidate(
     resamples: list[Resample], problem: Problem, learner: Learner, params: dict, parallelism: int,
 ) -> tuple[dict, DataFrame]:
     """Mean of every metric over the resamples, and the held-out predictions."""
+    means, held, _ = _scored(resamples, problem, learner, params, parallelism, metrics_of(problem.kind)[0])
+    return means, held
+
+
+def _scored(resamples, problem, learner, params, parallelism, metric) -> tuple[dict, DataFrame, dict]:
+    """score_candidate() and the metric of each (repeat, fold)."""
     estimator = learner.estimator(params)
 
     def held_out_predictions(r: Resample) -> DataFrame:
@@ -143,11 +189,15 @@ def score_candidate(
     held = reduce(DataFrame.unionByName, parts)
     held.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        per_resample = score(held, problem.kind, list(problem.levels), ("repeat", "fold"))
-        means = per_resample.agg(*[F.avg(m).alias(m) for m in metrics_of(problem.kind)]).first()
+        # A line per resample.
+        lines = score(held, problem.kind, list(problem.levels), ("repeat", "fold")).collect()
     finally:
         held.unpersist()
-    return means.asDict(), held
+    means = {}
+    for m in metrics_of(problem.kind):
+        values = [r[m] for r in sorted(lines, key=lambda r: (r["repeat"], r["fold"])) if r[m] is not None]
+        means[m] = sum(values) / len(values) if values else None
+    return means, held, {(r["repeat"], r["fold"]): r[metric] for r in lines}
 
 
 def fit_final(rows: DataFrame, roles: list[str], cor_level: float, learner: Learner, params: dict):
@@ -188,6 +238,7 @@ def train(
     parallelism: int = 2, trees_tune: int = 1500, trees_final: int = 500, depth: int = DEEPEST,
     max_iter: int = 100, initial: int = 5, null_runs: int = RUNS, nsim: int = 100,
     save_predictions: bool = False, partitions: int = PARTITIONS, spark: SparkSession | None = None,
+    race: float | None = None,
 ) -> TrainReport:
     """Null model, split, tuning by repeated cross-validation, final fit, test scores.
 
@@ -224,7 +275,7 @@ def train(
         resamples = make_resamples(folded, roles, folds, repeats, cor_level, parallelism)
         tuned = tune(
             resamples, problem, learner, space, metric, tune_length, tune_stop, tune_time,
-            initial, parallelism, save_predictions)
+            initial, parallelism, save_predictions, race)
         folded.unpersist()
 
         learner = replace(learner, trees=trees_final)
@@ -236,7 +287,7 @@ def train(
         results = _fixed(result_table(
             to_metric_rows(score(held, kind, levels)), metric_average(nulls), problem, learner))
         report = TrainReport(
-            results, nulls, tuned.trace, tuned.best, recipe, fitted,
+            results, nulls, tuned.trace, tuned.best, recipe, fitted, best_points(tuned.trace, metric),
             oof_predictions=tuned.predictions)
         if explain and (kind == "regression" or len(levels) == 2):
             for name, rows in (("full", split.drop("is_train")), ("train", part), ("test", test)):

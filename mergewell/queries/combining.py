@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from mergewell.operators.columns import count_values, drop_all_null, infer_types, shuffle
@@ -423,6 +421,5 @@ SELECT row_number() OVER (ORDER BY p_name) - 1 AS place, count(*) AS n FROM part
 def q_many_levels(spark, sf_dir):
     """One-hot vectors of a text with thousands of levels: how often each place is 1."""
     encoded = sparse_one_hot(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", "levels")
-    ones = encoded.agg(Summarizer.numNonZeros(F.col("levels")).alias("ones"))
-    return ones.select(F.posexplode(vector_to_array("ones")).alias("place", "n")).select(
-        F.col("place").cast("long"), F.col("n").cast("long"))
+    places = encoded.select(F.explode(F.unwrap_udt("levels")["indices"]).alias("place"))
+    return places.groupBy(F.col("place").cast("long").alias("place")).agg(F.count(F.lit(1)).alias("n"))

@@ -9,7 +9,7 @@ from mergewell.operators.resampling import assign_folds, stratified_split
 from mergewell.operators.scoring import (
     class_metrics, compare_to_null, confusion, metric_average, number_metrics, roc_auc,
     to_metric_rows)
-from mergewell.operators.ranking import exact_quantiles
+from mergewell.operators.selection import exact_quantiles
 from mergewell.queries.registry import query, table
 
 
@@ -80,7 +80,9 @@ ranked AS (SELECT seed, truth, row_number() OVER (
 test AS (SELECT seed, truth FROM ranked WHERE rn > floor({prop}::DOUBLE * n))"""
 
 
-NULL_CLASS_SQL = _runs_sql("SELECT doc_id::VARCHAR AS key, quality::VARCHAR AS truth, quality AS stratum FROM labels") + """,
+def null_class_sql(source: str) -> str:
+    """The null model's 20 runs on the quality labels of `source`."""
+    return _runs_sql(f"SELECT doc_id::VARCHAR AS key, quality::VARCHAR AS truth, quality AS stratum {source}") + """,
 majority AS (SELECT seed, truth AS estimate FROM (
   SELECT seed, truth, row_number() OVER (PARTITION BY seed ORDER BY count(*) DESC, truth) AS place
   FROM test GROUP BY seed, truth) WHERE place = 1),
@@ -93,6 +95,9 @@ runs AS (SELECT seed, (tp / t0 + (n - t0 - p0 + tp) / (n - t0)) / 2 AS bal_accur
     hits / n AS accuracy FROM cells)"""
 
 
+NULL_CLASS_SQL = null_class_sql("FROM labels")
+
+
 def _null_class(spark, sf_dir) -> DataFrame:
     return null_baseline(table(spark, sf_dir, "labels"), "doc_id", "quality", levels=["0", "1"])
 

@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from mergewell.lineage import cut_lineage
-from mergewell.operators.correlation import pearson_matrix
+from mergewell.operators.redundancy import correlated_columns
 from mergewell.operators.explain import shap_importance
-from mergewell.operators.learners import Learner, Problem, label_levels
-from mergewell.operators.redundancy import greedy_correlation_filter
-from mergewell.plans.train import importance_of, make_resamples, score_candidate
+from mergewell.operators.baseline import null_baseline
+from mergewell.operators.learners import Learner, Problem, label_levels, predictions
 from mergewell.operators.resampling import assign_folds, stratified_split
-from mergewell.queries.combining import LINE_COLUMNS, _line_numbers
+from mergewell.operators.scoring import metric_average, score, to_metric_rows
+from mergewell.plans.train import (
+    PARTITIONS, dealt, fit_final, importance_of, make_resamples, result_table, score_candidate, train)
+from mergewell.queries.combining import LINE_COLUMNS, PEARSON_SQL, _line_numbers
+from mergewell.queries.evaluation import null_class_sql
 from mergewell.queries.registry import query, table
 
+
 def document_features(spark, sf_dir) -> DataFrame:
     """Labelled documents with simple counts over their whole text."""
     text = F.col("text")
@@ -41,10 +46,24 @@ def customer_features(spark, sf_dir) -> DataFrame:
         "largest", "urgent", "label")
 
 
-@query("q_corr_filter")
+@query("q_corr_filter", f"""
+WITH RECURSIVE {PEARSON_SQL},
+strong AS (SELECT a, b, row_number() OVER (ORDER BY round(abs(corr), 12) DESC, list_position(c, a), list_position(c, b)) AS place
+  FROM pairs, (SELECT {LINE_COLUMNS} AS c) WHERE round(abs(corr), 12) > 0.95),
+sides AS (SELECT a AS x, b AS y, abs(corr) AS r FROM pairs UNION ALL SELECT b, a, abs(corr) FROM pairs),
+steps AS (  -- the strongest pair first; a pair of which one is gone already is passed over
+  SELECT 0::BIGINT AS place, {LINE_COLUMNS} AS kept
+  UNION ALL
+  SELECT place, CASE WHEN list_contains(kept, a) AND list_contains(kept, b) THEN list_filter(kept, lambda k: k <> gone)
+    ELSE kept END
+  FROM (SELECT s.place, kept, s.a, s.b, CASE WHEN
+      (SELECT sum(r) FROM sides WHERE x = s.a AND list_contains(kept, y)) >
+      (SELECT sum(r) FROM sides WHERE x = s.b AND list_contains(kept, y)) + 1e-9 THEN s.a ELSE s.b END AS gone
+    FROM steps JOIN strong s ON s.place = steps.place + 1)),
+last AS (SELECT kept FROM steps ORDER BY place DESC LIMIT 1)
+SELECT unnest({LINE_COLUMNS}) AS feature, NOT list_contains(kept, unnest({LINE_COLUMNS})) AS dropped FROM last""")
 def q_corr_filter(spark, sf_dir):
-    matrix = pearson_matrix(_line_numbers(spark, sf_dir), LINE_COLUMNS)
-    dropped = greedy_correlation_filter(matrix, LINE_COLUMNS, 0.95)
+    dropped = correlated_columns(_line_numbers(spark, sf_dir), LINE_COLUMNS, 0.95)
     return spark.createDataFrame(
         [(c, c in dropped) for c in LINE_COLUMNS], "feature string, dropped boolean")
 
@@ -86,6 +105,63 @@ def q_lasso(spark, sf_dir):
     return _coefficients(spark, sf_dir, "lasso")
 
 
+# --- whole training runs ------------------------------------------------------------------------
+# train() with its own settings: 30 resamples, five spread points, up to 80 more until ten rounds
+# bring no gain.
+
+CHECKED = ("five_spread_points", "penalties_in_range", "ends_after_ten_rounds_without_gain",
+           "four_metrics_per_point", "best_point_chosen")
+
+
+def _trained(spark, sf_dir, model: str):
+    rows = cut_lineage(customer_features(spark, sf_dir))
+    return train(rows, kind="regression", model=model, parallelism=4)
+
+
+@query("q_tune_trace", " UNION ALL ".join(f"SELECT '{c}' AS what, true AS holds" for c in CHECKED))
+def q_tune_trace(spark, sf_dir):
+    """The search of a lasso's penalty on all customers, end to end."""
+    report = _trained(spark, sf_dir, "lasso")
+    trace = report.trace.collect()  # four lines per point
+    points = {r["iteration"]: r["penalty"] for r in trace}
+    scores = {r["iteration"]: r["mean"] for r in trace if r["metric"] == "rmse"}
+    n, best = len(points), min(scores, key=lambda i: (scores[i], i))
+    spread = sorted(math.log10(points[i]) for i in range(5))
+    holds = (
+        all(abs(a - b) < 1e-9 for a, b in zip(spread, (-9, -7, -5, -3, -1))),
+        all(1e-10 <= p <= 1 for p in points.values()),
+        n == 85 or n == max(best, 4) + 11,
+        len(trace) == 4 * n and {r["metric"] for r in trace} == {"mae", "rmse", "rsq", "ccc"},
+        report.best == {"penalty": points[best]})
+    return spark.createDataFrame(list(zip(CHECKED, holds)), "what string, holds boolean")
+
+
+@query("q_results", """
+WITH f AS (
+  SELECT c_custkey, sum(o_totalprice) AS y FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey),
+cuts AS (SELECT quantile_cont(y, 0.25) AS a, quantile_cont(y, 0.5) AS b, quantile_cont(y, 0.75) AS c FROM f),
+rows AS (SELECT c_custkey::VARCHAR AS key, y AS truth, (y > a)::INT + (y > b)::INT + (y > c)::INT AS stratum FROM f, cuts),
+seeds AS (SELECT unnest(range(43, 63))::INT AS seed),
+ranked AS (
+  SELECT seed, truth, row_number() OVER (PARTITION BY seed, stratum ORDER BY md5(seed || ':' || key), key) AS rn,
+         count(*) OVER (PARTITION BY seed, stratum) AS n FROM rows, seeds),
+test AS (SELECT seed, truth FROM ranked WHERE rn > floor(0.7::DOUBLE * n)),
+means AS (SELECT seed, avg(truth) AS estimate FROM test GROUP BY seed),
+runs AS (SELECT seed, avg(abs(truth - estimate)) AS mae, sqrt(avg((truth - estimate) * (truth - estimate))) AS rmse
+         FROM test JOIN means USING (seed) GROUP BY seed),
+nulls AS (SELECT 'mae' AS metric, avg(mae) AS v FROM runs UNION ALL SELECT 'rmse', avg(rmse) FROM runs
+          UNION ALL SELECT 'ccc', 0.0 UNION ALL SELECT 'rsq', NULL)
+SELECT metric, 'standard' AS estimator, 'enet' AS model, 42 AS seed, round(v, 2) AS null_model_avg,
+  true AS trained_is_better FROM nulls""")
+def q_results(spark, sf_dir):
+    """An elastic net tuned, refitted and scored on held-out customers, beside the null model."""
+    better = F.when(F.col("metric").isin("mae", "rmse"), F.col("estimate") < F.col("null_model_avg")).otherwise(
+        F.col("estimate") > F.coalesce("null_model_avg", F.lit(0.0)))
+    return _trained(spark, sf_dir, "enet").results.select(
+        "metric", "estimator", "model", "seed", F.round("null_model_avg", 2).alias("null_model_avg"),
+        better.alias("trained_is_better"))
+
+
 ROLES = ["subject_id", "label", "target"]
 
 
@@ -117,6 +193,26 @@ def q_oof_predictions(spark, sf_dir):
                        F.col("estimate").isin("0", "1").alias("known_class"))
 
 
+@query("q_forest_metrics", f"""WITH {null_class_sql("FROM documents JOIN labels USING (doc_id)")},
+nulls AS (SELECT 'accuracy' AS metric, avg(accuracy) AS v FROM runs UNION ALL SELECT 'bal_accuracy', avg(bal_accuracy) FROM runs
+  UNION ALL SELECT 'f_meas', avg(f_meas) FROM runs UNION ALL SELECT 'kap', NULL UNION ALL SELECT 'roc_auc', NULL)
+SELECT metric, 'binary' AS estimator, 'rf' AS model, round(v, 6) AS null_model_avg, true AS is_share FROM nulls""")
+def q_forest_metrics(spark, sf_dir):
+    """A forest of 500 trees refitted on the training documents, its test metrics beside the null
+    model's."""
+    rows, problem = _labelled_documents(spark, sf_dir)
+    split = cut_lineage(dealt(stratified_split(rows, "subject_id", "label"), "subject_id", PARTITIONS))
+    learner = Learner("rf", "classification")
+    recipe, fitted = fit_final(
+        split.filter("is_train").drop("is_train"), ROLES, 0.95, learner, {"mtry": 2, "min_n": 5})
+    held = predictions(fitted, recipe.transform(split.filter("not is_train")), problem, ["subject_id"])
+    measured = to_metric_rows(score(cut_lineage(held), "classification", list(problem.levels)))
+    nulls = metric_average(null_baseline(split.drop("is_train"), "subject_id", "label", levels=list(problem.levels)))
+    return result_table(measured, nulls, problem, learner).select(
+        "metric", "estimator", "model", F.round("null_model_avg", 6).alias("null_model_avg"),
+        F.col("estimate").between(-1, 1).alias("is_share"))
+
+
 @query("q_vip")
 def q_vip(spark, sf_dir):
     """Signed coefficients, refitted on all, training and test customers."""
@@ -145,6 +241,22 @@ def q_shap(spark, sf_dir):
     return _shapley(spark, sf_dir)
 
 
+@query("q_shap_additivity", """
+WITH rows AS (SELECT doc_id, quality FROM documents JOIN labels USING (doc_id)),
+ranked AS (
+  SELECT quality, row_number() OVER (PARTITION BY quality ORDER BY md5('42:' || doc_id), doc_id) AS rn,
+         count(*) OVER (PARTITION BY quality) AS n FROM rows),
+split AS (SELECT rn <= floor(0.7::DOUBLE * n) AS is_train FROM ranked)
+SELECT 'full' AS slice, count(*) AS rows, true AS adds_up FROM split
+UNION ALL SELECT 'train', count(*), true FROM split WHERE is_train
+UNION ALL SELECT 'test', count(*), true FROM split WHERE NOT is_train""")
+def q_shap_additivity(spark, sf_dir):
+    """Values of a row add up to its prediction above the slice's mean, so all of a slice to 0."""
+    values = _shapley(spark, sf_dir)
+    return values.groupBy("slice").agg(
+        F.count_distinct("row_id").alias("rows"), (F.abs(F.sum("phi")) < 1e-6).alias("adds_up"))
+
+
 @query("q_shap_importance")
 def q_shap_importance(spark, sf_dir):
     return shap_importance(_shapley(spark, sf_dir))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from mergewell.lineage import shared_folder
 from mergewell.operators.baseline import constant_prediction
 from mergewell.operators.keys import subject_index
 from mergewell.operators.learners import correlation_group_count, label_levels
@@ -12,7 +15,8 @@ from mergewell.plans.profile import as_raw, profile
 from mergewell.queries.combining import (
     COMPLETE, DENSE, GROUPS_SQL, MERGED_SQL, _line_numbers, subject_tables)
 from mergewell.queries.registry import query, table
-from mergewell.sources.delimited import RawDataset
+from mergewell.sources.delimited import MALFORMED, RawDataset, load_ml_table, read_delimited
+from mergewell.sources.sinks import write_combined
 
 
 def _raw_tables(spark, sf_dir) -> list[RawDataset]:
@@ -122,6 +126,52 @@ def q_ml_table(spark, sf_dir):
         "subject_id", "nation", "n_orders", "spent", "segment", F.col(urgent).alias("urgent"))
 
 
+@query("q_written_ml_table", ML_SQL)
+def q_written_ml_table(spark, sf_dir):
+    """The report written together, and its complete table read back from there."""
+    names = ("customer", "orders", "events")
+    report = combine(
+        spark, dict(zip(names, subject_tables(spark, sf_dir))), label="segment")
+    folder = f"{shared_folder(spark)}/report-{uuid.uuid4().hex}"
+    write_combined(report, folder)
+    back = load_ml_table(f"{folder}/ml_table", spark)
+    urgent = next(c for c in back.columns if c.endswith("1_urgent"))
+    return back.select("subject_id", "nation", "n_orders", "spent", "segment", F.col(urgent).alias("urgent"))
+
+
+@query("q_read_delimited", """
+SELECT c_custkey::VARCHAR AS c0, c_name AS c1, CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS c2,
+  count(*) OVER () AS rows FROM customer""")
+def q_read_delimited(spark, sf_dir):
+    """Compressed files with repeated header names and spelled-out missing values, read back."""
+    customer = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+        F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).otherwise("N/A").alias("segment"))
+    path = f"{shared_folder(spark)}/read-{uuid.uuid4().hex}.csv"
+    customer.write.csv(path, header=True, compression="gzip")
+    raw = read_delimited(spark, path)
+    unlike = raw.checked.agg(F.count("c0").alias("rows"), F.count_if(MALFORMED).alias("bad")).filter("bad = 0")
+    return raw.frame.crossJoin(F.broadcast(unlike.select("rows")))  # one line
+
+
+@query("q_wide_levels", """
+WITH rows AS (
+  SELECT p_partkey, p_name || ' ' || p_size || ' ' || p_brand AS item FROM part),
+one AS (SELECT item AS level, count(*) AS n FROM rows GROUP BY item)
+SELECT 'item' AS feature, level, n FROM one WHERE n < (SELECT count(*) FROM rows)""")
+def q_wide_levels(spark, sf_dir):
+    """combine() on a text with more levels than may become columns: how many rows have each level
+    that stays.  A second text says the same in other words; its levels go as correlated ones."""
+    part = table(spark, sf_dir, "part")
+    item = F.concat_ws(" ", "p_name", "p_size", "p_brand")
+    first = part.select(F.col("p_partkey").alias("subject_id"), item.alias("item"), "p_retailprice")
+    second = part.select(F.col("p_partkey").alias("subject_id"), F.md5(item).alias("same"), F.col("p_type").alias("label"))
+    report = combine(spark, {"first": first, "second": second}, near_empty_rows=None)
+    places = report.ml_table.select(F.explode(F.unwrap_udt("levels")["indices"]).alias("place"))
+    return places.groupBy(F.col("place").cast("long").alias("index")).agg(F.count(F.lit(1)).alias("n")).join(report.levels, "index").select(
+        "feature", "level", "n")
+
+
 @query("q_advisories", f"""
 WITH merged AS ({MERGED_SQL}), size AS (SELECT count(*)::DOUBLE AS value FROM merged)
 SELECT 'few_samples' AS code, value FROM size WHERE value BETWEEN 200 AND 399

@@ -12,7 +12,7 @@ from mergewell.operators.learners import (
 from mergewell.operators.recipe import build_recipe, predictor_names
 from mergewell.operators.resampling import assign_folds, stratified_split
 from mergewell.operators.scoring import score
-from mergewell.plans.train import train
+from mergewell.plans.train import is_worse, train
 
 SMALL = dict(folds=3, repeats=2, tune_length=1, initial=2, trees_tune=5, trees_final=8, depth=4,
              max_iter=15, parallelism=4, null_runs=4)
@@ -172,3 +172,28 @@ def test_signed_importance(rows, spark):
         model, predictor_names(recipe), spark).collect()}
     assert got["a"][0] == "POS" and abs(got["a"][1] - 3) < 0.1
     assert got["b"][0] == "NEG" and abs(got["b"][1] - 1) < 0.1
+
+
+def test_search_with_its_own_settings(rows):
+    """Five spread points, then on until ten rounds bring no gain; 30 resamples each."""
+    report = train(rows.select("subject_id", "a", "b", F.col("amount").alias("label")), kind="regression", model="lasso",
+                   parallelism=4)
+    scores = {r["iteration"]: r["mean"] for r in report.trace.filter("metric = 'rmse'").collect()}
+    best = min(scores, key=lambda i: (scores[i], i))
+    assert len(scores) == max(best, 4) + 11 or len(scores) == 85
+    top = report.best_points.collect()
+    assert len(top) == 5 and top[0]["iteration"] == best and report.best == {"penalty": top[0]["penalty"]}
+    assert [r["mean"] for r in top] == sorted(scores.values())[:5]
+
+
+def test_a_race_drops_candidates_that_are_clearly_worse(rows):
+    few = {**SMALL, "folds": 5, "initial": 4, "tune_length": 2}
+    data = rows.select("subject_id", "a", "b", F.col("amount").alias("label"))
+    plain = train(data, kind="regression", model="lasso", **few)
+    raced = train(data, kind="regression", model="lasso", race=2.0, **few)
+    assert raced.best == plain.best
+    fitted = lambda r: {x["iteration"]: x["mean"] for x in r.trace.filter("metric = 'rmse'").collect()}
+    kept = [i for i, v in fitted(plain).items() if abs(fitted(raced)[i] - v) < 1e-12]
+    assert 0 < len(kept) < len(fitted(plain))
+    assert is_worse([1.0, 1.1, 0.9, 1.0], 2.0) and not is_worse([1.0, -1.0, 0.5, -0.4], 2.0)
+    assert not is_worse([9.0, 9.0], 2.0) and not is_worse([-1.0] * 9, 2.0)

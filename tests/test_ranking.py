@@ -7,8 +7,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from mergewell.operators import correlation, ranking
+from mergewell.operators import correlation, ranking, redundancy, selection
 from mergewell.operators.keys import get_dupes, number_repeats, subject_index
+from mergewell.operators.resampling import stratified_split
 
 
 @pytest.fixture(scope="module")
@@ -20,10 +21,10 @@ def skewed(spark):
     return pd.DataFrame(rows, columns=["k", "i"]), spark.createDataFrame(rows, "k string, i int")
 
 
-@pytest.mark.parametrize("share", [4, 100, 4096])
+@pytest.mark.parametrize("rows_per_cut", [7, 400, 100_000])
 @pytest.mark.parametrize("partitions", [1, 17])
-def test_rank_in_group(skewed, monkeypatch, share, partitions):
-    monkeypatch.setattr(ranking, "SHARE", share)
+def test_rank_in_group(skewed, monkeypatch, rows_per_cut, partitions):
+    monkeypatch.setattr(ranking, "ROWS_PER_CUT", rows_per_cut)
     pdf, df = skewed
     hashed = df.repartition(partitions).withColumn("h", F.md5(F.col("i").cast("string")))
     got = ranking.rank_in_group(hashed, ["k"], "h").toPandas().set_index("i")["rn"].sort_index()
@@ -32,12 +33,14 @@ def test_rank_in_group(skewed, monkeypatch, share, partitions):
     assert got.tolist() == want.set_axis(keys["i"]).sort_index().tolist()
 
 
-def test_rank_with_buckets_and_size(skewed):
+@pytest.mark.parametrize("rows_per_cut", [7, 100_000])
+def test_rank_with_weights(skewed, monkeypatch, rows_per_cut):
+    monkeypatch.setattr(ranking, "ROWS_PER_CUT", rows_per_cut)
     pdf, df = skewed
-    hashed = df.withColumn("h", F.md5(F.col("i").cast("string")))
-    got = ranking.rank_in_group(hashed, ["k"], "h", buckets=16, size="n").toPandas()
-    assert all(sorted(g["rn"]) == list(range(1, len(g) + 1)) and set(g["n"]) == {len(g)}
-               for _, g in got.groupby("k", dropna=False))
+    hashed = df.withColumns({"h": F.md5(F.col("i").cast("string")), "w": F.col("i") % 5})
+    got = ranking.rank_in_group(hashed, ["k"], "h", weight="w").toPandas().sort_values("h")
+    for _, g in got.groupby("k", dropna=False):
+        assert g["rn"].tolist() == (1 + g["w"].cumsum() - g["w"]).tolist()
 
 
 def test_get_dupes(skewed):
@@ -55,6 +58,20 @@ def test_number_repeats_counts_every_row(skewed):
                for _, g in got.groupby("k", dropna=False))
 
 
+@pytest.mark.parametrize("rows_per_cut", [50, 100_000])
+def test_number_repeats_of_one_row(spark, monkeypatch, rows_per_cut):
+    """Most rows are one and the same; every task numbers some of them."""
+    monkeypatch.setattr(ranking, "ROWS_PER_CUT", rows_per_cut)
+    rows = [("a", "same")] * 700 + [("a", f"v{i}") for i in range(90)] + [("b", "same")] * 60 + [(None, None)] * 120
+    df = spark.createDataFrame(rows, "k string, v string").repartition(9)
+    got = number_repeats(df, "k").toPandas()
+    assert len(got) == len(rows)
+    for _, g in got.groupby("k", dropna=False):
+        assert sorted(g["occurrence"]) == list(range(1, len(g) + 1))
+        for _, same in g.groupby("v", dropna=False):  # equal rows have neighbouring numbers
+            assert same["occurrence"].max() - same["occurrence"].min() == len(same) - 1
+
+
 def test_subject_index(skewed):
     pdf, df = skewed
     got = {r["k"]: r["subject_index"] for r in subject_index(df.repartition(13), "k").collect()}
@@ -70,12 +87,38 @@ def test_sums_below(spark):
     assert got == {(g, v): sum(w for h, x, w in points if h == g and x < v) for g, v, _ in points}
 
 
-def test_exact_quantiles(spark):
-    values = [random.Random(3).gauss(0, 1) for _ in range(501)] + [0.0] * 200
+@pytest.mark.parametrize("margins", [selection.MARGINS, (0.0, 1.0), (0.01, 1.0)])
+def test_exact_quantiles(spark, monkeypatch, margins):
+    monkeypatch.setattr(selection, "MARGINS", margins)
+    random.seed(3)
+    values = [random.gauss(0, 1) for _ in range(3000)] + [0.0] * 900 + [None] * 5
     df = spark.createDataFrame([(v,) for v in values], "v double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.77, 1.0]
-    assert np.allclose(ranking.exact_quantiles(df, "v", probs), np.quantile(values, probs))
-    assert ranking.exact_quantiles(df.limit(0), "v", probs) == []
+    assert np.allclose(selection.exact_quantiles(df, "v", probs), np.quantile([v for v in values if v is not None], probs))
+    assert selection.exact_quantiles(df.limit(0), "v", probs) == []
+    assert selection.exact_quantiles(df.filter("v IS NOT NULL").limit(1), "v", [0.3])[0] == values[0]
+
+
+@pytest.mark.parametrize("margins", [selection.MARGINS, (0.0, 1.0), (0.02, 1.0)])
+@pytest.mark.parametrize("prop", [0.0, 0.3, 0.7, 1.0])
+def test_cut_rows(spark, monkeypatch, margins, prop):
+    monkeypatch.setattr(selection, "MARGINS", margins)
+    rows = [(i, "hot" if i % 3 else None if i % 2 else f"g{i % 4}") for i in range(900)] + [(-1, "alone")]
+    df = spark.createDataFrame(rows, "i long, g string").repartition(6).withColumns({
+        o: F.md5(F.concat(F.lit(o), F.col("i").cast("string"))) for o in ("o1", "o2")})
+    cuts = selection.cut_rows(df, "g", "i", ["o1", "o2"], prop)
+    got = selection.is_within(cuts, df, "g", "i", ["o1", "o2"]).toPandas()
+    assert len(got) == len(rows)
+    for _, group in got.groupby("g", dropna=False):
+        for i, o in enumerate(("o1", "o2")):
+            first = set(group.sort_values(o)["i"].head(int(prop * len(group))))
+            assert {k for k, w in zip(group["i"], group["within"]) if w[i]} == first
+
+
+def test_splits_move_no_rows(spark):
+    df = spark.range(500).selectExpr("id", "CAST(id % 3 AS STRING) AS label", "repeat('x', 50) AS payload")
+    plan = stratified_split(df, "id", "label")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "Window" not in plan
 
 
 @pytest.fixture(scope="module")
@@ -90,9 +133,10 @@ def numbers(spark):
     return pdf, spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "zeros double, x double, steps double, y double, same double")
 
 
-@pytest.mark.parametrize("rows_per_bucket", [20, 100_000])
-def test_rank_columns(numbers, monkeypatch, rows_per_bucket):
+@pytest.mark.parametrize("rows_per_bucket, few_values", [(20, 0), (100_000, 0), (20, 10), (20, 50_000)])
+def test_rank_columns(numbers, monkeypatch, rows_per_bucket, few_values):
     monkeypatch.setattr(correlation, "ROWS_PER_BUCKET", rows_per_bucket)
+    monkeypatch.setattr(correlation, "FEW_VALUES", few_values)
     pdf, df = numbers
     columns = list(pdf.columns)
     got = correlation.rank_columns(df, columns).toPandas()
@@ -114,6 +158,23 @@ def test_pearson_and_spearman(numbers, monkeypatch, block):
         assert all(abs(v - want.loc[a, b]) < 1e-9 for (a, b), v in got.items())
 
 
+def test_columns_to_drop_from_sparse_pairs(spark, monkeypatch):
+    """Without the whole matrix the same columns go."""
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(500, 6))
+    data = np.column_stack([base, base[:, :3] + rng.normal(size=(500, 3)) / 10, -base[:, 0] + rng.normal(size=500) / 8, np.ones(500)])
+    names = [f"c{i}" for i in range(data.shape[1])]
+    df = spark.createDataFrame(pd.DataFrame(data, columns=names))
+    whole = redundancy.correlated_columns(df, names, 0.9)
+    monkeypatch.setattr(redundancy, "DENSE_COLUMNS", 2)
+    assert whole == redundancy.correlated_columns(df, names, 0.9)
+    monkeypatch.setattr(redundancy, "UNION_PAIRS", 10)
+    monkeypatch.setattr(correlation, "BLOCK", 4)
+    monkeypatch.setattr(correlation, "STRIP", 3)
+    assert whole == redundancy.correlated_columns(df, names, 0.9) and len(whole) == 4
+    assert redundancy.correlated_columns(df, names, 0.999) == []
+
+
 def test_empty_and_single_column(numbers):
     _, df = numbers
     assert correlation.pearson_pairs(df, ["x"]).count() == 0

@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from mergewell.operators.completeness import na_cutoff
 from mergewell.operators.redundancy import (
@@ -13,6 +13,7 @@ from mergewell.plans.combine import combine
 from mergewell.plans.profile import profile
 from mergewell.sources.delimited import (
     list_datasets, load_ml_table, load_problems, read_all, read_clean, read_delimited, read_header)
+from mergewell.sources import sinks
 from mergewell.sources.sinks import append_results, write_combined, write_profile
 
 
@@ -95,7 +96,7 @@ def test_shared_names_are_renamed(report):
 def test_write_and_read_back(spark, report, tmp_path):
     out = str(tmp_path / "out")
     write_profile(report, out)
-    with pytest.raises(AnalysisException):
+    with pytest.raises(FileExistsError):
         write_profile(report, out)
     back = read_clean(spark, out)
     assert set(back) == set(report.clean)
@@ -144,7 +145,9 @@ def test_combine(spark, studies):
     assert ("level", "dropped_to_retain_samples") in categories
     assert ("rare", "all_features") not in categories
     assert ("x", "final_feature_list") in categories
-    assert [r["code"] for r in report.advisories.collect()] == ["few_samples"]
+    advice = [(r["code"], r["message"]) for r in report.advisories.collect()]
+    assert [code for code, _ in advice] == ["few_samples", "class_count", "class_count"]
+    assert {message for code, message in advice if code == "class_count"} == {"a", "b"}
 
 
 def test_combine_does_not_depend_on_partitions(spark, studies):
@@ -232,3 +235,83 @@ def test_greedy_filter_against_brute_force():
     names = [f"c{i}" for i in range(8)]
     dropped = greedy_correlation_filter(np.corrcoef(data.T), names, 0.9)
     assert [n for n in names if n not in dropped] == [names[i] for i in left]
+
+
+def test_a_killed_writer_leaves_the_old_tables(spark, studies, tmp_path):
+    out = str(tmp_path / "report")
+    first = spark.createDataFrame([(1,)], "v int")
+    second = spark.createDataFrame([(2,), (3,)], "v int")
+    sinks.write_together({"a": (first, "parquet"), "sub/b": (first, "csv")}, out)
+    assert spark.read.parquet(f"{out}/a").collect() == first.collect()
+    failing = second.select(F.raise_error(F.lit("no more")).cast("int").alias("v"))
+    with pytest.raises(Exception, match="no more"):  # after one table is staged
+        sinks.write_together({"a": (second, "parquet"), "sub/b": (failing, "csv")}, out, "overwrite")
+    assert spark.read.parquet(f"{out}/a").count() == 1 and spark.read.csv(f"{out}/sub/b", header=True).count() == 1
+    with pytest.raises(FileExistsError):
+        sinks.write_together({"a": (second, "parquet")}, out)
+    sinks.write_together({"a": (second, "parquet"), "c": (second, "parquet")}, out, "ignore")
+    assert spark.read.parquet(f"{out}/a").count() == 1 and spark.read.parquet(f"{out}/c").count() == 2
+
+
+def test_a_writer_killed_after_its_commit_is_finished(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "report")
+    first, second = spark.createDataFrame([(1,)], "v int"), spark.createDataFrame([(2,), (3,)], "v int")
+    sinks.write_together({"a": (first, "parquet"), "b": (first, "parquet")}, out)
+    move = sinks._Folder.move
+
+    def once(self, source, target):
+        if target == "b":
+            raise KeyboardInterrupt
+        move(self, source, target)
+
+    monkeypatch.setattr(sinks._Folder, "move", once)
+    with pytest.raises(KeyboardInterrupt):
+        sinks.write_together({"a": (second, "parquet"), "b": (second, "parquet")}, out, "overwrite")
+    monkeypatch.setattr(sinks._Folder, "move", move)
+    assert sinks.finish_commit(spark, out) and not sinks.finish_commit(spark, out)
+    assert spark.read.parquet(f"{out}/a").count() == 2 and spark.read.parquet(f"{out}/b").count() == 2
+
+
+def test_groups_by_union_equal_those_of_distributed_rounds(spark, monkeypatch):
+    import random
+
+    from mergewell.operators import redundancy
+
+    random.seed(3)
+    columns = [f"c{i}" for i in range(60)]
+    pairs = spark.createDataFrame(
+        [(*random.sample(columns, 2), random.choice([0.2, -0.99, 0.995])) for _ in range(45)], "a string, b string, corr double")
+    rows = lambda df: sorted((r["group_id"], r["keep"], tuple(r["members"])) for r in df.collect())
+    united = rows(redundancy.group_correlated(pairs, columns, 0.9))
+    monkeypatch.setattr(redundancy, "UNION_PAIRS", 3)
+    assert united == rows(redundancy.group_correlated(pairs, columns, 0.9)) or len(united) == 60
+    assert sum(len(m) + 1 for _, _, m in united) == 60
+
+
+def test_bucketed_datasets_merge_without_a_shuffle(spark, tmp_path):
+    from mergewell.operators.merge import merge_all, merge_bucketed
+
+    a = spark.createDataFrame([(i, i * 2, "x") for i in range(0, 60, 2)], "k int, v int, w string")
+    b = spark.createDataFrame([(i, str(i)) for i in range(0, 60, 3)] + [(None, "no key")], "k int, w string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, df in (("merge_a", a), ("merge_b", b)):
+            sinks.write_bucketed(df, name, "k", 4, str(tmp_path / name))
+        merged = merge_bucketed(spark.table("merge_a"), spark.table("merge_b"), "k")
+        rows = sorted(map(tuple, merged.collect()))
+        assert "Exchange" not in merged._jdf.queryExecution().executedPlan().toString()
+        assert rows == sorted(map(tuple, merge_all([a, b], "k").collect())) and merged.columns == ["k", "v", "w", "w_2"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("merge_a", "merge_b"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_merge_packs_one_dataset_per_row(spark):
+    from mergewell.operators.merge import merge_all
+
+    frames = [spark.createDataFrame([("a", 1), ("b", None)], "k string, x int"), spark.createDataFrame([("b",), ("c",)], "k string"),
+              spark.createDataFrame([("c", 2, "t"), (None, 3, "u")], "k string, x int, y string")]
+    merged = merge_all(frames, "k")
+    assert sorted(map(tuple, merged.collect())) == [("a", 1, None, None), ("b", None, None, None), ("c", None, 2, "t")]
+    assert "SortAggregate" not in merged._jdf.queryExecution().executedPlan().toString()
