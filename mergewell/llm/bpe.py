@@ -7,15 +7,17 @@ import json
 import re
 import struct
 import unicodedata
+from typing import NamedTuple
 
 import ahocorasick
 import numpy as np
-import regex
 from pyspark.sql import DataFrame, types as T
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from mergewell.llm.rows import with_computed
 
-WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed by the vocabulary file
+#: Fixed by the vocabulary file; letters and numbers are those of the library, see classes().
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|(?:[^\s{letters}{numbers}]|[\x1c-\x1f])+"
 REMEMBERED = 250_000  # chunks and token pairs a task remembers before it drops the older ones
 
 
@@ -27,6 +29,37 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
+class Classes(NamedTuple):
+    """What the tokenizers library takes for letters and numbers, as ranges of a pattern, and the
+    lower case it gives to letters where Python's differs: both have tables of their own."""
+
+    letters: str
+    numbers: str
+    lower: dict[str, str]
+
+
+def classes() -> Classes:
+    """The library's classes, asked for every code point once."""
+    points = list(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    everything = "".join(points)
+
+    def ranges(kind: str) -> str:
+        found = pre_tokenizers.Split(Regex(rf"\p{{{kind}}}+"), "isolated").pre_tokenize_str(everything)
+        runs = [piece for piece, _ in found]  # others and members alternate; U+0000 is none
+        out = []
+        for piece in runs[1::2]:
+            start = 0
+            for i in range(1, len(piece) + 1):  # a run may step over the surrogates
+                if i == len(piece) or ord(piece[i]) != ord(piece[i - 1]) + 1:
+                    out.append(f"\\U{ord(piece[start]):08x}-\\U{ord(piece[i - 1]):08x}")
+                    start = i
+        return "".join(out)
+
+    lines = [c for c in points if c != "\n"]
+    low = normalizers.Lowercase().normalize_str("\n".join(lines)).split("\n")
+    return Classes(ranges("L"), ranges("N"), {c: x for c, x in zip(lines, low) if x != c.lower()})
+
+
 class WordBpe:
     """Encoder for a vocabulary whose words end in a suffix and whose ids follow merge order.
 
@@ -37,7 +70,8 @@ class WordBpe:
     no place twice.
     """
 
-    def __init__(self, definition: bytes | str):
+    def __init__(self, definition: bytes | str, classed: Classes | None = None):
+        classed = classed or classes()
         spec = json.loads(definition)
         model = spec["model"]
         suffix = model["end_of_word_suffix"]
@@ -69,7 +103,10 @@ class WordBpe:
             self.halves[whole] = (vocabulary[left], vocabulary[right])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.words = regex.compile(WORD_PATTERN)
+        self.words = re.compile(WORD_PATTERN.format(letters=classed.letters, numbers=classed.numbers))
+        self.only_letters = re.compile(f"[{classed.letters}]+")
+        self.lower = classed.lower
+        self.odd = re.compile("[" + "".join(map(re.escape, classed.lower)) + "]") if classed.lower else None
         self.pairs: dict[tuple[int, int], bool] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -164,7 +201,7 @@ class WordBpe:
         if packed is not None:
             known[chunk] = packed
             return packed
-        if chunk.isalpha():
+        if self.only_letters.fullmatch(chunk):
             ids = self.word(chunk.encode())
             known[chunk] = packed = struct.pack(f"<{len(ids)}I", *ids)
             return packed
@@ -188,7 +225,7 @@ class WordBpe:
             if piece in self.special:
                 parts.append(np.array([self.special[piece]], "<u4").tobytes())
                 continue
-            piece = lowered(unicodedata.normalize("NFC", piece))
+            piece = self.lowered(unicodedata.normalize("NFC", piece))
             # str.split() also separates at U+001C to U+001F, which are no white space here.
             chunks = piece.split() if not CONTROLS.search(piece) else self.words.findall(piece)
             found = list(map(self.known.get, chunks))
@@ -197,6 +234,12 @@ class WordBpe:
             parts += found
         return np.frombuffer(b"".join(parts), "<u4")
 
+    def lowered(self, text: str) -> str:
+        """Lower case letter by letter: a final sigma is an ordinary sigma."""
+        if self.odd and self.odd.search(text):
+            return "".join([self.lower.get(c) or ("σ" if c == "Σ" else c.lower()) for c in text])
+        return (text.replace("Σ", "σ") if "Σ" in text else text).lower()
+
     def decode(self, ids: np.ndarray) -> bytes:
         """UTF-8 of the tokens' texts with one blank between them."""
         if not len(ids):
@@ -211,19 +254,14 @@ class WordBpe:
 CONTROLS = re.compile("[\x1c-\x1f]")
 
 
-def lowered(text: str) -> str:
-    """Lower case letter by letter: a final sigma is an ordinary sigma."""
-    return (text.replace("Σ", "σ") if "Σ" in text else text).lower()
-
-
 _READY: dict[bytes, WordBpe] = {}  # one encoder per worker process
 
 
-def encoder(definition: bytes) -> WordBpe:
+def encoder(definition: bytes, classed: Classes) -> WordBpe:
     key = hashlib.sha256(definition).digest()
     if key not in _READY:
         _READY.clear()
-        _READY[key] = WordBpe(definition)
+        _READY[key] = WordBpe(definition, classed)
     return _READY[key]
 
 
@@ -233,10 +271,10 @@ def encode_decode(df: DataFrame, vocabulary: str, text: str = "text", with_ids:
     vocabulary: the tokenizer's file, read once on the driver and broadcast (a few MB whatever
     the data).  A missing or empty text has no tokens and decodes to an empty text.  Rows are
     independent: repeated rows get equal values, an empty table stays empty, and a column
-    that is named like a result is replaced.
+    that is named like a result is replaced.  Very long texts are encoded whole, one at a time.
     """
     with open(vocabulary, "rb") as file:
-        definition = df.sparkSession.sparkContext.broadcast(file.read())
+        definition = df.sparkSession.sparkContext.broadcast((file.read(), classes()))
     fields = [
         T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
         T.StructField("decoded_sha256", T.StringType())]
@@ -244,7 +282,7 @@ def encode_decode(df: DataFrame, vocabulary: str, text: str = "text", with_ids:
         fields.append(T.StructField("ids", T.ArrayType(T.LongType())))
 
     def make():
-        bpe = encoder(definition.value)
+        bpe = encoder(*definition.value)
 
         def compute(value):
             ids = bpe.encode(value)

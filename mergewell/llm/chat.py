@@ -192,18 +192,24 @@ def read_back(segments: DataFrame, template: Template | None = None) -> DataFram
     """One line per conversation from the output of format_conversations: conv_id, n_turns,
     turns_sha256, loss_chars, loss_sha256, formatted_chars, valid.
 
-    Only the formatted text and the loss flags are used: turns are parsed from the text."""
+    Only the formatted text and the loss flags are used: turns are parsed from the text.
+    Segments have to come in the order in which they were made; any other is refused, as it
+    would give wrong digests."""
     template = template or Template()
 
     def work(batches):
         formatter = Formatter(template)
         closing = formatter.closing()
-        now, out = None, []
+        now, last, out = None, None, []
         for conv_id, place, piece, text, loss, in_order in _values(batches):
             if place == 0 and piece == 0:
                 if now is not None:
                     out.append(now.row(template))
                 now = _Reading(conv_id)
+            elif now is None or conv_id != now.conv_id or (place, piece) not in (
+                    (last[0], last[1] + 1), (last[0] + 1, 0)):
+                raise ValueError("segments are not in the order in which they were made")
+            last = (place, piece)
             now.add(formatter, closing, text, loss, in_order)
             if len(out) >= SLICE:
                 yield _batch(out, _DIGESTS)

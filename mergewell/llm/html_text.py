@@ -14,6 +14,8 @@ from mergewell.llm.rows import with_computed
 FIT_PAGES = 160  # pages, chosen by hash, whose blocks the labeller is trained on
 FIT_CHARS = 65_536  # longer pages are not used for training
 LAYOUTS = 4  # times that the blocks of a page are set in another layout for training
+LAYOUT_BLOCKS = 30  # blocks of a page, of the article and of the rest, that a layout is made of
+BARE = 0.25  # of the layouts: pages of a few blocks
 PATH, WORDS, SHAPE, HIDDEN = 256, 64, 8, 16
 EPOCHS, BATCH, RATE = 14, 32, 0.01
 KEPT_PATHS = 20_000
@@ -183,6 +185,8 @@ def padded(pages):
 MAIN = ['article', 'main', 'article class="post"', 'div class="content"', 'div class="post-body"',
         'div id="article"', 'div class="entry-content"', 'section class="story"', 'div id="main-content"',
         'div class="article-text"', 'main id="content"', 'div class="body text"']
+#: Containers whose names say nothing: the article has to be known by its blocks and place.
+UNNAMED = ['div', 'div class="x1"', 'div class="col"', 'section', 'div id="c7"', 'td', 'div class="row"']
 MENU = ['nav', 'nav class="menu"', 'div class="menu"', 'div id="navigation"', 'ul class="nav"', 'div class="breadcrumb"',
         'header', 'header class="site-header"', 'div class="header"', 'div class="topbar"', 'div class="tags"']
 SIDE = ['aside', 'aside class="sidebar"', 'div class="sidebar"', 'div class="widget"', 'div class="related"',
@@ -206,7 +210,17 @@ def _wrapped(opening: str, body: str, label: str) -> str:
 
 
 def layout(random, main: list[str], other: list[str]) -> str:
-    """A page that sets the texts of `main` as its article and those of `other` around it."""
+    """A page that sets the texts of `main` as its article and those of `other` around it.
+
+    Some pages are bare: a few blocks, short ones too, without heading or anything around them;
+    some articles are in a container without a telling name.
+    """
+    bare = random.random() < BARE
+    if bare and main:
+        start = random.integers(len(main))
+        main = main[start:start + 1 + random.integers(3)]
+        if random.random() < 0.3:
+            main = [" ".join(m.split()[:1 + random.integers(8)]) for m in main]
     pick = lambda options: options[random.integers(len(options))]
     some = lambda: html.escape(pick(other)) if other else ""
     text = lambda: html.escape(pick(main)) if main and random.random() < 0.5 else some()
@@ -216,7 +230,7 @@ def layout(random, main: list[str], other: list[str]) -> str:
         for k, words in enumerate(main):
             words = html.escape(words)
             kind = random.random()
-            if k == 0:
+            if k == 0 and not (bare and random.random() < 0.8):
                 parts.append(f"<h1>{words}</h1>")
             elif kind < 0.75:
                 parts.append(f"<p>{words}</p>")
@@ -232,7 +246,8 @@ def layout(random, main: list[str], other: list[str]) -> str:
                 parts.append(f"<table><tr><td>{words}</td></tr></table>")
             if random.random() < 0.06:
                 parts.append(_wrapped(pick(ADVERT + SIDE + NOTICE), f"<p>{text()}</p>", "other"))
-        return _wrapped(pick(MAIN), "".join(parts), "main")
+        long = main and np.median([len(m) for m in main]) > 60
+        return _wrapped(pick(UNNAMED if long and random.random() < 0.4 else MAIN), "".join(parts), "main")
 
     def menu():
         items = "".join(f'<li><a href="/">{some()}</a></li>' for _ in range(random.integers(2, 8)))
@@ -255,6 +270,8 @@ def layout(random, main: list[str], other: list[str]) -> str:
     after = [p for p in (remarks, lambda: loose(SIDE), entry, lambda: loose(ADVERT), lambda: loose(NOTICE))
              if random.random() < 0.4] + [lambda: loose(FOOTER)]
     random.shuffle(before)
+    if bare:
+        before, after = before[:random.integers(2)], after[:random.integers(2)]
     frame = (lambda x: f'<div class="{pick(["page", "wrapper", "container"])}">{x}</div>') if random.random() < 0.3 else (lambda x: x)
     head = f"<head><title>{html.escape(main[0]) if main else ''}</title></head>"
     return f'<html data-label="other">{head}<body>' + frame(
@@ -285,7 +302,7 @@ def training_pages(pages: list[str], seed: int = 4):
         labels = [weak_label(b) for b in blocks]
         main = [b.text for b, m in zip(blocks, labels) if m or m is None and not b.in_links]
         other = [b.text for b, m in zip(blocks, labels) if m is False]
-        texts.append((main[:30], other[:30]))
+        texts.append((main[:LAYOUT_BLOCKS], other[:LAYOUT_BLOCKS]))
         if blocks and None not in labels:
             out.append((features.page(blocks), np.array(labels, np.float32)))
     if not texts:  # no page to learn from: placeholder words, so that the tag paths are learnt

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from mergewell.functions.hashing import hash_fraction, seeded_hash
 from mergewell.lineage import cut_lineage
+from mergewell.operators.keys import subject_index
 
 WEIGHTS = (5, 2, 1)
 MOST = 3  # no source and no document is taken more often than this
@@ -26,11 +27,12 @@ def targets(sizes: DataFrame) -> DataFrame:
     exceeds that is shared again by weight among the others until none is above.  Every
     round is one sum over the table of sources; only sums reach the driver.
     """
-    totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    # One line per source: the order of all of them is one small sort.
-    place = F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*[F.lit(w).cast("long") for w in WEIGHTS]), place % len(WEIGHTS) + 1)
-    table = cut_lineage(totals.withColumn("weight", weight))
+    totals = cut_lineage(sizes.groupBy("source").agg(F.sum("size").alias("source_size")))
+    index = cut_lineage(subject_index(totals, "source"))
+    # From 1; the missing source follows the last one.
+    place = F.coalesce(F.col("subject_index"), F.lit(index.count() + 1)) - 1
+    weight = F.element_at(F.array(*[F.lit(w).cast("long") for w in WEIGHTS]), (place % len(WEIGHTS)).cast("int") + 1)
+    table = cut_lineage(totals.join(index, "source", "left").select("source", "source_size", weight.alias("weight")))
     size, weight = F.col("source_size"), F.col("weight")
     level, capped = None, F.lit(False)
     total = table.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first()["n"]
@@ -59,7 +61,7 @@ def mix(
     Rows with the same id share that decision; a missing id is an id like others.  Missing
     texts have size 0 and are kept like other rows of their source; a source without words
     has target 0 and rate 1; an empty table stays empty; a column that is named like a result
-    is replaced.
+    is replaced.  Very long texts are counted whole; repeated rows count each time.
     """
     results = ["size", "source_size", "target", "copies", "__source"]
     size = size_in_words(F.col("text")) if size is None else size

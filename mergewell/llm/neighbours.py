@@ -226,11 +226,14 @@ def nearest(
 
 
 def _chosen(rows: DataFrame, n: int, most: int) -> list[tuple[int, np.ndarray]]:
-    """At most about `most` rows, chosen by hash and in order of their ids."""
+    """At most about `most` rows, chosen by hash and in order of their ids; if the hashes of few
+    rows fall into the sample, a larger share of them is taken."""
     every = max(1, -(-n // most))
-    picked = rows.filter(F.pmod(F.xxhash64("vec_id"), F.lit(every)) == 0).orderBy("vec_id", "vector")
-    return [(r["vec_id"], np.array(r["vector"], np.float64)) for r in picked.collect()] or [
-        (r["vec_id"], np.array(r["vector"], np.float64)) for r in rows.orderBy("vec_id", "vector").limit(1).collect()]
+    while True:
+        picked = rows.filter(F.pmod(F.xxhash64("vec_id"), F.lit(every)) == 0).orderBy("vec_id", "vector").collect()
+        if every == 1 or len(picked) >= min(n, most) // 4 + 1:
+            return [(r["vec_id"], np.array(r["vector"], np.float64)) for r in picked]
+        every = max(1, every // 2)
 
 
 def calibrate(tree: Tree, queries, found, recall: float) -> int:

@@ -254,7 +254,7 @@ def quality_rules(
     CUTOFF.  Only rows that pass the base rules enter the estimates.  A missing text has no
     words and fails; missing languages or sources form groups of their own; repeated rows get
     the same result; an empty table stays empty; a column that is named like a result is
-    replaced.  With drop_text the texts are read once and left out of the result; otherwise
+    replaced.  Very long texts are counted whole; a row exactly at CUTOFF is kept.  With drop_text the texts are read once and left out of the result; otherwise
     they are read twice, once for the estimates and once for the decisions.
     """
     results = ["base_failed", "distance", "kept", "__lang", "__source", "__center", "__precision"]

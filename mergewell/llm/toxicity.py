@@ -117,7 +117,8 @@ def fit_severity(
 
     The labels say only whether a text is toxic: toxic rows are graded by how much of what
     marks toxic texts they hold.  Missing labels or ids are left out; without both kinds of
-    labels every text gets the same answer.
+    labels every text gets the same answer.  Labels of one id that contradict each other count as
+    toxic; documents that repeat a labelled id are fitted each.  Other columns are ignored.
     """
     usable = labels.filter(F.col(toxic).isNotNull() & F.col(doc_id).isNotNull()).groupBy(
         F.col(doc_id).alias("__doc")).agg(F.max(F.col(toxic).cast("int")).alias("__toxic"))
@@ -148,7 +149,7 @@ def score_severity(df: DataFrame, model: Severity, text: str = "text") -> DataFr
 
     A missing or empty text has no features and gets the model's answer to none.  Rows are
     independent: repeated rows get equal results, an empty table stays empty, and columns
-    named like a result are replaced.
+    named like a result are replaced.  Very long texts are scored whole.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
     fields = [T.StructField("severity", T.DoubleType()), T.StructField("grade", T.IntegerType()),

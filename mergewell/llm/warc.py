@@ -132,7 +132,8 @@ def write_archives(pages: DataFrame, folder: str, scratch: Scratch) -> DataFrame
     bytes.  Tasks write under temporary names that no other attempt shares; the manifest names
     those of the attempts that count, and only they are renamed.  Payloads are shuffled once;
     a revisit's reference travels as a small row that sorts before its record.
-    A missing page_id sorts first; with no rows there are no files and an empty manifest.
+    A missing page_id sorts first; with no rows there are no files and an empty manifest.  Repeated
+    rows are records each; a very long page is a record of its own in a file that ends with it.
     """
     spark = pages.sparkSession
     refers = references(pages, scratch)
@@ -146,8 +147,9 @@ def write_archives(pages: DataFrame, folder: str, scratch: Scratch) -> DataFrame
         return pd.Series([bisect.bisect_right(ends, key) for key in zip(ids, digests)], dtype="int64")
 
     present = F.coalesce("page_id", F.lit(-1 << 63))
-    ordered = rows.withColumn("shard", shard_of(present, F.col("digest"))).repartitionByRange(
-        len(points.value) + 1, "shard").sortWithinPartitions("shard", "page_id", "digest", "kind", "url").select(
+    # One task per shard: hashed or ranged again, several shards would meet in one task.
+    ordered = rows.withColumn("shard", shard_of(present, F.col("digest"))).repartitionById(
+        len(points.value) + 1, F.col("shard").cast("int")).sortWithinPartitions("shard", "page_id", "digest", "kind", "url").select(
         "shard", "page_id", "digest", "kind", "refers_to", "url", "payload")
 
     def work(batches):

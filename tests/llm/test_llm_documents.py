@@ -140,6 +140,16 @@ def test_bpe_equals_the_library(hard_documents):
         assert r["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
 
 
+def test_every_code_point_is_classed_as_the_library_does():
+    """Letters, numbers and lower case are the library's, whatever Python's Unicode version."""
+    encoder = bpe.WordBpe(open(VOCABULARY, "rb").read())
+    library = Tokenizer.from_file(VOCABULARY)
+    points = [*range(0x20, 0xD800), *range(0xE000, 0x20000, 1), *range(0x20000, 0x110000, 5003), *range(0x1C, 0x20)]
+    for start in range(0, len(points), 40):
+        text = "".join(f"a{chr(p)}b {chr(p)} 1" for p in points[start:start + 40])
+        assert encoder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, hex(points[start])
+
+
 def test_every_token_spells_itself():
     encoder = bpe.WordBpe(open(VOCABULARY, "rb").read())
     library = Tokenizer.from_file(VOCABULARY)

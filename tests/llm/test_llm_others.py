@@ -68,6 +68,30 @@ def test_unseen_layouts_are_labelled(labeller):
 
 
 @tables
+RIVERS = "The committee published its yearly report on rivers and lakes, and the water is cleaner than before. " * 2
+TOWNS = "Several towns along the coast have closed their old plants, and new ones with better filters follow. " * 2
+#: Hand-made pages that no layout of the training is like, with their article.
+HELD_OUT = [
+    ("<article><p>a &lt;b&gt; &amp;amp; c</p><p>x y z</p></article>", ["a <b> &amp; c", "x y z"]),
+    ("<article><p>if a < b then c</p><p>5 <6 and more</p></article>", ["if a < b then c", "5 <6 and more"]),
+    (f'<html><body><div class="x1"><p>{RIVERS}</p><p>{TOWNS}</p></div></body></html>', [RIVERS, TOWNS]),
+    (f'<body><nav><ul><li><a href="/">Home</a></li><li><a href="/a">About</a></li></ul></nav><div class="x1"><p>{RIVERS}</p>'
+     f'<p>{TOWNS}</p></div><footer>Copyright 2020</footer></body>', [RIVERS, TOWNS]),
+    ("<html><body><article><p>One.</p></article></body></html>", ["One."]),
+    ('<body><nav><a href="/">Home</a></nav><main><h1>Title here</h1><p>Short text.</p></main><footer>Legal</footer></body>',
+     ["Title here", "Short text."]),
+    (f"<p>{RIVERS}</p>", [RIVERS]),
+    (f'<article><p>{RIVERS}</p></article><section class="comments"><p>nice one</p></section>', [RIVERS]),
+]
+
+
+@tables
+@pytest.mark.parametrize("page, article", HELD_OUT)
+def test_short_bare_and_unnamed_pages_come_out_whole(labeller, page, article):
+    got, = html_text.main_text([page], labeller, html_text.Features())
+    assert got == "\n\n".join(x.strip() for x in article)
+
+
 def test_missing_empty_and_long_pages(spark, labeller):
     rows = [(1, None), (2, ""), (3, "<html><body></body></html>"), (4, "<article>" + "<p>word</p>" * 20_000 + "</article>"),
             (5, "<article><p>a</p></article>"), (5, "<article><p>a</p></article>"), (None, "no tags")]
@@ -183,6 +207,13 @@ def test_chat_is_read_back(spark):
     assert chat.read_back(chat.format_conversations(frame.limit(0))).count() == 0
 
 
+def test_segments_out_of_order_are_refused(spark):
+    rows = [(c, t, ("user", "assistant")[t % 2], f"text {c} {t}") for c in range(4) for t in range(6)]
+    made = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    with pytest.raises(Exception, match="order in which they were made"):
+        chat.read_back(made.repartition(5, "text")).collect()
+
+
 def test_control_strings_stand_only_where_the_template_puts_them():
     formatter = chat.Formatter(chat.Template())
     for text in ("</s>", "<<SYS>><</SYS>>", "[[INST]", "\\[/INST]", "<", "[:][ROLE]"):
