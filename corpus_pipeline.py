@@ -1,4 +1,8 @@
-"""The corpus pipeline: five stages from raw documents to token ids."""
+"""The corpus pipeline: five stages from raw documents to token ids.
+
+All stages but the last return the columns of their input, whatever other columns it has and
+however they are named.  An empty table stays empty in each.  Whole texts are worked on.
+"""
 
 from __future__ import annotations
 
@@ -25,18 +29,22 @@ def _restored(df: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep.  Missing and empty texts go, having no words; repeated
+    rows share their verdict; a document exactly at the cut-off stays."""
     return _restored(quality.quality_rules(_known(docs)).filter("kept"), docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates: a similarity of 0.8
-    or more in shingles of five words."""
+    or more in shingles of five words.  Missing and blank texts are like nothing and stay; of rows
+    that share the smallest id all stay; ties do not occur, as ids order the group."""
     return _restored(near.drop_near_duplicates(_known(docs), width=5, percent=80), docs)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages that an earlier one has; those with nothing left go."""
+    """Documents without passages that an earlier one has; those with nothing left go.  Missing
+    texts stay missing; a row without id is compared with none; rows that repeat an id are no
+    earlier than each other and keep their passages."""
     cut = spans.dedup_spans(_known(docs))
     lost = F.col("n_removed") > 0
     kept = cut.filter(~(lost & (F.col("n_removed") == F.col("n_words"))))
@@ -48,12 +56,15 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the target weights of the sources ask for."""
+    """Every document as often as the target weights of the sources ask for.  Missing texts have
+    size 0 and follow their source's rate; a missing source is one; rows that repeat an id share
+    the draw of the extra copy."""
     return _restored(mixing.repeated(mixing.mix(_known(docs))), docs)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every copy, with digests of ids and decoded text."""
+    """Token ids of every copy, with digests of ids and decoded text.  Missing texts have none;
+    repeated rows get equal values; other columns are left out."""
     return bpe.encode_decode(
         docs.select("doc_id", "source", "text"), public_tokenizers.path("word_bpe_49k.json")).drop("text")
 
