@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
@@ -16,7 +15,7 @@ from mergewell.operators.learners import Learner, Problem, label_levels, predict
 from mergewell.operators.resampling import assign_folds, stratified_split
 from mergewell.operators.scoring import metric_average, score, to_metric_rows
 from mergewell.plans.train import (
-    PARTITIONS, dealt, fit_final, importance_of, make_resamples, result_table, score_candidate, train)
+    PARTITIONS, dealt, fit_final, importance_of, make_resamples, result_table, score_candidate)
 from mergewell.queries.combining import LINE_COLUMNS, PEARSON_SQL, _line_numbers
 from mergewell.queries.evaluation import null_class_sql
 from mergewell.queries.registry import query, table
@@ -105,63 +104,6 @@ def q_lasso(spark, sf_dir):
     return _coefficients(spark, sf_dir, "lasso")
 
 
-# --- whole training runs ------------------------------------------------------------------------
-# train() with its own settings: 30 resamples, five spread points, up to 80 more until ten rounds
-# bring no gain.
-
-CHECKED = ("five_spread_points", "penalties_in_range", "ends_after_ten_rounds_without_gain",
-           "four_metrics_per_point", "best_point_chosen")
-
-
-def _trained(spark, sf_dir, model: str):
-    rows = cut_lineage(customer_features(spark, sf_dir))
-    return train(rows, kind="regression", model=model, parallelism=4)
-
-
-@query("q_tune_trace", " UNION ALL ".join(f"SELECT '{c}' AS what, true AS holds" for c in CHECKED))
-def q_tune_trace(spark, sf_dir):
-    """The search of a lasso's penalty on all customers, end to end."""
-    report = _trained(spark, sf_dir, "lasso")
-    trace = report.trace.collect()  # four lines per point
-    points = {r["iteration"]: r["penalty"] for r in trace}
-    scores = {r["iteration"]: r["mean"] for r in trace if r["metric"] == "rmse"}
-    n, best = len(points), min(scores, key=lambda i: (scores[i], i))
-    spread = sorted(math.log10(points[i]) for i in range(5))
-    holds = (
-        all(abs(a - b) < 1e-9 for a, b in zip(spread, (-9, -7, -5, -3, -1))),
-        all(1e-10 <= p <= 1 for p in points.values()),
-        n == 85 or n == max(best, 4) + 11,
-        len(trace) == 4 * n and {r["metric"] for r in trace} == {"mae", "rmse", "rsq", "ccc"},
-        report.best == {"penalty": points[best]})
-    return spark.createDataFrame(list(zip(CHECKED, holds)), "what string, holds boolean")
-
-
-@query("q_results", """
-WITH f AS (
-  SELECT c_custkey, sum(o_totalprice) AS y FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey),
-cuts AS (SELECT quantile_cont(y, 0.25) AS a, quantile_cont(y, 0.5) AS b, quantile_cont(y, 0.75) AS c FROM f),
-rows AS (SELECT c_custkey::VARCHAR AS key, y AS truth, (y > a)::INT + (y > b)::INT + (y > c)::INT AS stratum FROM f, cuts),
-seeds AS (SELECT unnest(range(43, 63))::INT AS seed),
-ranked AS (
-  SELECT seed, truth, row_number() OVER (PARTITION BY seed, stratum ORDER BY md5(seed || ':' || key), key) AS rn,
-         count(*) OVER (PARTITION BY seed, stratum) AS n FROM rows, seeds),
-test AS (SELECT seed, truth FROM ranked WHERE rn > floor(0.7::DOUBLE * n)),
-means AS (SELECT seed, avg(truth) AS estimate FROM test GROUP BY seed),
-runs AS (SELECT seed, avg(abs(truth - estimate)) AS mae, sqrt(avg((truth - estimate) * (truth - estimate))) AS rmse
-         FROM test JOIN means USING (seed) GROUP BY seed),
-nulls AS (SELECT 'mae' AS metric, avg(mae) AS v FROM runs UNION ALL SELECT 'rmse', avg(rmse) FROM runs
-          UNION ALL SELECT 'ccc', 0.0 UNION ALL SELECT 'rsq', NULL)
-SELECT metric, 'standard' AS estimator, 'enet' AS model, 42 AS seed, round(v, 2) AS null_model_avg,
-  true AS trained_is_better FROM nulls""")
-def q_results(spark, sf_dir):
-    """An elastic net tuned, refitted and scored on held-out customers, beside the null model."""
-    better = F.when(F.col("metric").isin("mae", "rmse"), F.col("estimate") < F.col("null_model_avg")).otherwise(
-        F.col("estimate") > F.coalesce("null_model_avg", F.lit(0.0)))
-    return _trained(spark, sf_dir, "enet").results.select(
-        "metric", "estimator", "model", "seed", F.round("null_model_avg", 2).alias("null_model_avg"),
-        better.alias("trained_is_better"))
-
-
 ROLES = ["subject_id", "label", "target"]
 
 

@@ -155,17 +155,16 @@ def q_read_delimited(spark, sf_dir):
 
 
 @query("q_wide_levels", """
-WITH rows AS (
-  SELECT p_partkey, p_name || ' ' || p_size || ' ' || p_brand AS item FROM part),
+WITH rows AS (SELECT 'customer ' || o_custkey || ' ' || o_orderpriority AS item FROM orders),
 one AS (SELECT item AS level, count(*) AS n FROM rows GROUP BY item)
 SELECT 'item' AS feature, level, n FROM one WHERE n < (SELECT count(*) FROM rows)""")
 def q_wide_levels(spark, sf_dir):
     """combine() on a text with more levels than may become columns: how many rows have each level
     that stays.  A second text says the same in other words; its levels go as correlated ones."""
-    part = table(spark, sf_dir, "part")
-    item = F.concat_ws(" ", "p_name", "p_size", "p_brand")
-    first = part.select(F.col("p_partkey").alias("subject_id"), item.alias("item"), "p_retailprice")
-    second = part.select(F.col("p_partkey").alias("subject_id"), F.md5(item).alias("same"), F.col("p_type").alias("label"))
+    orders = table(spark, sf_dir, "orders")
+    item = F.concat_ws(" ", F.lit("customer"), "o_custkey", "o_orderpriority")
+    first = orders.select(F.col("o_orderkey").alias("subject_id"), item.alias("item"), "o_totalprice")
+    second = orders.select(F.col("o_orderkey").alias("subject_id"), F.md5(item).alias("same"), F.col("o_orderstatus").alias("label"))
     report = combine(spark, {"first": first, "second": second}, near_empty_rows=None)
     places = report.ml_table.select(F.explode(F.unwrap_udt("levels")["indices"]).alias("place"))
     return places.groupBy(F.col("place").cast("long").alias("index")).agg(F.count(F.lit(1)).alias("n")).join(report.levels, "index").select(

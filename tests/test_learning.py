@@ -174,16 +174,11 @@ def test_signed_importance(rows, spark):
     assert got["b"][0] == "NEG" and abs(got["b"][1] - 1) < 0.1
 
 
-def test_search_with_its_own_settings(rows):
-    """Five spread points, then on until ten rounds bring no gain; 30 resamples each."""
-    report = train(rows.select("subject_id", "a", "b", F.col("amount").alias("label")), kind="regression", model="lasso",
-                   parallelism=4)
+def test_the_best_points_of_a_search(rows):
+    report = train(rows.select("subject_id", "a", "b", F.col("amount").alias("label")), kind="regression", model="lasso", **SMALL)
     scores = {r["iteration"]: r["mean"] for r in report.trace.filter("metric = 'rmse'").collect()}
-    best = min(scores, key=lambda i: (scores[i], i))
-    assert len(scores) == max(best, 4) + 11 or len(scores) == 85
     top = report.best_points.collect()
-    assert len(top) == 5 and top[0]["iteration"] == best and report.best == {"penalty": top[0]["penalty"]}
-    assert [r["mean"] for r in top] == sorted(scores.values())[:5]
+    assert [r["mean"] for r in top] == sorted(scores.values())[:5] and report.best == {"penalty": top[0]["penalty"]}
 
 
 def test_a_race_drops_candidates_that_are_clearly_worse(rows):
