@@ -115,8 +115,8 @@ def test_the_fit_is_the_smallest_loss():
 
 
 def test_contradicting_labels_count_as_toxic(spark):
-    docs = spark.createDataFrame([(i, "vile awful words" if i % 2 else "calm gentle words") for i in range(40)], "doc_id long, text string")
-    labels = [(i, i % 2) for i in range(40)] + [(i, 0) for i in range(1, 40, 2)]
+    docs = spark.createDataFrame([(i, "vile awful words" if i % 2 else "calm gentle words") for i in range(400)], "doc_id long, text string")
+    labels = [(i, i % 2) for i in range(400)] + [(i, 0) for i in range(1, 400, 2)]
     model = toxicity.fit_severity(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
     got = toxicity.score_severity(docs, model).collect()
     assert all(r["toxic"] == bool(r["doc_id"] % 2) for r in got)
