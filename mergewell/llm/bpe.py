@@ -38,26 +38,30 @@ class Classes(NamedTuple):
     lower: dict[str, str]
 
 
+POINTS_ASKED = 1 << 14  # code points the library is asked for at once; it keeps notes for each
+
+
 def classes() -> Classes:
-    """The library's classes, asked for every code point once."""
-    points = list(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    everything = "".join(points)
-
-    def ranges(kind: str) -> str:
-        found = pre_tokenizers.Split(Regex(rf"\p{{{kind}}}+"), "isolated").pre_tokenize_str(everything)
-        runs = [piece for piece, _ in found]  # others and members alternate; U+0000 is none
-        out = []
-        for piece in runs[1::2]:
-            start = 0
-            for i in range(1, len(piece) + 1):  # a run may step over the surrogates
-                if i == len(piece) or ord(piece[i]) != ord(piece[i - 1]) + 1:
-                    out.append(f"\\U{ord(piece[start]):08x}-\\U{ord(piece[i - 1]):08x}")
-                    start = i
-        return "".join(out)
-
-    lines = [c for c in points if c != "\n"]
-    low = normalizers.Lowercase().normalize_str("\n".join(lines)).split("\n")
-    return Classes(ranges("L"), ranges("N"), {c: x for c, x in zip(lines, low) if x != c.lower()})
+    """The library's classes, asked for every code point once, some thousands at a time."""
+    kinds = {kind: pre_tokenizers.Split(Regex(rf"\p{{{kind}}}+"), "isolated") for kind in "LN"}
+    members = {kind: [] for kind in kinds}  # (first, last) of the runs
+    lower: dict[str, str] = {}
+    for start in range(0, 0x110000, POINTS_ASKED):
+        points = [chr(p) for p in range(start, start + POINTS_ASKED) if not 0xD800 <= p < 0xE000]
+        if not points:
+            continue
+        asked = "\n" + "".join(points)  # others and members alternate; a line feed is no member
+        for kind, cutter in kinds.items():
+            for piece, _ in cutter.pre_tokenize_str(asked)[1::2]:
+                for p in map(ord, piece):  # a run may step over the surrogates or go on in the next block
+                    if members[kind] and members[kind][-1][1] == p - 1:
+                        members[kind][-1][1] = p
+                    else:
+                        members[kind].append([p, p])
+        lines = [c for c in points if c != "\n"]
+        low = normalizers.Lowercase().normalize_str("\n".join(lines)).split("\n")
+        lower.update({c: x for c, x in zip(lines, low) if x != c.lower()})
+    return Classes(*["".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in members[kind]) for kind in "LN"], lower)
 
 
 class WordBpe:

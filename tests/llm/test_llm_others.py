@@ -3,6 +3,8 @@
 import gzip
 import hashlib
 import os
+import subprocess
+import sys
 
 import numpy as np
 import plain
@@ -267,3 +269,13 @@ def test_stages_keep_columns_and_bear_hard_rows(spark, hard_documents, no_docume
         assert {r["n_words"] for r in out.select("n_words").collect()} <= {"mine"}
         assert stage(spark, no_documents, "").count() == 0
     assert corpus_pipeline.encoding_stage(spark, extra, "").count() == hard_documents.count()
+
+
+def test_letter_classes_take_little_memory():
+    """The driver asks the library for them, beside all else it holds."""
+    code = ("import resource as r, hashlib; from mergewell.llm.bpe import classes; peak = lambda: r.getrusage(r.RUSAGE_SELF).ru_maxrss;"
+            "before = peak(); found = classes(); print(peak() - before, len(found.lower))")
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True,
+                          cwd=os.path.dirname(os.path.abspath(corpus_pipeline.__file__)))
+    kilobytes, lower = map(int, done.stdout.split())
+    assert kilobytes < 100_000 and lower
