@@ -35,11 +35,11 @@ def written(df: DataFrame, name: str) -> str:
     return path
 
 
-def spread(checkpointed: DataFrame) -> DataFrame:
-    """Give a checkpointed frame at least as many partitions as there are cores.
+def spread(rows: DataFrame) -> DataFrame:
+    """Give a checkpointed or plainly read frame at least as many partitions as there are cores.
 
     A single small file arrives as one partition; large inputs are left as they are.
     """
-    cores = checkpointed.sparkSession.sparkContext.defaultParallelism
-    enough = checkpointed.rdd.getNumPartitions() >= cores
-    return checkpointed if enough else checkpointed.repartition(cores)
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    enough = rows.rdd.getNumPartitions() >= cores
+    return rows if enough else rows.repartition(cores)

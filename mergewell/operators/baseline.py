@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from mergewell.functions.hashing import seeded_hash
-from mergewell.lineage import cut_lineage
+from mergewell.lineage import cut_lineage, spread
 from mergewell.operators.resampling import stratum
 from mergewell.operators.scoring import class_metrics
 from mergewell.operators.selection import cut_rows, is_within
@@ -36,8 +36,9 @@ def null_baseline(
     truth = F.col(label).cast("double" if kind == "regression" else "string")
     seeds = range(seed + 1, seed + runs + 1)
     orders = [f"order{s}" for s in seeds]
-    rows = df.select(
-        F.col(key).cast("string").alias("key"), truth.alias("truth"), stratum(df, label, kind).alias("stratum"))
+    # Every pass hashes each row once per run: all cores share that, however the input is stored.
+    rows = cut_lineage(spread(df.select(
+        F.col(key).cast("string").alias("key"), truth.alias("truth"), stratum(df, label, kind).alias("stratum"))))
     hashed = rows.withColumns({o: seeded_hash(F.lit(s), F.col("key")) for o, s in zip(orders, seeds)})
     cuts = cut_rows(hashed, "stratum", "key", orders, prop)
     marked = is_within(cuts, hashed, "stratum", "key", orders).select("truth", "within")
