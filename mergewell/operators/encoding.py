@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import OneHotEncoder
-from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.feature import VectorSizeHint
+from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from mergewell.functions.naming import clean_name, make_unique
@@ -49,18 +49,29 @@ def category_levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     return {c: sorted(v) for c, v in levels.items()}
 
 
+def with_ones(df: DataFrame, places: list[str], size: int, out: str) -> DataFrame:
+    """df with the columns of places, which grow from left to right, replaced by one sparse vector
+    with a 1 at each of them; a missing place has none.
+
+    The column's metadata hold the vector's size only: Spark's own encoder would name every entry
+    there, as many in the driver as there are levels."""
+    @F.udf(VectorUDT())
+    def ones(found):
+        return SparseVector(size, found, [1.0] * len(found))
+
+    made = df.withColumn(out, ones(F.array_compact(F.array(*[F.col(p).cast("int") for p in places])))).drop(*places)
+    return VectorSizeHint(inputCol=out, size=size, handleInvalid="optimistic").transform(made)
+
+
 def sparse_one_hot(df: DataFrame, column: str, out: str) -> DataFrame:
     """One vector per row for a text column with any number of levels: 1 at the place of the
     row's level in sort order; a missing value has no 1.  Places are found by joins, so that
     no list of levels is held anywhere; a vector holds one number whatever its size."""
     places = subject_index(df.filter(F.col(column).isNotNull()), column).select(
-        F.col(column).alias("__level"), (F.col("subject_index") - 1).cast("double").alias("__place")).distinct()
-    # One place beyond the last level stands for a missing value, and is left out of the vector.
-    last = places.agg(F.coalesce(F.max("__place") + 1, F.lit(1.0))).first()[0]
-    indexed = df.join(places, F.col(column) == F.col("__level"), "left").drop("__level").fillna(last, ["__place"])
-    sizes = df.sparkSession.createDataFrame([(last,)], "__place double")
-    encoder = OneHotEncoder(inputCol="__place", outputCol=out, dropLast=True)
-    return encoder.fit(sizes).transform(indexed).drop("__place")
+        F.col(column).alias("__level"), (F.col("subject_index") - 1).alias("__place")).distinct()
+    size = places.agg(F.coalesce(F.max("__place") + 1, F.lit(1))).first()[0]
+    indexed = df.join(places, F.col(column) == F.col("__level"), "left").drop("__level")
+    return with_ones(indexed, ["__place"], size, out)
 
 
 def indicator(column: str, level: str) -> Column:

@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from mergewell.lineage import cut_lineage
+from mergewell.operators.encoding import with_ones
 from mergewell.operators.keys import subject_index
 from mergewell.operators.redundancy import connected_components
 
@@ -170,21 +170,17 @@ def as_vector(df: DataFrame, columns: list[str], entries: DataFrame, sizes: dict
 
     A vector holds one number per text column, whatever its size.  Places are found by joins.
     """
-    spark = df.sparkSession
-    made, parts = df, []
+    made, parts, before = df, [], 0
     for i, c in enumerate(columns):
-        size = float(sizes.get(c, 0))
-        if not size:
+        if not sizes.get(c, 0):
             continue
         own = entries.filter(F.col("feature") == c).select(
-            F.col("level").alias("__level"), F.col("number").cast("double").alias("__place"))
-        # One place beyond the last stands for no kept level and is left out of the vector.
-        made = made.join(own, F.col(c) == F.col("__level"), "left").drop("__level").fillna(size, ["__place"])
-        encoder = OneHotEncoder(inputCol="__place", outputCol=f"__part{i}", dropLast=True)
-        made = encoder.fit(spark.createDataFrame([(size,)], "__place double")).transform(made).drop("__place")
+            F.col("level").alias("__level"), (F.col("number") + before).alias(f"__part{i}"))
+        made = made.join(own, F.col(c) == F.col("__level"), "left").drop("__level")
         parts.append(f"__part{i}")
+        before += sizes[c]
     made = made.drop(*columns)
-    return VectorAssembler(inputCols=parts, outputCol=out).transform(made).drop(*parts) if parts else made
+    return with_ones(made, parts, before, out) if parts else made
 
 
 def entry_names(columns: list[str], entries: DataFrame, sizes: dict[str, int]) -> DataFrame:

@@ -162,3 +162,14 @@ def test_training_with_wide_texts(spark, texts, monkeypatch):
     rows = df.select("subject_id", "city", "x").fillna("none").withColumn("label", 3 * F.col("x") + (F.col("city") > "c024").cast("double"))
     report = train(rows, kind="regression", model="lasso", folds=2, repeats=1, initial=2, tune_length=0, null_runs=2, parallelism=2)
     assert {r["metric"]: r["estimate"] for r in report.results.collect()}["rsq"] > 0.8
+
+
+def test_schema_does_not_name_levels(spark):
+    """The driver holds the schema: a million entries named there would take gigabytes."""
+    df = spark.range(20).select(F.col("id").cast("string").alias("t"))
+    entries = df.select(F.lit("t").alias("feature"), F.col("t").alias("level"), F.col("t").cast("long").alias("number"))
+    vector = lv.as_vector(df, ["t"], entries.filter("number < 19"), {"t": 1_000_000}, "v")
+    assert len(vector.schema.json()) < 1000
+    found = [r["v"] for r in vector.collect()]
+    assert {v.size for v in found} == {1_000_000} and sorted(v.indices.tolist() for v in found) == [[], *[[i] for i in range(19)]]
+    assert len(encoding.sparse_one_hot(df, "t", "v").schema.json()) < 1000
