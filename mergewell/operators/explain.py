@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from mergewell.functions.hashing import seeded_hash
 from mergewell.lineage import cut_lineage
-from mergewell.operators.learners import predict_first_level
-from mergewell.operators.ranking import rank_in_group
+from mergewell.operators.learners import predict_first_level, thresholds
+from mergewell.operators.ranking import rank_in_group, small
 
 VIP = "feature string, importance double, sign string"
 
@@ -25,9 +25,12 @@ def shap_values(
     sampling leaves over of f(x) - mean f is given to the features by the variance of
     their contributions.  The random partner is found by its hash rank, so no part of
     the data is copied to all tasks.
+
+    A forest cannot tell apart values between the same two of its thresholds.  Every mixture of
+    rows is taken to its cell, and each cell that occurs is predicted once.
     """
     rows = cut_lineage(rows.select("row_id", "features"))
-    base = rows.select("row_id", vector_to_array("features").alias("x"))
+    base = cut_lineage(rows.select("row_id", _cell(vector_to_array("features"), thresholds(model, len(names))).alias("x")))
     ranked = rank_in_group(
         base.withColumns({"all": F.lit(1), "order": seeded_hash(F.lit(seed), F.col("row_id"))}),
         ["all"], "order", "place", ("row_id",))
@@ -48,10 +51,13 @@ def shap_values(
         "k", F.explode(F.sequence(F.lit(0), F.lit(len(names))))).withColumn("turn", F.get("turns", F.col("k") - 1))
     mixed = turns.select(
         "row_id", "sim", "k", (F.array_position("order", F.col("turn")) - 1).cast("int").alias("j"),
-        array_to_vector(F.transform("x", lambda v, i: F.when(
-            F.get("order", i) <= F.col("turn"), v).otherwise(F.get("z", i)))).alias("features"))
+        F.transform("x", lambda v, i: F.when(
+            F.get("order", i) <= F.col("turn"), v).otherwise(F.get("z", i))).alias("cell"))
+    cells = cut_lineage(mixed.select("cell").distinct()).withColumn("features", array_to_vector("cell"))
+    predicted = cut_lineage(predict_first_level(model, cells, kind, "at").select("cell", "at"))
     # One shuffle by row serves both groupings.
-    stepped = predict_first_level(model, mixed, kind, "at").select("row_id", "sim", "k", "j", "at").repartition("row_id")
+    stepped = mixed.join(small(predicted, predicted.count()), "cell").select(
+        "row_id", "sim", "k", "j", "at").repartition("row_id")
     walk = stepped.groupBy("row_id", "sim").agg(F.array_sort(F.collect_list(F.struct("k", "j", "at"))).alias("walk"))
     steps = F.transform(F.slice("walk", 2, len(names)), lambda s, i: F.struct(
         s["j"].alias("j"), (s["at"] - F.get("walk", i)["at"]).alias("effect")))
@@ -71,6 +77,17 @@ def shap_values(
         (F.col("phi") + left_over * share).alias("phi"), F.lit(slice_name).alias("slice"))
 
 
+def _cell(x: Column, cuts: list[list[float] | None] | None) -> Column:
+    """Each value replaced by the first threshold that it does not exceed, infinity beyond the last;
+    values stay that are not compared with thresholds."""
+    if cuts is None:
+        return x
+    known = F.array(*[F.array(*[F.lit(c) for c in points or []]).cast("array<double>") for points in cuts])
+    kept = F.array(*[F.lit(points is None) for points in cuts])
+    return F.transform(x, lambda v, i: F.when(F.get(kept, i), v).otherwise(F.coalesce(
+        F.get(F.filter(F.get(known, i), lambda c: v <= c), 0), F.lit(float("inf")))))
+
+
 def shap_importance(values: DataFrame, top: int = 10) -> DataFrame:
     """The features with the largest mean |phi| per slice."""
     ranked = values.groupBy("slice", "feature").agg(F.avg(F.abs("phi")).alias("importance"))

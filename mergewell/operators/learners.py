@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import math
 import random
+import re
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (
+    LogisticRegression, RandomForestClassificationModel, RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mergewell.operators.columns import numeric_columns
@@ -147,6 +149,26 @@ def predict_first_level(model, df: DataFrame, kind: str, out: str = "score") ->
     return scored.withColumn(out, value).drop("prediction", "probability", "rawPrediction")
 
 
+CONDITION = re.compile(r"feature (\d+) (?:<= (\S+)\)|in )")
+
+
+def thresholds(model, size: int) -> list[list[float] | None] | None:
+    """What a forest compares each of `size` features with, in order: values between the same two
+    get the same prediction.  None for features that it looks up as categories, and for models
+    that are no forests.  Trees are looked at one by one; Spark cuts a feature at 31 points at most."""
+    if not isinstance(model, (RandomForestClassificationModel, RandomForestRegressionModel)):
+        return None
+    found: list[set[float]] = [set() for _ in range(size)]
+    looked_up = set()
+    for tree in model.trees:
+        for feature, value in set(CONDITION.findall(tree.toDebugString)):
+            if value:
+                found[int(feature)].add(float(value))
+            else:
+                looked_up.add(int(feature))
+    return [None if i in looked_up else sorted(v) for i, v in enumerate(found)]
+
+
 class Proposer:
     """Suggests points of the unit cube: spread first, then around the best one.
 

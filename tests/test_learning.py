@@ -3,16 +3,20 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from mergewell.operators import baseline, explain
 from mergewell.operators.baseline import null_baseline
 from mergewell.operators.explain import shap_importance, shap_values, signed_importance
 from mergewell.operators.learners import (
-    Learner, Problem, Proposer, label_levels, model_name, predict_first_level, search_space)
+    Learner, Problem, Proposer, label_levels, model_name, predict_first_level, search_space, thresholds)
 from mergewell.operators.recipe import build_recipe, predictor_names
 from mergewell.operators.resampling import assign_folds, stratified_split
 from mergewell.operators.scoring import score
-from mergewell.plans.train import is_worse, train
+from mergewell.operators.selection import cut_rows
+from mergewell.plans.train import PARTITIONS, is_worse, make_resamples, train
+from mergewell.queries import learning
 
 SMALL = dict(folds=3, repeats=2, tune_length=1, initial=2, trees_tune=5, trees_final=8, depth=4,
              max_iter=15, parallelism=4, null_runs=4)
@@ -184,3 +188,58 @@ def test_the_best_points_of_a_search(rows):
 def test_a_race_ends_for_what_is_clearly_worse():
     assert is_worse([1.0, 1.1, 0.9, 1.0], 2.0) and not is_worse([1.0, -1.0, 0.5, -0.4], 2.0)
     assert not is_worse([9.0, 9.0], 2.0) and not is_worse([-1.0] * 9, 2.0)
+
+
+def test_null_runs_use_all_cores(rows, spark, monkeypatch):
+    """However few parts the input is stored in: a pass hashes each row 20 times."""
+    seen = []
+
+    def cuts(hashed, *args):
+        seen.append(hashed.rdd.getNumPartitions())
+        return cut_rows(hashed, *args)
+
+    monkeypatch.setattr(baseline, "cut_rows", cuts)
+    assert null_baseline(rows.coalesce(1), "subject_id", "amount", kind="regression").count() == 20
+    assert seen == [spark.sparkContext.defaultParallelism]
+
+
+def test_folds_are_fitted_in_several_parts(spark, monkeypatch):
+    seen = []
+
+    def resamples(folded, *args):
+        seen.append(folded.rdd.getNumPartitions())
+        return make_resamples(folded, *args)
+
+    monkeypatch.setattr(learning, "make_resamples", resamples)
+    monkeypatch.setattr(learning, "score_candidate", lambda parts, *args: (None, spark.createDataFrame(
+        [], "subject_id long, repeat int, fold int, truth string, estimate string")))
+    learning.q_oof_predictions(spark, "/root/testdata/sf0.001")
+    assert seen == [PARTITIONS]
+
+
+def test_a_forest_predicts_each_cell_once(spark, monkeypatch):
+    """The same values as without cells, of fewer predictions than steps."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(120, 3)).round(3)
+    x[:, 2] = 1.0 * (x[:, 2] > 0)
+    rows = spark.createDataFrame(
+        [(f"r{i}", Vectors.dense(v), float(v[0] + v[1] > 0)) for i, v in enumerate(x.tolist())],
+        ["row_id", "features", "target"])
+    model = Learner("rf", "classification", trees=4, depth=3).estimator({"mtry": 2, "min_n": 5}).fit(rows)
+    cuts = thresholds(model, 3)
+    assert cuts[0] and all(c == sorted(set(c)) for c in cuts)
+    predicted = []
+
+    def counted(model, df, *args):
+        predicted.append(df.count())
+        return predict_first_level(model, df, *args)
+
+    monkeypatch.setattr(explain, "predict_first_level", counted)
+    cells = explain.shap_values(model, rows, ["a", "b", "c"], "classification", 20).toPandas()
+    monkeypatch.setattr(explain, "thresholds", lambda *args: None)
+    whole = explain.shap_values(model, rows, ["a", "b", "c"], "classification", 20).toPandas()
+    both = cells.merge(whole, on=["row_id", "feature"])
+    assert len(both) == 360 and np.allclose(both["phi_x"], both["phi_y"], atol=1e-9)
+    assert (both["feature_value_x"] == both["feature_value_y"]).all()
+    assert predicted[1] < predicted[3] < 120 * 20 * 4
+    assert predicted[1] <= np.prod([len(c) + 1 for c in cuts])
