@@ -243,3 +243,9 @@ def test_a_forest_predicts_each_cell_once(spark, monkeypatch):
     assert (both["feature_value_x"] == both["feature_value_y"]).all()
     assert predicted[1] < predicted[3] < 120 * 20 * 4
     assert predicted[1] <= np.prod([len(c) + 1 for c in cuts])
+
+
+def test_forests_remember_the_places_of_rows(spark):
+    """Coming down from the root in every round makes fits grow with rows times depth."""
+    for kind in ("classification", "regression"):
+        assert Learner("rf", kind, trees=2).estimator({"mtry": 2, "min_n": 5}).getCacheNodeIds()
