@@ -5,27 +5,26 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.storagelevel import StorageLevel
 
 from mergewell.lineage import cut_lineage, spread
 from mergewell.operators.columns import scan
-from mergewell.operators.ranking import small
 
 PAIRS = "a string, b string, corr double"
-# Up to this many columns ranks go back to their rows by plain conditional maxima.
-FEW_COLUMNS = 12
 # Columns of a block; a task holds the products of one block with all that follow.
 BLOCK = 500
 STRIP = 32  # lines of a product of two blocks that are summed in one place
 # Cells of one column that one task may sort.
 ROWS_PER_BUCKET = 100_000
+CELLS_PER_BLOCK = 1_000_000  # of the rows that travel together, 8 bytes each
 # A column with up to so many values is ranked by a table of its values, which is sent to the rows;
 # up to so many values of all columns (16 bytes each).
 FEW_VALUES = 50_000
 SENT_VALUES = 2_000_000
+VALUES_SHARE = 64  # of the hashes of values one is looked at to estimate their number
 
 
 def complete_numbers(df: DataFrame, columns: list[str], keep: str | None = None) -> DataFrame:
@@ -114,124 +113,228 @@ def rank_columns(df: DataFrame, columns: list[str], keep: str | None = None) ->
     """The complete rows with every column replaced by its average ranks; `keep` names a key
     of the rows that stays beside them.
 
-    The ranks of a column with FEW_VALUES at most follow from the counts of its values, and no
-    row is moved for them.  The cells of other columns are cut at approximate quantiles into
-    ordered buckets, one per ROWS_PER_BUCKET rows, which may be ranked in separate tasks; exact
-    bucket counts give each bucket's offset.
+    Rows travel in blocks of columns.  The ranks of a column with about FEW_VALUES at most follow
+    from the counts of its values, and no block is moved for them.  The cells of other columns are
+    cut at approximate quantiles into ordered buckets, one per ROWS_PER_BUCKET rows, which may be
+    ranked in separate tasks; exact bucket counts give each bucket's offset.
     """
-    # Row numbers tie a row's cells together again; the checkpoint keeps them fixed.
-    key = keep or "__row"
     numbers = complete_numbers(df, columns, keep)
-    if keep is None:
-        numbers = numbers.withColumn(key, F.monotonically_increasing_id())
-    numbers = spread(cut_lineage(numbers))
-    found = scan(numbers, {"": F.count(F.lit(1)), **{
-        c: F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(c))) for c in columns}})
-    rows = found.pop("")
+    schema = numbers.schema
+    # The checkpoint keeps a block's rows together and its number fixed.
+    blocks = spread(cut_lineage(_blocks(numbers, keep).withColumn(
+        "__block", F.monotonically_increasing_id())))
+    rows, found = _value_estimates(blocks, columns)
     few, sent = [], 0
     for c in sorted(columns, key=found.get):
         sent += found[c]
         if found[c] <= FEW_VALUES and sent <= SENT_VALUES:
             few.append(c)
     many = [c for c in columns if c not in few]
-    ranked = _ranked_by_value(numbers, few)
-    if many:
-        sorted_ranks = _ranked_by_sorting(numbers.select(key, *many), many, key, rows)
-        ranked = ranked.drop(*many).join(sorted_ranks, key) if few else sorted_ranks
-    return ranked.select(*([key] if keep else []), *columns)
+    tables = df.sparkSession.sparkContext.broadcast(_value_ranks(blocks, few))
 
+    def ranks(cells, c):
+        values, ranks = tables.value[c]
+        return ranks[np.searchsorted(values, np.frombuffer(cells))]
 
-def _ranked_by_value(numbers: DataFrame, columns: list[str]) -> DataFrame:
-    """Columns of few values replaced by their ranks, which follow from the counts of the values."""
+    def unpack(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(c).slice(i, 1).flatten() if c == keep else pa.array(ranks(batch.column(c)[i].as_py(), c))
+                    for c in schema.names], names=schema.names)
+
+    ranked = _ranked_by_sorting(blocks, many, keep, rows, schema, ranks) if many else blocks.mapInArrow(unpack, schema)
+    return ranked.select(*([keep] if keep else []), *columns)
+
+
+def _value_estimates(blocks: DataFrame, columns: list[str]) -> tuple[int, dict[str, int]]:
+    """The number of rows, and of each column's different values nearly: those of one in
+    VALUES_SHARE hashes are counted."""
+    def sample(batches):
+        rows = 0
+        for batch in batches:
+            for i, c in enumerate(columns):
+                for cells in batch.column(c).to_pylist():
+                    values = np.frombuffer(cells)
+                    rows += len(values) if i == 0 else 0
+                    values = np.unique(values[pd.util.hash_array(values) % VALUES_SHARE == 0])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(values), i, np.int32)), pa.array(values)], names=["feature", "value"])
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([float(rows)])], names=["feature", "value"])
+
+    found = {r["feature"]: r for r in blocks.select(*columns).mapInArrow(
+        sample, "feature int, value double").groupBy("feature").agg(
+            F.count_distinct("value").alias("values"), F.sum("value").alias("sum")).collect()}
+    return int(found[-1]["sum"]) if found else 0, {
+        c: VALUES_SHARE * found[i]["values"] if i in found else 0 for i, c in enumerate(columns)}
+
+
+def _value_ranks(blocks: DataFrame, columns: list[str]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """The values of columns of few values and their ranks, which follow from the counts."""
     if not columns:
-        return numbers
-    cells = ", ".join(f"named_struct('feature', {i}, 'value', `{c}`)" for i, c in enumerate(columns))
-    counts = numbers.select(F.expr(f"inline(array({cells}))")).groupBy("feature", "value").agg(
-        F.count(F.lit(1)).alias("n")).toArrow()  # SENT_VALUES lines, as far as the sketch is right
+        return {}
+
+    def count(batches):
+        held = [(np.array([]), np.array([]))] * len(columns)
+        for batch in batches:
+            for i, c in enumerate(columns):
+                for cells in batch.column(c).to_pylist():
+                    values, n = np.unique(np.frombuffer(cells), return_counts=True)
+                    values, place = np.unique(np.concatenate([held[i][0], values]), return_inverse=True)
+                    held[i] = values, np.bincount(place, np.concatenate([held[i][1], n]))
+        for i, (values, n) in enumerate(held):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), i, np.int32)), pa.array(values),
+                                              pa.array(n.astype(np.int64))], names=["feature", "value", "n"])
+
+    counts = blocks.select(*columns).mapInArrow(count, "feature int, value double, n long").groupBy(
+        "feature", "value").agg(F.sum("n").alias("n")).toArrow()  # SENT_VALUES lines, as far as the estimate is right
     feature, value, n = (counts.column(c).to_numpy() for c in ("feature", "value", "n"))
     order = np.lexsort((value, feature))
     feature, value, n = feature[order], value[order], n[order]
     tables = {}
     for i, c in enumerate(columns):
         own = feature == i
-        ends = np.cumsum(n[own])
-        tables[c] = (value[own], ends - (n[own] - 1) / 2)
-    sent = numbers.sparkSession.sparkContext.broadcast(tables)
+        tables[c] = (value[own], np.cumsum(n[own]) - (n[own] - 1) / 2)
+    return tables
+
+
+def _ranked_by_sorting(blocks: DataFrame, columns: list[str], keep: str | None, rows: int,
+                       schema: T.StructType, others) -> DataFrame:
+    """The rows with `columns` replaced by their ranks, which come from ordered buckets, and the
+    other columns by what `others` says.
+
+    A block sends each bucket its different values and their counts, so a value that fills a
+    bucket is one of them per block, and gets their ranks back in this order.
+    """
+    cuts = _bucket_cuts(blocks, columns, max(1, rows // ROWS_PER_BUCKET))
+    offsets = _bucket_offsets(blocks, columns, cuts)
 
-    def work(batches):
+    def cut(batches):
         for batch in batches:
-            out = []
-            for name, column in zip(batch.schema.names, batch.columns):
-                if name in sent.value:
-                    values, ranks = sent.value[name]
-                    column = pa.array(ranks[np.searchsorted(values, column.to_numpy(zero_copy_only=False))])
-                out.append(column)
-            yield pa.RecordBatch.from_arrays(out, names=batch.schema.names)
-
-    return numbers.mapInArrow(work, numbers.schema)
-
-
-def _ranked_by_sorting(numbers: DataFrame, columns: list[str], key: str, rows: int) -> DataFrame:
-    """(key, columns): ranks by ordered buckets.  A value that fills several quantiles is a bucket
-    of its own, whose rows all have the same rank and need no sort."""
-    wanted = max(1, rows // ROWS_PER_BUCKET)
-    splits, single = _bucket_splits(numbers, columns, wanted)
-    marks = [f"{c}__bucket" for c in columns]
-    bucketed = Bucketizer(
-        splitsArray=splits, inputCols=columns, outputCols=marks).transform(numbers)
-    cells = ", ".join(f"named_struct('feature', {i}, 'bucket', int(`{m}`), 'value', `{c}`)"
-                      for i, (c, m) in enumerate(zip(columns, marks)))
-    long = bucketed.select(key, F.expr(f"inline(array({cells}))"))
-
-    # A line per bucket.
-    sizes = long.groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = W.partitionBy("feature").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    known = numbers.sparkSession.createDataFrame(single, "feature int, bucket int").withColumn(
-        "single", F.lit(True))
-    lines = 2 * wanted * len(columns)
-    offsets = cut_lineage(sizes.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))).join(
-        small(known, lines), ["feature", "bucket"], "left"))
-    placed = long.join(small(offsets, lines), ["feature", "bucket"])
-
-    alike = placed.filter("single").select(
-        key, "feature", (F.col("offset") + (F.col("n") + 1) / 2).alias("rank"))
-    order = W.partitionBy("feature", "bucket").orderBy("value")
-    up_to = order.rangeBetween(W.unboundedPreceding, W.currentRow)
-    ranked = placed.filter("single IS NULL").select(
-        key, "feature", (F.col("offset") + (
-            F.rank().over(order) + F.count(F.lit(1)).over(up_to)) / 2).alias("rank"))
-    return _ranks_per_row(alike.unionByName(ranked), columns, key)
-
-
-def _bucket_splits(numbers: DataFrame, columns: list[str], wanted: int):
-    """Increasing split points per column, and (column, bucket) of single values."""
-    inf = float("inf")
+            for block in batch.to_pylist():
+                for i, c in enumerate(columns):
+                    values, n = np.unique(np.frombuffer(block[c]), return_counts=True)
+                    n, edges = n.astype(np.int32), _edges(values, cuts[i])
+                    filled = np.flatnonzero(np.diff(edges))
+                    spans = [slice(edges[b], edges[b + 1]) for b in filled]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(filled), i, np.int32)), pa.array(filled.astype(np.int32)),
+                        pa.array(np.full(len(filled), block["__block"])),
+                        pa.array([values[x].tobytes() for x in spans], pa.binary()),
+                        pa.array([n[x].tobytes() for x in spans], pa.binary())], names=_CELLS.names)
+
+    def rank(key, table):
+        feature, bucket = (k.as_py() for k in key)
+        cells = table.column("cells").to_pylist()
+        values, place = np.unique(np.frombuffer(b"".join(cells)), return_inverse=True)
+        n = np.bincount(place, np.frombuffer(b"".join(table.column("n").to_pylist()), np.int32))
+        ranks = (offsets[feature][bucket] + np.cumsum(n) - (n - 1) / 2)[place]
+        ends = np.cumsum([len(x) // 8 for x in cells])
+        return pa.table({"__block": table.column("__block"), "feature": table.column("feature"),
+                         "bucket": table.column("bucket"),
+                         "ranks": pa.array([x.tobytes() for x in np.split(ranks, ends[:-1])], pa.binary())})
+
+    def back(left, right):
+        block = left.to_pylist()[0]
+        found = {c: [] for c in columns}
+        for feature, _, ranks in sorted(zip(*(right.column(c).to_pylist() for c in ("feature", "bucket", "ranks")))):
+            found[columns[feature]].append(ranks)
+        out = {}
+        for c in schema.names:
+            if c == keep:
+                out[c] = left.column(c).combine_chunks().flatten()
+            elif c in found:
+                _, place = np.unique(np.frombuffer(block[c]), return_inverse=True)
+                out[c] = pa.array(np.frombuffer(b"".join(found[c]))[place])
+            else:
+                out[c] = pa.array(others(block[c], c))
+        return pa.table(out)
+
+    ranked = blocks.select("__block", *columns).mapInArrow(cut, _CELLS).groupBy("feature", "bucket").applyInArrow(
+        rank, "__block long, feature int, bucket int, ranks binary")
+    return blocks.groupBy("__block").cogroup(ranked.groupBy("__block")).applyInArrow(back, schema)
+
+
+_CELLS = T.StructType([T.StructField("feature", T.IntegerType()), T.StructField("bucket", T.IntegerType()),
+                       T.StructField("__block", T.LongType()), T.StructField("cells", T.BinaryType()),
+                       T.StructField("n", T.BinaryType())])
+
+
+def _blocks(numbers: DataFrame, keep: str | None) -> DataFrame:
+    """A line per CELLS_PER_BLOCK cells: the rows' doubles of a column as bytes, their keys as a list."""
+    size = max(1, CELLS_PER_BLOCK // len(numbers.columns))
+    schema = T.StructType([T.StructField(f.name, T.ArrayType(f.dataType) if f.name == keep else T.BinaryType())
+                           for f in numbers.schema])
+
+    def packed(parts):
+        table = pa.Table.from_batches(parts).combine_chunks()
+        return pa.RecordBatch.from_arrays([
+            pa.ListArray.from_arrays(pa.array([0, len(table)], pa.int32()), table.column(c).chunk(0))
+            if c == keep else pa.array([table.column(c).to_numpy().tobytes()], pa.binary())
+            for c in table.column_names], names=table.column_names)
+
+    def pack(batches):
+        parts, held = [], 0
+        for batch in batches:
+            while batch.num_rows:
+                parts.append(batch.slice(0, size - held))
+                held += parts[-1].num_rows
+                batch = batch.slice(parts[-1].num_rows)
+                if held == size:
+                    yield packed(parts)
+                    parts, held = [], 0
+        if parts:
+            yield packed(parts)
+
+    return numbers.mapInArrow(pack, schema)
+
+
+def _edges(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Where the buckets begin and end in sorted values; they are closed on the left."""
+    return np.concatenate([[0], np.searchsorted(values, cuts), [len(values)]])
+
+
+def _bucket_cuts(blocks: DataFrame, columns: list[str], wanted: int) -> list[np.ndarray]:
+    """Increasing cut points per column, near its quantiles: each block names every so manieth of
+    its sorted values, from a place that differs by block.  `wanted` numbers per column."""
     if wanted == 1:
-        return [[-inf, 0.0, inf] for _ in columns], []
+        return [np.array([]) for _ in columns]
+    step = max(1, ROWS_PER_BUCKET // 100)
+
+    def sample(batches):
+        for batch in batches:
+            for block in batch.to_pylist():
+                first = np.random.default_rng(block["__block"]).integers(step)
+                for i, c in enumerate(columns):
+                    values = np.sort(np.frombuffer(block[c]))[first::step]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(values), i, np.int32)), pa.array(values)], names=["feature", "value"])
+
     steps = [i / wanted for i in range(1, wanted)]
-    # `wanted` numbers per column.
-    found = numbers.agg(*[
-        F.percentile_approx(c, steps, max(1000, 10 * wanted)).alias(c) for c in columns]).first()
-    splits, single = [], []
-    for i, c in enumerate(columns):
-        cuts = sorted(found[c])
-        repeated = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
-        # Buckets are closed on the left; one step above a value closes its own bucket.
-        points = sorted({-inf, inf, *cuts, *[float(np.nextafter(v, inf)) for v in repeated]})
-        splits.append(points)
-        single += [(i, points.index(v)) for v in repeated if v != inf]
-    return splits, single
-
-
-def _ranks_per_row(ranked: DataFrame, columns: list[str], key: str) -> DataFrame:
-    """One column of ranks per feature; one shuffle, a row's group has one line per column."""
-    if len(columns) <= FEW_COLUMNS:
-        return ranked.groupBy(key).agg(*[
-            F.max(F.when(F.col("feature") == i, F.col("rank"))).alias(c)
-            for i, c in enumerate(columns)])
-    cells = F.array_sort(F.collect_list(F.struct("feature", "rank")))
-    return ranked.groupBy(key).agg(cells.alias("cells")).select(
-        key, *[F.expr(f"cells[{i}].rank AS `{c}`") for i, c in enumerate(columns)])
+    found = blocks.select("__block", *columns).mapInArrow(sample, "feature int, value double").groupBy("feature").agg(
+        F.percentile_approx("value", steps, max(1000, 10 * wanted)).alias("cuts")).collect()
+    cuts = {r["feature"]: r["cuts"] for r in found}
+    return [np.unique(np.array(cuts.get(i, []), float)) for i in range(len(columns))]
+
+
+def _bucket_offsets(blocks: DataFrame, columns: list[str], cuts: list[np.ndarray]) -> list[np.ndarray]:
+    """Per column the number of cells before each bucket; `cuts` and one number more."""
+    def count(batches):
+        sizes = [np.zeros(len(x) + 1, np.int64) for x in cuts]
+        for batch in batches:
+            for block in batch.to_pylist():
+                for i, c in enumerate(columns):
+                    sizes[i] += np.diff(_edges(np.sort(np.frombuffer(block[c])), cuts[i]))
+        for i, n in enumerate(sizes):
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(n), i, np.int32)), pa.array(np.arange(len(n), dtype=np.int32)), pa.array(n)],
+                names=["feature", "bucket", "n"])
+
+    totals = [np.zeros(len(x) + 1, np.int64) for x in cuts]
+    for r in blocks.select(*columns).mapInArrow(count, "feature int, bucket int, n long").groupBy(
+            "feature", "bucket").agg(F.sum("n").alias("n")).collect():
+        totals[r["feature"]][r["bucket"]] = r["n"]
+    return [np.cumsum(n) - n for n in totals]
 
 
 def pairs_with_gaps(pairs: DataFrame, gaps: DataFrame) -> DataFrame:

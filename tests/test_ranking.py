@@ -145,6 +145,42 @@ def test_rank_columns(numbers, monkeypatch, rows_per_bucket, few_values):
     assert np.allclose(order(got[columns]), order(want))
 
 
+@pytest.mark.parametrize("cells, few_values", [(70, 0), (70, 10), (1_000_000, 0), (70, 50_000)])
+def test_ranks_stay_with_their_keys(numbers, spark, monkeypatch, cells, few_values):
+    """Many small blocks, hot values in several of them, a key that repeats and one that is missing."""
+    monkeypatch.setattr(correlation, "ROWS_PER_BUCKET", 50)
+    monkeypatch.setattr(correlation, "CELLS_PER_BLOCK", cells)
+    monkeypatch.setattr(correlation, "FEW_VALUES", few_values)
+    monkeypatch.setattr(correlation, "VALUES_SHARE", 1)
+    pdf = numbers[0].assign(k=[f"k{i // 3}" for i in range(2000)])
+    pdf["x"] = pdf["x"].where(pdf.index != 50, np.inf)
+    pdf["zeros"] = pdf["zeros"].where(pdf.index % 2 == 0, -pdf["zeros"])  # 0.0 and -0.0 are equal
+    pdf.loc[100, "k"] = None
+    columns = [c for c in pdf.columns if c != "k"]
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), ", ".join(f"{c} double" for c in columns) + ", k string")
+    got = correlation.rank_columns(df.repartition(5), columns, "k").toPandas()
+    want = pdf.dropna()
+    want = want[columns].rank().assign(k=want["k"])
+    order = lambda frame: frame.sort_values(["k", *columns])[["k", *columns]].reset_index(drop=True)
+    pd.testing.assert_frame_equal(order(got), order(want), check_dtype=False)
+
+
+def test_ranks_move_blocks(numbers, monkeypatch):
+    """Neither cells nor rows are sorted or joined one by one."""
+    columns = list(numbers[0].columns)
+    for few_values in (0, 50_000):
+        monkeypatch.setattr(correlation, "FEW_VALUES", few_values)
+        plan = correlation.rank_columns(numbers[1], columns)._jdf.queryExecution().executedPlan().toString()
+        assert not any(x in plan for x in ("Window", "SortMergeJoin", "HashAggregate", "Generate"))
+        assert ("hashpartitioning" in plan) == (few_values == 0)
+
+
+def test_ranks_of_nothing(numbers):
+    _, df = numbers
+    assert correlation.rank_columns(df.limit(0), ["x", "y"]).count() == 0
+    assert correlation.spearman_pairs(df.limit(0), ["x", "y"]).count() == 0
+
+
 @pytest.mark.parametrize("block", [2, 1000])
 def test_pearson_and_spearman(numbers, monkeypatch, block):
     monkeypatch.setattr(correlation, "BLOCK", block)
