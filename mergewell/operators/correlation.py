@@ -153,13 +153,12 @@ def _value_estimates(blocks: DataFrame, columns: list[str]) -> tuple[int, dict[s
     def sample(batches):
         rows = 0
         for batch in batches:
-            for i, c in enumerate(columns):
-                for cells in batch.column(c).to_pylist():
-                    values = np.frombuffer(cells)
-                    rows += len(values) if i == 0 else 0
-                    values = np.unique(values[pd.util.hash_array(values) % VALUES_SHARE == 0])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(values), i, np.int32)), pa.array(values)], names=["feature", "value"])
+            picked = []
+            for c in columns:
+                values = np.frombuffer(b"".join(batch.column(c).to_pylist()))
+                picked.append(np.unique(values[pd.util.hash_array(values) % VALUES_SHARE == 0]))
+            rows += len(values)
+            yield _lines(value=picked)
         yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([float(rows)])], names=["feature", "value"])
 
     found = {r["feature"]: r for r in blocks.select(*columns).mapInArrow(
@@ -182,9 +181,7 @@ def _value_ranks(blocks: DataFrame, columns: list[str]) -> dict[str, tuple[np.nd
                     values, n = np.unique(np.frombuffer(cells), return_counts=True)
                     values, place = np.unique(np.concatenate([held[i][0], values]), return_inverse=True)
                     held[i] = values, np.bincount(place, np.concatenate([held[i][1], n]))
-        for i, (values, n) in enumerate(held):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), i, np.int32)), pa.array(values),
-                                              pa.array(n.astype(np.int64))], names=["feature", "value", "n"])
+        yield _lines(value=[values for values, _ in held], n=[n.astype(np.int64) for _, n in held])
 
     counts = blocks.select(*columns).mapInArrow(count, "feature int, value double, n long").groupBy(
         "feature", "value").agg(F.sum("n").alias("n")).toArrow()  # SENT_VALUES lines, as far as the estimate is right
@@ -212,16 +209,16 @@ def _ranked_by_sorting(blocks: DataFrame, columns: list[str], keep: str | None,
     def cut(batches):
         for batch in batches:
             for block in batch.to_pylist():
+                lines = []
                 for i, c in enumerate(columns):
                     values, n = np.unique(np.frombuffer(block[c]), return_counts=True)
                     n, edges = n.astype(np.int32), _edges(values, cuts[i])
-                    filled = np.flatnonzero(np.diff(edges))
-                    spans = [slice(edges[b], edges[b + 1]) for b in filled]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(len(filled), i, np.int32)), pa.array(filled.astype(np.int32)),
-                        pa.array(np.full(len(filled), block["__block"])),
-                        pa.array([values[x].tobytes() for x in spans], pa.binary()),
-                        pa.array([n[x].tobytes() for x in spans], pa.binary())], names=_CELLS.names)
+                    for b in np.flatnonzero(np.diff(edges)):
+                        span = slice(edges[b], edges[b + 1])
+                        lines.append((i, b, block["__block"], values[span].tobytes(), n[span].tobytes()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, t) for x, t in zip(zip(*lines), (
+                        pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=_CELLS.names)
 
     def rank(key, table):
         feature, bucket = (k.as_py() for k in key)
@@ -235,7 +232,6 @@ def _ranked_by_sorting(blocks: DataFrame, columns: list[str], keep: str | None,
                          "ranks": pa.array([x.tobytes() for x in np.split(ranks, ends[:-1])], pa.binary())})
 
     def back(left, right):
-        block = left.to_pylist()[0]
         found = {c: [] for c in columns}
         for feature, _, ranks in sorted(zip(*(right.column(c).to_pylist() for c in ("feature", "bucket", "ranks")))):
             found[columns[feature]].append(ranks)
@@ -244,10 +240,10 @@ def _ranked_by_sorting(blocks: DataFrame, columns: list[str], keep: str | None,
             if c == keep:
                 out[c] = left.column(c).combine_chunks().flatten()
             elif c in found:
-                _, place = np.unique(np.frombuffer(block[c]), return_inverse=True)
+                _, place = np.unique(np.frombuffer(left.column(c)[0].as_py()), return_inverse=True)
                 out[c] = pa.array(np.frombuffer(b"".join(found[c]))[place])
             else:
-                out[c] = pa.array(others(block[c], c))
+                out[c] = pa.array(others(left.column(c)[0].as_py(), c))
         return pa.table(out)
 
     ranked = blocks.select("__block", *columns).mapInArrow(cut, _CELLS).groupBy("feature", "bucket").applyInArrow(
@@ -289,6 +285,14 @@ def _blocks(numbers: DataFrame, keep: str | None) -> DataFrame:
     return numbers.mapInArrow(pack, schema)
 
 
+def _lines(**parts: list[np.ndarray]) -> pa.RecordBatch:
+    """One array per feature as lines that begin with the feature's number."""
+    sizes = [len(x) for x in next(iter(parts.values()))]
+    feature = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    return pa.RecordBatch.from_arrays([pa.array(feature), *[pa.array(np.concatenate(x)) for x in parts.values()]],
+                                      names=["feature", *parts])
+
+
 def _edges(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     """Where the buckets begin and end in sorted values; they are closed on the left."""
     return np.concatenate([[0], np.searchsorted(values, cuts), [len(values)]])
@@ -305,10 +309,7 @@ def _bucket_cuts(blocks: DataFrame, columns: list[str], wanted: int) -> list[np.
         for batch in batches:
             for block in batch.to_pylist():
                 first = np.random.default_rng(block["__block"]).integers(step)
-                for i, c in enumerate(columns):
-                    values = np.sort(np.frombuffer(block[c]))[first::step]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(values), i, np.int32)), pa.array(values)], names=["feature", "value"])
+                yield _lines(value=[np.sort(np.frombuffer(block[c]))[first::step] for c in columns])
 
     steps = [i / wanted for i in range(1, wanted)]
     found = blocks.select("__block", *columns).mapInArrow(sample, "feature int, value double").groupBy("feature").agg(
@@ -325,10 +326,7 @@ def _bucket_offsets(blocks: DataFrame, columns: list[str], cuts: list[np.ndarray
             for block in batch.to_pylist():
                 for i, c in enumerate(columns):
                     sizes[i] += np.diff(_edges(np.sort(np.frombuffer(block[c])), cuts[i]))
-        for i, n in enumerate(sizes):
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(n), i, np.int32)), pa.array(np.arange(len(n), dtype=np.int32)), pa.array(n)],
-                names=["feature", "bucket", "n"])
+        yield _lines(bucket=[np.arange(len(n), dtype=np.int32) for n in sizes], n=sizes)
 
     totals = [np.zeros(len(x) + 1, np.int64) for x in cuts]
     for r in blocks.select(*columns).mapInArrow(count, "feature int, bucket int, n long").groupBy(
