@@ -2,35 +2,15 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-import mergewell
+from mergewell.jobs import ship
 
 SLICE = 512  # rows that are Python objects at the same time
-_shipped: set[str] = set()  # applications that have the package on their executors
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application: tasks import it there."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    root = os.path.dirname(os.path.abspath(mergewell.__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="mergewell-"), "mergewell.zip")
-    with zipfile.ZipFile(path, "w") as archive:
-        for folder, _, names in sorted(os.walk(root)):
-            for name in sorted(n for n in names if n.endswith(".py")):
-                full = os.path.join(folder, name)
-                archive.write(full, os.path.join("mergewell", os.path.relpath(full, root)))
-    context.addPyFile(path)
-    _shipped.add(context.applicationId)
 
 
 def with_computed(

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from mergewell.operators.columns import numeric_columns
 from mergewell.operators.correlation import spearman_pairs
+from mergewell.operators.forest import Forest, TreeByTree
 from mergewell.operators.redundancy import group_correlated
 
 # Accepted spellings and what they stand for (fixed values).
@@ -103,6 +104,7 @@ class Learner:
     depth: int = DEEPEST
     max_iter: int = 100
     seed: int = 42
+    tree_by_tree: bool = False  # classification forests that tasks grow from counts of cells
 
     def __post_init__(self):
         if self.depth > DEEPEST:
@@ -118,12 +120,16 @@ class Learner:
         columns = {"featuresCol": "features", "labelCol": "target"}
         if self.model == "rf":
             make = RandomForestClassifier if classes else RandomForestRegressor
-            return make(
+            least = max(1, math.ceil(params["min_n"] / 2))
+            forest = make(
                 numTrees=self.trees, maxDepth=self.depth, seed=self.seed,
                 featureSubsetStrategy=str(int(params["mtry"])),
-                minInstancesPerNode=max(1, math.ceil(params["min_n"] / 2)),
+                minInstancesPerNode=least,
                 # Rows keep their places in the trees instead of coming down from the root each round.
                 cacheNodeIds=True, **columns)
+            if not (self.tree_by_tree and classes):
+                return forest
+            return TreeByTree(forest, int(params["mtry"]), least, self.trees, self.depth, self.seed)
         mixture = {"lasso": 1.0, "ridge": 0.0}.get(self.model, params.get("mixture", 0.5))
         make = LogisticRegression if classes else LinearRegression
         return make(
@@ -146,6 +152,8 @@ def predictions(model, df: DataFrame, problem: Problem, keep: list[str]) -> Data
 
 def predict_first_level(model, df: DataFrame, kind: str, out: str = "score") -> DataFrame:
     """Adds the probability of the first class, or the predicted number."""
+    if isinstance(model, Forest):
+        return model.with_first_class(df, out)
     scored = model.transform(df)
     value = F.col("prediction") if kind == "regression" else vector_to_array("probability")[0]
     return scored.withColumn(out, value).drop("prediction", "probability", "rawPrediction")
@@ -158,6 +166,8 @@ def thresholds(model, size: int) -> list[list[float] | None] | None:
     """What a forest compares each of `size` features with, in order: values between the same two
     get the same prediction.  None for features that it looks up as categories, and for models
     that are no forests.  Trees are looked at one by one; Spark cuts a feature at 31 points at most."""
+    if isinstance(model, Forest):
+        return [c.tolist() for c in model.cuts]
     if not isinstance(model, (RandomForestClassificationModel, RandomForestRegressionModel)):
         return None
     found: list[set[float]] = [set() for _ in range(size)]
