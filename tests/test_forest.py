@@ -161,28 +161,41 @@ def test_rows_that_repeat_an_id_are_explained_one_by_one(rows, model):
     assert np.allclose(total, (fx - fx.mean()).sort_index(), atol=1e-12)
 
 
-def test_the_query_grows_tree_by_tree_on_many_rows(spark, tmp_path, monkeypatch):
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """300 labelled documents."""
+    at = tmp_path_factory.mktemp("documents")
     rng = np.random.default_rng(4)
     texts = [" ".join(["word", "Word", "7", "line\n"][k] for k in rng.integers(0, 4, rng.integers(5, 60))) for _ in range(300)]
     spark.createDataFrame(pd.DataFrame({
         "doc_id": range(300), "text": texts, "lang": rng.choice(["en", "de"], 300), "source": "s",
-        "n_chars": [len(t) for t in texts]})).write.parquet(str(tmp_path / "documents.parquet"))
+        "n_chars": [len(t) for t in texts]})).write.parquet(str(at / "documents.parquet"))
     spark.createDataFrame(pd.DataFrame({
         "doc_id": range(300), "quality": [int(t.count("7") > 8) for t in texts], "toxic": 0})).write.parquet(
-            str(tmp_path / "labels.parquet"))
-    seen = []
-    looked_up = explain._looked_up
+            str(at / "labels.parquet"))
+    return str(at)
+
+
+@pytest.fixture
+def looked_up(monkeypatch):
+    """The numbers of trees of the forests whose values are looked up."""
+    seen, whole = [], explain._looked_up
 
     def watched(model, *args):
-        seen.append(len(model.trees))
-        return looked_up(model, *args)
+        found = whole(model, *args)
+        seen.append(len(model.trees) if found is not None else 0)
+        return found
 
     monkeypatch.setattr(explain, "_looked_up", watched)
-    learning.q_shap(spark, str(tmp_path))
-    assert seen == []
+    return seen
+
+
+def test_q_shap_grows_tree_by_tree_on_many_rows(spark, folder, looked_up, monkeypatch):
+    learning.q_shap(spark, folder)
+    assert looked_up == []
     monkeypatch.setattr(learning, "FEW_ROWS", 200)
-    values = learning.q_shap(spark, str(tmp_path)).toPandas()
-    assert seen == [500] * 3
+    values = learning.q_shap(spark, folder).toPandas()
+    assert looked_up == [500] * 3
     sizes = values.groupby("slice")["row_id"].nunique()
     assert sizes["full"] == 300 and sizes["train"] + sizes["test"] == 300
     assert values.groupby("slice")["phi"].sum().abs().max() < 1e-9
@@ -190,6 +203,13 @@ def test_the_query_grows_tree_by_tree_on_many_rows(spark, tmp_path, monkeypatch)
         assert len(part) == sizes[name] * part["feature"].nunique()
 
 
+def test_q_shap_additivity_holds_on_many_rows(spark, folder, looked_up, monkeypatch):
+    monkeypatch.setattr(learning, "FEW_ROWS", 200)
+    found = {r["slice"]: r for r in learning.q_shap_additivity(spark, folder).collect()}
+    assert looked_up == [500] * 3 and all(r["adds_up"] for r in found.values())
+    assert found["full"]["rows"] == 300 == found["train"]["rows"] + found["test"]["rows"]
+
+
 def test_codes_count_the_cuts_below():
     cuts = [np.array([0.0, 2.0]), np.array([])]
     x = np.array([[-1.0, 5.0], [0.0, 5.0], [1.0, 5.0], [2.0, 5.0], [np.inf, 5.0]])
