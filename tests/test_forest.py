@@ -210,6 +210,16 @@ def test_q_shap_additivity_holds_on_many_rows(spark, folder, looked_up, monkeypa
     assert found["full"]["rows"] == 300 == found["train"]["rows"] + found["test"]["rows"]
 
 
+def test_q_shap_importance_on_many_rows_is_that_of_few(spark, folder, looked_up, monkeypatch):
+    """Forests of other draws name the same feature first, with nearly the same importance."""
+    few = learning.q_shap_importance(spark, folder).toPandas().set_index(["slice", "feature"])["importance"]
+    monkeypatch.setattr(learning, "FEW_ROWS", 200)
+    many = learning.q_shap_importance(spark, folder).toPandas().set_index(["slice", "feature"])["importance"]
+    assert looked_up == [500] * 3 and sorted(few.index) == sorted(many.index)
+    assert (few - many).abs().max() < 0.03
+    assert {s: i[1] for s, i in many.groupby("slice").idxmax().items()} == dict.fromkeys(["full", "train", "test"], "n_digits")
+
+
 def test_codes_count_the_cuts_below():
     cuts = [np.array([0.0, 2.0]), np.array([])]
     x = np.array([[-1.0, 5.0], [0.0, 5.0], [1.0, 5.0], [2.0, 5.0], [np.inf, 5.0]])
